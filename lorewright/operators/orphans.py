@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lorewright.functions.ids import bare_id
+from lorewright.session import materialize
 
 _HASHES = 6
 
@@ -47,7 +48,8 @@ def bloom_filter(parents: DataFrame, key: str, max_bits: int = 1 << 24, bits_per
     some = pos.groupBy(F.shiftrightunsigned("p", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(p & 63 as int))")).alias("bits"))
     every = parents.sparkSession.range(bits // 64).select(F.col("id").alias("word"), F.lit(0).cast("bigint").alias("bits"))
     words = some.unionByName(every).groupBy("word").agg(F.bit_or("bits").alias("bits"))
-    return words.agg(F.transform(F.array_sort(F.collect_list(F.struct("word", "bits"))), lambda x: x["bits"]).alias("words")), bits
+    # written out, as every mention of a subquery is planned on its own
+    return materialize(words.agg(F.transform(F.array_sort(F.collect_list(F.struct("word", "bits"))), lambda x: x["bits"]).alias("words")), "bloom"), bits
 
 
 def might_contain(bloom: DataFrame, bits: int, key: Column) -> Column:
@@ -86,7 +88,7 @@ def orphan_references(children: DataFrame, reference: str, history: DataFrame, m
     rest meets only the verified orphan pairs.
     """
     bloom, bits = bloom_filter(history.where("first_batch IS NOT NULL"), "ref_id", max_bits)
-    rows = references(children, reference).withColumn("_maybe", might_contain(bloom, bits, F.col("ref_id")))
+    rows = materialize(references(children, reference).withColumn("_maybe", might_contain(bloom, bits, F.col("ref_id"))), "probed")
     definite = rows.where(~F.col("_maybe")).withColumn("reason", F.lit("missing"))
     maybe = rows.where("_maybe")
     pairs = maybe.select("ref_id", "batch_no").distinct()
