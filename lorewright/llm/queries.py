@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lorewright.functions.ids import bare_id
 from lorewright.llm import cooccurrence as co
-from lorewright.llm import neighbors
+from lorewright.llm import names, neighbors, truncation
 from lorewright.plans.registry import Registry, table
 
 LLM = Registry()
@@ -68,3 +68,39 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
 def p5_neighbors(spark: SparkSession, d: str) -> DataFrame:
     """Neighbours with cosine and rank of the works whose id is divisible by 100, against all works."""
     return _neighbors(spark, d).where(F.col("key_a").cast("bigint") % 100 == 0)
+
+
+# --- 7: variant spellings of names ------------------------------------------------
+
+
+@LLM.add("p7_found", None)
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    """Pairs of author ids that mean the same person or group."""
+    return names.cluster_pairs(names.author_clusters(table(spark, d, "authors")))
+
+
+@LLM.add("p7_clusters", None)
+def p7_clusters(spark: SparkSession, d: str) -> DataFrame:
+    """Every linked author id with its class and the size of the class."""
+    c = names.author_clusters(table(spark, d, "authors"))
+    return c.join(c.groupBy("cluster").agg(F.count("*").alias("members")), "cluster").select("id", "cluster", "members")
+
+
+# --- 10: truncated texts ------------------------------------------------------------
+
+
+def _judged(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents").select("doc_id", "source", "doc_kind", "text")
+    return truncation.truncated(truncation.endings(docs))
+
+
+@LLM.add("p10_found", None)
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    """Documents that stop inside a word or a sentence."""
+    return _judged(spark, d).where("truncated").select("doc_id").distinct()
+
+
+@LLM.add("p10_sources", None)
+def p10_sources(spark: SparkSession, d: str) -> DataFrame:
+    """Texts, truncated texts and their share per source."""
+    return truncation.source_report(_judged(spark, d))
