@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lorewright.functions.ids import bare_id
 from lorewright.llm import cooccurrence as co
-from lorewright.llm import names, neighbors, truncation
+from lorewright.llm import leakage, names, neighbors, packing, truncation
 from lorewright.plans.registry import Registry, table
 
 LLM = Registry()
@@ -86,6 +86,51 @@ def p7_clusters(spark: SparkSession, d: str) -> DataFrame:
     return c.join(c.groupBy("cluster").agg(F.count("*").alias("members")), "cluster").select("id", "cluster", "members")
 
 
+# --- 8: filling containers ----------------------------------------------------------
+
+
+def _packed(spark: SparkSession, d: str) -> DataFrame:
+    return packing.pack(table(spark, d, "documents").select("doc_id", "text"), capacity=2048)
+
+
+@LLM.add("p8_containers", None)
+def p8_containers(spark: SparkSession, d: str) -> DataFrame:
+    """Each document's containers of 2,048 tokens."""
+    return _packed(spark, d)
+
+
+@LLM.add("p8_fill", None)
+def p8_fill(spark: SparkSession, d: str) -> DataFrame:
+    """How full the containers are, against the least number that could do."""
+    return packing.fill_report(_packed(spark, d))
+
+
+# --- 9: evaluation texts in training texts --------------------------------------------
+
+
+def _leaks(spark: SparkSession, d: str) -> DataFrame:
+    return leakage.find_leaks(table(spark, d, "documents").select("doc_id", "text"), table(spark, d, "eval_items").select("item_id", "text"))
+
+
+@LLM.add("p9_found", None)
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    """Documents that hold a passage of an evaluation item, and the item."""
+    return _leaks(spark, d).select("doc_id", "item_id").distinct()
+
+
+@LLM.add("p9_items", None)
+def p9_items(spark: SparkSession, d: str) -> DataFrame:
+    """Affected documents and the longest piece per item."""
+    return leakage.item_report(_leaks(spark, d))
+
+
+@LLM.add("p9_clean", None)
+def p9_clean(spark: SparkSession, d: str) -> DataFrame:
+    """The documents that remain when affected ones are removed."""
+    docs = table(spark, d, "documents")
+    return leakage.remove_leaked(docs.select("doc_id", "lang", "source", "n_chars"), _leaks(spark, d))
+
+
 # --- 10: truncated texts ------------------------------------------------------------
 
 
