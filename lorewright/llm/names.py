@@ -185,7 +185,7 @@ def _given(a: str, b: str) -> bool:
             return True
         full, initial = (a, b) if len(b) == 1 else (b, a)
         return NICKNAMES.get(full, full)[0] == initial
-    return _close(a, b, 4, 7) or _close(NICKNAMES.get(a, a), NICKNAMES.get(b, b), 4, 7)
+    return _close(a, b, 4, 6) or _close(NICKNAMES.get(a, a), NICKNAMES.get(b, b), 4, 6)
 
 
 def same_name(a: Name, b: Name) -> bool:
@@ -292,7 +292,8 @@ def _vectors(names: DataFrame) -> DataFrame:
     g = materialize(names.mapInPandas(grams, "name string, gram string, tf double"), "grams")
     total = names.agg(F.count("*").alias("n"))
     df = g.groupBy("gram").agg(F.count("*").alias("df"))
-    weighted = g.join(df, "gram").withColumn("w", F.col("tf") * F.log(F.lit(1.0) + total.scalar() / F.col("df")))
+    # the root damps the rare trigrams that a slip makes
+    weighted = g.join(df, "gram").withColumn("w", F.col("tf") * F.sqrt(F.log(F.lit(1.0) + total.scalar() / F.col("df"))))
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("name")))
     return weighted.withColumn("weight", F.col("w") / norm).select("name", "gram", "df", "weight")
 
