@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lorewright.functions.ids import bare_id
 from lorewright.llm import cooccurrence as co
-from lorewright.llm import leakage, names, neighbors, packing, truncation
+from lorewright.llm import incremental, leakage, names, neighbors, packing, truncation
 from lorewright.plans.registry import Registry, table
 
 LLM = Registry()
@@ -17,6 +17,23 @@ def _bare(c: str) -> str:
     return f"nullif(regexp_extract(coalesce({c},''),'([0-9]+)\\s*$',1),'')"
 
 
+# --- 2: new batches against all history ------------------------------------------
+
+
+@LLM.add("p2_found", None)
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    """Rows of each batch that repeat a record of an earlier one, batch after batch."""
+    return incremental.repeated_records(table(spark, d, "works"), table(spark, d, "authors"))
+
+
+@LLM.add("p2_report", None)
+def p2_report(spark: SparkSession, d: str) -> DataFrame:
+    """Repetitions per entity and batch, under the same and under another id."""
+    f = p2_found(spark, d)
+    same = F.col("id_a") == F.col("id_b")
+    return f.groupBy("entity", "batch_no").agg(F.count(F.when(same, 1)).alias("same_id"), F.count(F.when(~same, 1)).alias("other_id"))
+
+
 # --- 3: items that appear together ---------------------------------------------
 
 _PAIRS = f"""d AS (SELECT DISTINCT {_bare('work_id')} AS w, {_bare('author_id')} AS a FROM works_authorships WHERE {_bare('work_id')} IS NOT NULL AND {_bare('author_id')} IS NOT NULL),
