@@ -9,6 +9,7 @@ from lorewright.functions.ids import bare_id
 from lorewright.llm import cooccurrence as co
 from lorewright.llm import incremental, leakage, names, neighbors, packing, truncation
 from lorewright.plans.registry import Registry, table
+from lorewright.session import materialize
 
 LLM = Registry()
 
@@ -153,7 +154,8 @@ def p9_clean(spark: SparkSession, d: str) -> DataFrame:
 
 def _judged(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents").select("doc_id", "source", "doc_kind", "text")
-    return truncation.truncated(truncation.endings(docs))
+    # judged once: the sources' baselines and the decision both read the verdicts
+    return truncation.truncated(materialize(truncation.endings(docs), "endings"))
 
 
 @LLM.add("p10_found", None)
