@@ -23,6 +23,9 @@ from pyspark.sql import functions as F
 
 from lorewright.session import materialize
 
+#: About how many large baskets of an item one list may hold.
+LONGEST = 20_000
+
 
 def _explode_pairs(items: str) -> Column:
     """All pairs of a sorted array, smaller item first."""
@@ -61,12 +64,17 @@ def cooccurrence(rows: DataFrame, basket: str, item: str, min_support: int = 1,
     large = kept.groupBy("basket").agg(F.count("*").alias("size")).where(F.col("size") > block).select("basket")
     big = materialize(kept.join(large, "basket"), "large")
     ordinary = _ordinary_pairs(kept.join(large, "basket", "left_anti"))
-    lists = big.groupBy("item").agg(F.collect_list("basket").alias("in_large"))
-    la, lb = lists.select(F.col("item").alias("a"), F.col("in_large").alias("la")), lists.select(F.col("item").alias("b"), F.col("in_large").alias("lb"))
-    shared = F.coalesce(F.size(F.array_intersect("la", "lb")), F.lit(0))
-    # a pair's large baskets only matter where both items have any: the lists are joined to the pairs that can still reach the support
-    met = ordinary.join(la, "a", "left").join(lb, "b", "left").select("a", "b", (F.col("o") + F.when(F.col("la").isNotNull() & F.col("lb").isNotNull(), shared).otherwise(0)).alias("n_ab"))
-    dense = lists.where(F.size("in_large") >= min_support).select("item")
+    times = materialize(big.groupBy("item").agg(F.count("*").alias("times")), "times")
+    # lists of large baskets are cut into slots by a hash of the basket, so that none is longer than about LONGEST
+    slots = max(1, -(-(times.agg(F.max("times")).first()[0] or 0) // LONGEST))
+    lists = big.groupBy("item", F.pmod(F.xxhash64("basket"), F.lit(slots)).cast("int").alias("slot")).agg(F.collect_list("basket").alias("in_large"))
+    la, lb = lists.select(F.col("item").alias("a"), "slot", F.col("in_large").alias("la")), lists.select(F.col("item").alias("b"), "slot", F.col("in_large").alias("lb"))
+    slotted = ordinary.withColumn("slot", F.explode(F.sequence(F.lit(0), F.lit(slots - 1)))) if slots > 1 else ordinary.withColumn("slot", F.lit(0))
+    shared = F.when(F.col("la").isNotNull() & F.col("lb").isNotNull(), F.size(F.array_intersect("la", "lb"))).otherwise(0)
+    met = slotted.join(la, ["a", "slot"], "left").join(lb, ["b", "slot"], "left").select("a", "b", "o", shared.alias("h"))
+    met = met.groupBy("a", "b", "o").agg(F.sum("h").alias("h")) if slots > 1 else met
+    met = met.select("a", "b", (F.col("o") + F.col("h")).alias("n_ab"))
+    dense = times.where(F.col("times") >= min_support).select("item")
     only_large = _chunk_products(big.join(dense, "item", "left_semi"), block).where(F.col("h") >= min_support)
     rest = only_large.join(ordinary.select("a", "b"), ["a", "b"], "left_anti").select("a", "b", F.col("h").alias("n_ab"))
     found = met.where(F.col("n_ab") >= min_support).unionByName(rest)

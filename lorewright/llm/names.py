@@ -3,13 +3,14 @@
 Two records are linked when one of their names can be read as one name and
 they share a context (institution or ORCID); links are transitive.
 
-Every name is parsed into given names and family name (or the words of a
-group) and becomes a vector of character trigrams weighted by inverse document
-frequency, family names above given names.  Within a context the sparse
-cosine join pairs names that share one of their heaviest trigrams: in a global
-order from rare to common, names of cosine t or more must share a trigram of
-the prefix whose remainder has norm below t, so nothing is lost by the prefix.
-Pairs above the threshold are read against each other (initials, nicknames,
+Every name is parsed into given names and family name, or the words and the
+acronym of a group.  The parts that two names must nearly share (each family
+name, the group's words, its acronym) become vectors of character trigrams
+weighted by inverse document frequency.  Within a context a sparse cosine join
+pairs those that share one of their heaviest trigrams: in a global order from
+rare to common, vectors of cosine t or more must share a trigram of the prefix
+whose remainder has norm below t, so nothing is lost by the prefix.  Names
+that hold a similar part are read against each other (initials, nicknames,
 slips, swapped order, double names, acronyms); what reads as one is grouped:
 connected components, cut within by average linkage.
 
@@ -236,16 +237,18 @@ def names_of(display: Iterable[str | None], alternatives: Iterable[str | None])
     return kept
 
 
-def trigrams(name: Name) -> dict[str, float]:
-    """Trigrams with the weight of the part they stand in."""
-    out: dict[str, float] = {}
-    strong = name[2] if name[0] == "p" else (*name[1], *name[2])
-    weak = tuple(NICKNAMES.get(g, g) for g in name[1]) if name[0] == "p" else ()
-    for words, weight in ((strong, 1.0), (weak, 0.35)):
-        for w in words:
-            s = f"^{w.replace('rn', 'm')}$"
-            for i in range(len(s) - 2):
-                out[s[i : i + 3]] = max(out.get(s[i : i + 3], 0.0), weight)
+def facets(name: Name) -> set[str]:
+    """The strings that names must nearly share to be read as one: family names, a group's words, its acronym."""
+    if name[0] == "p":
+        return set(name[2])
+    return {*name[2], *([" ".join(name[1])] if name[1] else [])} - {""}
+
+
+def trigrams(facet: str) -> set[str]:
+    out: set[str] = set()
+    for w in facet.split():
+        s = f"^{w.replace('rn', 'm')}$"
+        out.update(s[i : i + 3] for i in range(len(s) - 2))
     return out
 
 
@@ -281,21 +284,53 @@ def author_names(rows: DataFrame) -> DataFrame:
     return named.select("id", F.explode("names").alias("name"), "contexts")
 
 
-def _vectors(names: DataFrame) -> DataFrame:
-    """``name, gram, weight``: unit tf-idf vectors of the distinct names."""
+def _facets(names: DataFrame) -> DataFrame:
+    """``name, facet`` of the distinct names."""
+
+    def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            rows = [(n, f) for n in b["name"] for f in sorted(facets(decode(n)))]
+            yield pd.DataFrame(rows, columns=["name", "facet"])
+
+    return names.mapInPandas(split, "name string, facet string")
+
+
+def _vectors(distinct: DataFrame) -> DataFrame:
+    """``facet, gram, df, weight``: unit vectors of the distinct facets, weighted by inverse document frequency."""
 
     def grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            rows = [(n, g, w) for n in b["name"] for g, w in trigrams(decode(n)).items()]
-            yield pd.DataFrame(rows, columns=["name", "gram", "tf"])
+            rows = [(f, g) for f in b["facet"] for g in sorted(trigrams(f))]
+            yield pd.DataFrame(rows, columns=["facet", "gram"])
 
-    g = materialize(names.mapInPandas(grams, "name string, gram string, tf double"), "grams")
-    total = names.agg(F.count("*").alias("n"))
+    g = materialize(distinct.mapInPandas(grams, "facet string, gram string"), "grams")
+    total = distinct.agg(F.count("*").alias("n"))
     df = g.groupBy("gram").agg(F.count("*").alias("df"))
     # the root damps the rare trigrams that a slip makes
-    weighted = g.join(df, "gram").withColumn("w", F.col("tf") * F.sqrt(F.log(F.lit(1.0) + total.scalar() / F.col("df"))))
-    norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("name")))
-    return weighted.withColumn("weight", F.col("w") / norm).select("name", "gram", "df", "weight")
+    weighted = g.join(df, "gram").withColumn("w", F.sqrt(F.log(F.lit(1.0) + total.scalar() / F.col("df"))))
+    norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("facet")))
+    return weighted.withColumn("weight", F.col("w") / norm).select("facet", "gram", "df", "weight")
+
+
+def similar_facets(placed: DataFrame, threshold: float) -> DataFrame:
+    """``context, fa, fb``, fa < fb: facets of one context with a cosine of at least ``threshold``.
+
+    Only trigrams of the prefix are joined: in the order from rare to common,
+    the rest of a vector whose norm is below the threshold cannot make two
+    vectors similar by itself.
+    """
+    vectors = materialize(_vectors(placed.select("facet").distinct()), "vectors")
+    w = Window.partitionBy("facet").orderBy("df", "gram").rowsBetween(Window.unboundedPreceding, -1)
+    rest = F.lit(1.0) - F.coalesce(F.sum(F.col("weight") * F.col("weight")).over(w), F.lit(0.0))
+    prefix = vectors.withColumn("rest", rest).where(F.col("rest") >= threshold * threshold - 1e-9).select("facet", "gram")
+    at = placed.join(prefix, "facet")
+    met = at.select("context", "gram", F.col("facet").alias("fa")).join(at.select("context", "gram", F.col("facet").alias("fb")), ["context", "gram"])
+    pairs = materialize(met.where("fa < fb").select("context", "fa", "fb").distinct(), "facetpairs")
+    lists = vectors.groupBy("facet").agg(F.map_from_entries(F.collect_list(F.struct("gram", "weight"))).alias("v"))
+    dot = F.aggregate(F.map_entries("va"), F.lit(0.0), lambda s, e: s + e["value"] * F.coalesce(F.try_element_at(F.col("vb"), e["key"]), F.lit(0.0)))
+    both = pairs.select("fa", "fb").distinct().join(lists.select(F.col("facet").alias("fa"), F.col("v").alias("va")), "fa").join(lists.select(F.col("facet").alias("fb"), F.col("v").alias("vb")), "fb")
+    close = both.where(dot >= threshold).select("fa", "fb")
+    return pairs.join(close, ["fa", "fb"]).select("context", "fa", "fb")
 
 
 def _readable_pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -304,25 +339,19 @@ def _readable_pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield b[keep]
 
 
-def similar_names(named: DataFrame, threshold: float = 0.35) -> DataFrame:
-    """``context, na, nb, cosine``: distinct names that share a context and read as one.
+def similar_names(named: DataFrame, threshold: float = 0.28) -> DataFrame:
+    """``context, na, nb``: distinct names that share a context and read as one.
 
     ``named`` has ``context, name`` distinct.
     """
-    vectors = materialize(_vectors(named.select("name").distinct()), "vectors")
-    w = Window.partitionBy("name").orderBy("df", "gram")
-    rest = F.lit(1.0) - F.sum(F.col("weight") * F.col("weight")).over(w.rowsBetween(Window.unboundedPreceding, -1))
-    prefix = vectors.withColumn("rest", F.coalesce(rest, F.lit(1.0))).where(F.col("rest") >= threshold * threshold - 1e-9).select("name", "gram")
-    placed = named.join(prefix, "name")
-    pairs = placed.select("context", "gram", F.col("name").alias("na")).join(placed.select("context", "gram", F.col("name").alias("nb")), ["context", "gram"]).where("na < nb").select("context", "na", "nb").distinct()
-    pairs = materialize(pairs, "namepairs")
+    holds = materialize(named.join(_facets(named.select("name").distinct()), "name").select("context", "facet", "name"), "facets")
+    placed = materialize(holds.select("context", "facet").distinct(), "placed")
+    near = similar_facets(placed, threshold).unionByName(placed.select("context", F.col("facet").alias("fa"), F.col("facet").alias("fb")))
+    left, right = holds.select("context", F.col("facet").alias("fa"), F.col("name").alias("x")), holds.select("context", F.col("facet").alias("fb"), F.col("name").alias("y"))
+    met = near.join(left, ["context", "fa"]).join(right, ["context", "fb"]).where((F.col("fa") < F.col("fb")) | (F.col("x") < F.col("y"))).where("x <> y")
+    pairs = materialize(met.select("context", F.least("x", "y").alias("na"), F.greatest("x", "y").alias("nb")).distinct(), "namepairs")
     texts = pairs.select("na", "nb").distinct()
-    lists = vectors.groupBy("name").agg(F.map_from_entries(F.collect_list(F.struct("gram", "weight"))).alias("v"))
-    dot = F.aggregate(F.map_entries("va"), F.lit(0.0), lambda s, e: s + e["value"] * F.coalesce(F.try_element_at(F.col("vb"), e["key"]), F.lit(0.0)))
-    both = texts.join(lists.select(F.col("name").alias("na"), F.col("v").alias("va")), "na").join(lists.select(F.col("name").alias("nb"), F.col("v").alias("vb")), "nb")
-    scored = both.select("na", "nb", dot.alias("cosine")).where(F.col("cosine") >= threshold)
-    read = scored.mapInPandas(_readable_pairs, scored.schema)
-    return pairs.join(read, ["na", "nb"]).select("context", "na", "nb", "cosine")
+    return pairs.join(texts.mapInPandas(_readable_pairs, texts.schema), ["na", "nb"]).select("context", "na", "nb")
 
 
 def average_linkage(n: int, links: dict[tuple[int, int], float], cut: float) -> list[int]:
@@ -395,20 +424,20 @@ def cluster_components(edges: DataFrame, cut: float = 0.2) -> DataFrame:
     return plain.unionByName(cut_up)
 
 
-def author_links(rows: DataFrame, threshold: float = 0.35) -> DataFrame:
+def author_links(rows: DataFrame, threshold: float = 0.28) -> DataFrame:
     """``a, b``: links between ids; equal names of a context link to its smallest id."""
     named = materialize(author_names(rows), "names")
     at = named.select("id", "name", F.explode("contexts").alias("context"))
     heads = materialize(at.groupBy("context", "name").agg(F.min("id").alias("head")), "heads")
     star = at.join(heads, ["context", "name"]).where("id <> head").select(F.col("head").alias("a"), F.col("id").alias("b"))
-    read = similar_names(heads.select("context", "name"), threshold)
+    read = similar_names(heads.select("context", "name"), threshold)  # over distinct names, not ids
     first = heads.select("context", F.col("name").alias("na"), F.col("head").alias("ha"))
     second = heads.select("context", F.col("name").alias("nb"), F.col("head").alias("hb"))
     across = read.join(first, ["context", "na"]).join(second, ["context", "nb"]).where("ha <> hb")
     return star.unionByName(across.select(F.least("ha", "hb").alias("a"), F.greatest("ha", "hb").alias("b"))).distinct()
 
 
-def author_clusters(rows: DataFrame, threshold: float = 0.35) -> DataFrame:
+def author_clusters(rows: DataFrame, threshold: float = 0.28) -> DataFrame:
     """``id, cluster`` of every id that is linked to another."""
     return cluster_components(materialize(author_links(rows, threshold), "links"))
 

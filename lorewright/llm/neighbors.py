@@ -180,8 +180,8 @@ def nearest_neighbors(df: DataFrame, key: str, vector: str, k: int = 5, min_cosi
     h = hashing or Hashing()
     units = unit_vectors(df, key, vector, h.dimensions)
     units = materialize(units.withColumn("class", F.xxhash64("unit")), "units")
-    classes = materialize(units.groupBy("class").agg(F.min("unit").alias("unit")).withColumnRenamed("class", "id"), "classes")
-    pairs = candidate_pairs(classes, h, min_cosine)
+    classes = materialize(units.groupBy("class").agg(F.min("unit").alias("unit"), F.min("key").alias("first")).withColumnRenamed("class", "id"), "classes")
+    pairs = candidate_pairs(classes.select("id", "unit"), h, min_cosine)
     left = classes.select(F.col("id").alias("a"), F.col("unit").alias("ua"))
     right = classes.select(F.col("id").alias("b"), F.col("unit").alias("ub"))
     scored = pairs.join(left, "a").join(right, "b").select("a", "b", "ua", "ub").mapInArrow(_exact, "a bigint, b bigint, cosine double")
@@ -192,7 +192,10 @@ def nearest_neighbors(df: DataFrame, key: str, vector: str, k: int = 5, min_cosi
     few = members.withColumn("place", F.row_number().over(w)).where(F.col("place") <= k + 1).drop("place")
     links = close.select("a", "b", "cosine").unionByName(close.select(F.col("b").alias("a"), F.col("a").alias("b"), "cosine"))
     links = links.unionByName(classes.select(F.col("id").alias("a"), F.col("id").alias("b"), F.lit(1.0).alias("cosine")))
-    # candidates are ranked per class, one more than k since a member is no neighbour of its own
+    # of the classes near a class, the k+1 that begin its list hold all of its k+1 nearest keys
+    ordered = Window.partitionBy("a").orderBy(F.desc("cosine"), "first")
+    links = links.join(classes.select(F.col("id").alias("b"), "first"), "b").withColumn("place", F.row_number().over(ordered)).where(F.col("place") <= k + 1).drop("place", "first")
+    # keys are ranked per class, one more than k since a member is no neighbour of its own
     near = links.join(few.select(F.col("key").alias("key_b"), F.col("class").alias("b")), "b").select("a", "key_b", "cosine")
     best = near.withColumn("place", F.row_number().over(Window.partitionBy("a").orderBy(F.desc("cosine"), "key_b"))).where(F.col("place") <= k + 1).drop("place")
     out = members.select(F.col("key").alias("key_a"), F.col("class").alias("a")).join(best, "a").where("key_a <> key_b")

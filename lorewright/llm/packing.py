@@ -27,6 +27,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from lorewright.session import materialize
 
@@ -151,7 +152,9 @@ def _pieces(measured: DataFrame, doc_id: str, capacity: int) -> DataFrame:
     t = F.col("tokens")
     m = measured.select(F.col(f"`{doc_id}`").cast("bigint").alias("doc_id"), t).where("tokens > 0")
     copies = m.groupBy("doc_id", "tokens").agg(F.count("*").alias("n"))
-    one = copies.select("doc_id", "tokens", F.explode(F.sequence(F.lit(0), (F.col("n") - 1).cast("int"))).alias("copy"))
+    # copies of an id are numbered on from one length to the next; the window runs over lengths, not rows
+    upto = F.sum("n").over(Window.partitionBy("doc_id").orderBy("tokens"))
+    one = copies.withColumn("upto", upto).select("doc_id", "tokens", F.explode(F.sequence((F.col("upto") - F.col("n")).cast("int"), (F.col("upto") - 1).cast("int"))).alias("copy"))
     full = F.floor((t - 1) / capacity).cast("int")
     each = one.select("doc_id", "copy", F.posexplode(F.concat(F.array_repeat(F.lit(capacity), full), F.array((t - full * capacity).cast("int")))).alias("piece", "size"))
     return each.select("doc_id", "copy", "piece", F.col("size").alias("tokens"))

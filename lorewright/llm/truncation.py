@@ -42,11 +42,11 @@ _CLOSING = re.compile(
     | (?:received|revised|accepted|submitted|published|eingegangen|angenommen|re[çc]u|accept[ée]|publi[ée]|recibido|aceptado|publicado|available\s+online|last\s+updated?|updated|printed)\b[^.]*\d.*
     | n\s*=\s*\d.*
     | (?:clinical\s+)?trial\s+(?:registration|no|number|id).*
-    | [^\W\d]['’\w-]+,?\s+(?:[A-Z]\.?\s?){1,3}(?:,.*|et\s+al\.?)?\s*\(\d{4}[a-z]?\).*
+    | [^\W\d]['’\w-]+,?\s+(?-i:(?:[A-Z]\.?\s?){1,3})(?:,.*|et\s+al\.?)?\s*\(\d{4}[a-z]?\).*
     | (?:https?://|www\.|doi:|10\.\d{4,}/)\S+
     | \S+@\S+\.\w+
     | (?:©|\(c\)|copyright|all\s+rights).*
-    | [—–-]+\s*[A-Z][\w.]*(?:\s+[\w.'’-]+){0,4}(?:,\s*[\w\s]{2,40})?
+    | [—–-]+\s*(?-i:[A-Z])[\w.]*(?:\s+[\w.'’-]+){0,4}(?:,\s*[\w\s]{2,40})?
     | \d{1,2}[./-]\d{1,2}[./-]\d{2,4} | \d{4}-\d{2}-\d{2}
     | (?:table|figure|fig|tab|appendix|references|bibliography|acknowledge?ments?|literatur|danksagung|r[ée]f[ée]rences|referencias)\b.{0,60}
     )$""",
