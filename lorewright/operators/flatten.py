@@ -30,6 +30,14 @@ def _not_blank(c: Column) -> Column:
     return F.length(F.trim(F.coalesce(c, F.lit("")))) > 0
 
 
+def _side_ids(r: DataFrame, table: str, catalogue: str | None) -> DataFrame:
+    """One row per record that has ids; ``catalogue`` names the catalogue's own id field, placed after the key."""
+    key, *names = FLAT_COLUMNS[table]
+    if catalogue:
+        names = [catalogue, *names]
+    return r.where("ids IS NOT NULL").select(F.col("id").alias(key), *[F.try_element_at("ids", F.lit(n)).alias(n) for n in names])
+
+
 def _project(df: DataFrame, table: str) -> DataFrame:
     return df.select(*[F.col(c).cast("string").alias(c) for c in FLAT_COLUMNS[table]])
 
@@ -79,8 +87,12 @@ def flatten_works(records: DataFrame, authorship_mode: str = "all") -> dict[str,
     }
 
 
-def flatten_authors(records: DataFrame) -> dict[str, DataFrame]:
-    """authors, authors_ids, authors_counts_by_year."""
+def flatten_authors(records: DataFrame, catalogue: str | None = None) -> dict[str, DataFrame]:
+    """authors, authors_ids, authors_counts_by_year.
+
+    ``catalogue`` is the field of ``ids`` under which the catalogue gives its
+    own id; with it authors_ids has that column too.
+    """
     r = records.select("_record.*")
     authors = r.withColumns(
         {
@@ -90,7 +102,7 @@ def flatten_authors(records: DataFrame) -> dict[str, DataFrame]:
     )
     return {
         "authors": _project(authors, "authors"),
-        "authors_ids": _project(r.where("ids IS NOT NULL").select(F.col("id").alias("author_id"), "ids.*"), "authors_ids"),
+        "authors_ids": _side_ids(r, "authors_ids", catalogue),
         "authors_counts_by_year": _project(r.select(F.col("id").alias("author_id"), F.inline("counts_by_year")), "authors_counts_by_year"),
     }
 
@@ -110,13 +122,13 @@ def flatten_topics(records: DataFrame, keyword_separator: str = "; ") -> dict[st
     return {"topics": _project(topics, "topics")}
 
 
-def flatten_institutions(records: DataFrame) -> dict[str, DataFrame]:
-    """institutions, institutions_ids, institutions_geo."""
+def flatten_institutions(records: DataFrame, catalogue: str | None = None) -> dict[str, DataFrame]:
+    """institutions, institutions_ids, institutions_geo; ``catalogue`` as for authors."""
     r = records.select("_record.*")
     lists = {c: F.coalesce(F.to_json(c), F.lit("null")) for c in ("display_name_acronyms", "display_name_alternatives")}
     return {
         "institutions": _project(r.withColumns(lists), "institutions"),
-        "institutions_ids": _project(r.where("ids IS NOT NULL").select(F.col("id").alias("institution_id"), "ids.*"), "institutions_ids"),
+        "institutions_ids": _side_ids(r, "institutions_ids", catalogue),
         "institutions_geo": _project(r.where("geo IS NOT NULL").select(F.col("id").alias("institution_id"), "geo.*"), "institutions_geo"),
     }
 

@@ -15,7 +15,7 @@ RAW_DDL: dict[str, str] = {
         "id string, orcid string, display_name string, display_name_alternatives array<string>, "
         "works_count bigint, cited_by_count bigint, last_known_institution struct<id:string>, "
         "works_api_url string, updated_date string, "
-        "ids struct<openalex:string,orcid:string,scopus:string,twitter:string,wikipedia:string,mag:string>, "
+        "ids map<string,string>, "
         "counts_by_year array<struct<year:int,works_count:bigint,cited_by_count:bigint,oa_works_count:bigint>>"
     ),
     "topics": (
@@ -29,7 +29,7 @@ RAW_DDL: dict[str, str] = {
         "image_url string, image_thumbnail_url string, display_name_acronyms array<string>, "
         "display_name_alternatives array<string>, works_count bigint, cited_by_count bigint, "
         "works_api_url string, updated_date string, "
-        "ids struct<openalex:string,ror:string,grid:string,wikipedia:string,wikidata:string,mag:string>, "
+        "ids map<string,string>, "
         "geo struct<city:string,geonames_city_id:string,region:string,country_code:string,country:string,"
         "latitude:double,longitude:double>"
     ),
@@ -55,13 +55,15 @@ def raw_schema(entity: str) -> T.StructType:
 
 # --- flat tables ------------------------------------------------------------
 
+# The side tables of ids may begin with one more column, the id that the
+# catalogue gives under its own name; see ``flatten.flatten_authors``.
 FLAT_COLUMNS: dict[str, list[str]] = {
     "authors": ["id", "orcid", "display_name", "display_name_alternatives", "works_count", "cited_by_count", "last_known_institution", "works_api_url", "updated_date"],
-    "authors_ids": ["author_id", "openalex", "orcid", "scopus", "twitter", "wikipedia", "mag"],
+    "authors_ids": ["author_id", "orcid", "scopus", "twitter", "wikipedia", "mag"],
     "authors_counts_by_year": ["author_id", "year", "works_count", "cited_by_count", "oa_works_count"],
     "topics": ["id", "display_name", "subfield_id", "subfield_display_name", "field_id", "field_display_name", "domain_id", "domain_display_name", "description", "keywords", "works_api_url", "wikipedia_id", "works_count", "cited_by_count", "updated_date"],
     "institutions": ["id", "ror", "display_name", "country_code", "type", "homepage_url", "image_url", "image_thumbnail_url", "display_name_acronyms", "display_name_alternatives", "works_count", "cited_by_count", "works_api_url", "updated_date"],
-    "institutions_ids": ["institution_id", "openalex", "ror", "grid", "wikipedia", "wikidata", "mag"],
+    "institutions_ids": ["institution_id", "ror", "grid", "wikipedia", "wikidata", "mag"],
     "institutions_geo": ["institution_id", "city", "geonames_city_id", "region", "country_code", "country", "latitude", "longitude"],
     "works": ["id", "doi", "title", "display_name", "publication_year", "publication_date", "type", "cited_by_count", "is_retracted", "is_paratext", "language", "cited_by_api_url", "abstract_inverted_index"],
     "works_authorships": ["work_id", "author_position", "author_id", "institution_id", "raw_affiliation_string"],

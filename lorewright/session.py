@@ -49,9 +49,12 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     Like ``checkpoint()`` the result no longer depends on the lineage, but the
-    columnar files keep column pruning and predicate pushdown for readers.
+    columnar files keep column pruning and predicate pushdown for readers.  They
+    are removed when the application ends.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/lorewright-{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").option("compression", "zstd").parquet(path)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
     return spark.read.schema(df.schema).parquet(path)

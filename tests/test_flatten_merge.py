@@ -51,7 +51,8 @@ def test_flatten_other_entities(spark):
     a = records(spark, json.dumps({"id": "A1", "display_name_alternatives": ["x"], "last_known_institution": {"id": "I"}, "ids": {"mag": "7"}, "counts_by_year": [{"year": 2020, "works_count": 3}]}), entity="authors")
     t = flatten.flatten_authors(a)
     assert t["authors"].first().last_known_institution == "I"
-    assert t["authors_ids"].first().mag == "7"
+    assert t["authors_ids"].first().mag == "7" and "own" not in t["authors_ids"].columns
+    assert flatten.flatten_authors(a, "own")["authors_ids"].columns[:2] == ["author_id", "own"]
     assert tuple(t["authors_counts_by_year"].first())[:3] == ("A1", "2020", "3")
     topic = records(spark, json.dumps({"id": "T", "keywords": ["a", "b"], "subfield": {"id": "s"}, "updated": "2024-01-01", "extra": 1}), entity="topics")
     row = flatten.flatten_topics(topic)["topics"].first()
