@@ -26,7 +26,7 @@ batch changes nothing; an empty table gives an empty result.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -108,6 +108,12 @@ def author_features(authors: DataFrame) -> DataFrame:
     return r.distinct().mapInPandas(parse, _FEATURES)
 
 
+def with_class(features: DataFrame) -> DataFrame:
+    """Append ``cls``, the identity of a record's content."""
+    content = F.xxhash64("entity", "doi", "year", F.array_join("words", " "), F.array_join("names", ";"), F.array_join(F.array_sort("contexts"), ";"))
+    return features.withColumn("cls", content)
+
+
 def _verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for b in batches:
         keep = []
@@ -137,14 +143,15 @@ class IncrementalIndex:
         self.labels: DataFrame | None = None
         self.best: DataFrame | None = None
 
-    def _append(self, df: DataFrame, name: str) -> DataFrame:
-        df.write.mode("append").parquet(f"{self.path}/{name}")
-        return self.spark.read.schema(df.schema).parquet(f"{self.path}/{name}")
+    def _append(self, df: DataFrame, name: str, batch_no: int, by: Sequence[str] = ()) -> DataFrame:
+        """Add the rows of one batch to a table of the index, partitioned by batch, and read the table."""
+        df.withColumn("added", F.lit(batch_no)).write.mode("append").partitionBy("added", *by).parquet(f"{self.path}/{name}")
+        schema = df.select(*[c for c in df.columns if c not in by], F.lit(0).alias("added"), *by).schema
+        return self.spark.read.schema(schema).parquet(f"{self.path}/{name}")
 
-    def _append_postings(self, df: DataFrame) -> DataFrame:
+    def _append_postings(self, df: DataFrame, batch_no: int) -> DataFrame:
         placed = df.withColumn("bucket", F.pmod(F.xxhash64("token"), F.lit(self.buckets)).cast("int"))
-        placed.repartition(self.buckets, "bucket").write.mode("append").partitionBy("bucket").parquet(f"{self.path}/postings")
-        return self.spark.read.schema(placed.schema).parquet(f"{self.path}/postings")
+        return self._append(placed.repartition(self.buckets, "bucket"), "postings", batch_no, ["bucket"])
 
     def _prefixes(self, classes: DataFrame) -> DataFrame:
         """The rarest tokens of every token set, and the DOI as a token of its own."""
@@ -171,18 +178,21 @@ class IncrementalIndex:
         return look.join(held, ["token", "slot"]).where((F.col("a") != F.col("b")) & ~(F.col("da") & F.col("db")) & fits).select("entity", "a", "b").distinct()
 
     def add(self, features: DataFrame, batch_no: int) -> DataFrame:
-        """Accept one batch; returns ``entity, batch_no, id_a, id_b`` of its repetitions of earlier batches."""
-        content = F.xxhash64("entity", "doi", "year", F.array_join("words", " "), F.array_join("names", ";"), F.array_join(F.array_sort("contexts"), ";"))
-        rows = materialize(features.withColumn("cls", content), "batch")
+        """Accept one batch of features with their class.
+
+        Returns ``entity, batch_no, id_a, id_b`` of its repetitions of earlier batches.
+        """
+        rows = features
         head = F.min(F.struct(F.lit(batch_no).alias("batch_no"), "updated", "id")).alias("head")
         payload = [F.first(c).alias(c) for c in ("doi", "year", "words", "names", "contexts", "parts")]
         classes = rows.groupBy("entity", "cls").agg(head, *payload)
         if self.registry is not None:
             classes = classes.join(self.registry.select("cls"), "cls", "left_anti")
-        classes = materialize(classes.select("entity", "cls", "head", "doi", "year", "words", "names", "contexts", "parts"), "classes")
-        mine = materialize(self._prefixes(classes), "prefixes")
-        self.postings = self._append_postings(mine)
-        self.registry = self._append(classes.drop("parts"), "registry")
+        self.registry = self._append(classes.select("entity", "cls", "head", "doi", "year", "words", "names", "contexts", "parts"), "registry", batch_no)
+        mine_only = F.col("added") == batch_no
+        classes = self.registry.where(mine_only)
+        self.postings = self._append_postings(self._prefixes(classes), batch_no)
+        mine = self.postings.where(mine_only)
         # in the first batch works need no partner: nothing earlier exists
         probing = mine if self.best is not None else mine.where("entity <> 'works'")
         stored = self.registry.select("cls", "doi", "year", "words", "names", "contexts")
@@ -190,8 +200,8 @@ class IncrementalIndex:
         pairs = self._candidates(probing)
         matches = materialize(pairs.join(side("a"), "a").join(side("b"), "b").mapInPandas(_verify, "a bigint, b bigint"), "matches")
         own = rows.select("entity", "id").distinct()
-        fresh = materialize(own if self.ids is None else own.join(self.ids, ["entity", "id"], "left_anti"), "fresh")
-        self.ids = self._append(fresh.withColumn("first", F.lit(batch_no)), "ids")
+        self.ids = self._append(own if self.ids is None else own.join(self.ids.select("entity", "id"), ["entity", "id"], "left_anti"), "ids", batch_no)
+        fresh = self.ids.where(mine_only).select("entity", "id")
         heads = self.registry.select("cls", "head", "entity")
         found = self._repeated_works(rows, classes, matches, heads, batch_no).unionByName(self._repeated_authors(rows, matches, heads, batch_no))
         others = found.join(fresh, ["entity", "id"], "left_semi").where("id <> other")
@@ -204,7 +214,7 @@ class IncrementalIndex:
         partner = matches.join(heads.where("entity = 'works'").select(F.col("cls").alias("b"), F.col("head").alias("hb")), "b").where(F.col("hb.batch_no") < batch_no)
         earliest = classes.where("entity = 'works'").select("cls", "head").join(partner.select(F.col("a").alias("cls"), "hb"), "cls", "left")
         best = earliest.groupBy("cls").agg(F.least(F.min("head"), F.min("hb")).alias("best"))
-        self.best = self._append(best, "best")
+        self.best = self._append(best, "best", batch_no)
         return rows.where("entity = 'works'").join(self.best, "cls").where(F.col("best.batch_no") < batch_no).groupBy("entity", "id").agg(F.min("best").alias("best")).select("entity", "id", F.col("best.id").alias("other"))
 
     def _repeated_authors(self, rows: DataFrame, matches: DataFrame, heads: DataFrame, batch_no: int) -> DataFrame:
@@ -214,9 +224,9 @@ class IncrementalIndex:
         ha, hb = own.select(F.col("cls").alias("a"), F.col("head.id").alias("id")), own.select(F.col("cls").alias("b"), F.col("head.id").alias("other"))
         links = star.unionByName(matches.join(ha, "a").join(hb, "b").select("id", "other")).where("id <> other").distinct()
         links = materialize(links, "links")
-        mapped = self._with_fresh_labels(links, batch_no)
+        mapped = materialize(self._with_fresh_labels(links, batch_no), "labels")
         at = links.join(mapped.select("id", F.col("label").alias("la")), "id").join(mapped.select(F.col("id").alias("other"), F.col("label").alias("lb")), "other")
-        merged = materialize(connected_components(at.select(F.col("la").alias("a"), F.col("lb").alias("b"))), "merged")
+        merged = connected_components(at.select(F.col("la").alias("a"), F.col("lb").alias("b")))
         self.labels = materialize(mapped.join(merged.withColumnRenamed("node", "label"), "label", "left").select("id", F.coalesce("component", "label").alias("label")), "labels")
         there = rows.where("entity = 'authors'").select("entity", "id").distinct().join(self.labels, "id")
         return there.where(F.substring("label", 1, 4).cast("int") < batch_no).select("entity", "id", F.substring_index("label", "|", -1).alias("other"))
@@ -229,16 +239,16 @@ class IncrementalIndex:
         ends = links.select("id").unionByName(links.select(F.col("other").alias("id"))).distinct()
         if self.labels is not None:
             ends = ends.join(self.labels, "id", "left_anti")
-        first = self.ids.where("entity = 'authors'").select("id", "first")
+        first = self.ids.where("entity = 'authors'").select("id", F.col("added").alias("first"))
         dated = ends.join(first, "id", "left")
         fresh = dated.select("id", F.concat_ws("|", F.lpad(F.coalesce("first", F.lit(batch_no)).cast("string"), 4, "0"), "id").alias("label"))
-        return materialize(fresh if self.labels is None else self.labels.unionByName(fresh), "labels")
+        return fresh if self.labels is None else self.labels.unionByName(fresh)
 
 
 def repeated_records(works: DataFrame, authors: DataFrame, batches: list[int] | None = None) -> DataFrame:
     """``entity, batch_no, id_a, id_b`` over all batches, accepted one after the other."""
     features = work_features(works).unionByName(author_features(authors))
-    features = materialize(features, "features")
+    features = materialize(with_class(features), "features")
     if batches is None:  # a handful of batch numbers
         batches = sorted(r[0] for r in features.select("batch_no").distinct().collect())
     index = IncrementalIndex(works.sparkSession)
