@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,8 +11,9 @@ from lorewright.functions.ids import bare_doi, bare_id, bare_orcid, blank_to_nul
 from lorewright.functions.text import build_inverted_index, parse_alternatives, reconstruct_abstract, title_and_abstract
 from lorewright.operators import collaboration, flatten, mapping, merge, vectors
 from lorewright.plans.registry import Registry, table
-from lorewright.sources.flat import typed
-from lorewright.sources.snapshots import dates_in_range, nearest_date, parse_lines, partition_dates
+from lorewright.session import shared_dir
+from lorewright.sources.flat import read_flat, typed, write_flat
+from lorewright.sources.snapshots import dates_in_range, nearest_date, parse_lines, partition_dates, read_snapshot
 
 R = Registry()
 
@@ -159,6 +162,14 @@ def collaboration_degree(spark: SparkSession, d: str) -> DataFrame:
     return collaboration.degree(author_collaboration(spark, d))
 
 
+@R.add(
+    "last_wins_year",
+    f"SELECT w AS work_id, arg_max(y, k) AS year FROM (SELECT {_bare('id')} AS w, trim(publication_year) AS y, (batch_no, updated_date, trim(publication_year)) AS k FROM works WHERE trim(coalesce(publication_year,''))<>'') WHERE w IS NOT NULL GROUP BY w",
+)
+def last_wins_year(spark: SparkSession, d: str) -> DataFrame:
+    return collaboration.last_year(_years(spark, d), ["batch_no", "updated_date"])
+
+
 # --- incremental merge --------------------------------------------------------
 
 
@@ -482,6 +493,30 @@ def topic_vector(spark: SparkSession, d: str) -> DataFrame:
     return vectors.encode_text(t.select("id", "keywords"), F.col("keywords")).drop("keywords")
 
 
+@R.add(
+    "vector_similarity_matrix",
+    "SELECT q.vec_id AS a, c.vec_id AS b, round(20*list_dot_product(q.embedding::DOUBLE[], c.embedding::DOUBLE[]),4) AS score FROM embeddings q, embeddings c WHERE q.vec_id%100=0",
+)
+def vector_similarity_matrix(spark: SparkSession, d: str) -> DataFrame:
+    """Scaled dot products of a stated query set with all rows."""
+    e = table(spark, d, "embeddings")
+    q = e.where("vec_id % 100 = 0").select(F.col("vec_id").alias("a"), F.col("embedding").alias("x"))
+    c = e.select(F.col("vec_id").alias("b"), F.col("embedding").alias("y"))
+    return c.join(q, F.lit(True)).select("a", "b", F.round(20 * vectors.dot(F.col("x"), F.col("y")), 4).alias("score"))
+
+
+@R.add(
+    "vector_mean_pool",
+    "SELECT vec_id, round((embedding[1]::DOUBLE+embedding[17]::DOUBLE+embedding[33]::DOUBLE)/3,6) AS first, round((embedding[16]::DOUBLE+embedding[32]::DOUBLE+embedding[48]::DOUBLE)/3,6) AS last FROM embeddings",
+)
+def vector_mean_pool(spark: SparkSession, d: str) -> DataFrame:
+    """Each vector's four quarters stand in for tokens, of which the last is masked."""
+    e = table(spark, d, "embeddings")
+    tokens = F.transform(F.sequence(F.lit(0), F.lit(3)), lambda i: F.transform(F.slice("embedding", i * 16 + 1, F.lit(16)), lambda x: x.cast("double")))
+    pooled = vectors.mean_pool(tokens, F.array(F.lit(1.0), F.lit(1.0), F.lit(1.0), F.lit(0.0)), 16)
+    return e.select("vec_id", pooled.alias("p")).select("vec_id", F.round(F.get("p", 0), 6).alias("first"), F.round(F.get("p", 15), 6).alias("last"))
+
+
 # --- resume -------------------------------------------------------------------
 
 
@@ -499,3 +534,20 @@ def quality_report(spark: SparkSession, d: str) -> DataFrame:
     blank = lambda c: F.count(F.when(blank_to_null(F.col(c)).isNull(), 1))
     return a.agg(F.count("*").alias("rows"), blank("author_id").alias("no_author"), blank("institution_id").alias("no_institution"), blank("author_position").alias("no_position"))
 
+
+@R.add("csv_round_trip", "SELECT coalesce(id,'') AS id, coalesce(title,'') AS title, coalesce(doi,'') AS doi FROM works")
+def csv_round_trip(spark: SparkSession, d: str) -> DataFrame:
+    """Written as a compressed flat table and read again: quotes, line breaks and padding survive."""
+    path = f"{shared_dir(spark)}/lorewright-csv-{uuid.uuid4().hex}"
+    write_flat(table(spark, d, "works"), path, ["id", "title", "doi"])
+    return read_flat(spark, path)
+
+
+@R.add("snapshot_round_trip", "SELECT coalesce(id,'') AS id, display_name, batch_no::VARCHAR AS batch FROM topics WHERE trim(coalesce(id,''))<>''")
+def snapshot_round_trip(spark: SparkSession, d: str) -> DataFrame:
+    """Topics written as dated JSON lines and read as a snapshot of all dates."""
+    root = f"{shared_dir(spark)}/lorewright-lines-{uuid.uuid4().hex}"
+    t = table(spark, d, "topics")
+    lines = t.select(F.coalesce(F.col("updated_date").try_cast("date"), F.lit("1970-01-01").cast("date")).alias("updated_date"), F.to_json(F.struct("id", "display_name", F.col("batch_no").cast("string").alias("description"))).alias("value"))
+    lines.write.partitionBy("updated_date").option("compression", "gzip").text(f"{root}/topics")
+    return read_snapshot(spark, root, "topics").select("_record.id", "_record.display_name", F.col("_record.description").alias("batch"))
