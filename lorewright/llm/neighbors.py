@@ -77,6 +77,13 @@ def perturbations(functions: int, count: int) -> list[tuple[int, ...]]:
     return sets
 
 
+def _slices(batches: Iterable[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.RecordBatch]:
+    """Non-empty pieces of at most ``rows`` rows, so that a worker's arrays stay small whatever the batch size."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 def _matrix(column: pa.Array) -> np.ndarray:
     flat = column.flatten().to_numpy(zero_copy_only=False)
     return flat.reshape(len(column), -1)
@@ -88,9 +95,7 @@ _HASHED = pa.schema([("id", pa.int64()), ("s0", pa.int64()), ("s1", pa.int64()),
 def _hash_batches(batches: Iterable[pa.RecordBatch], h: Hashing) -> Iterator[pa.RecordBatch]:
     planes, shift, signs, mix = h.projections()
     sets = perturbations(h.functions, h.probes)
-    for batch in batches:
-        if batch.num_rows == 0:
-            continue
+    for batch in _slices(batches):
         x = _matrix(batch.column(1)).astype(np.float32)
         bits = np.packbits(x @ signs > 0, axis=1).view(np.int64)
         scaled = (x @ planes + shift) / h.width
@@ -115,9 +120,7 @@ _UNIT = pa.schema([("key", pa.string()), ("unit", pa.list_(pa.float32()))])
 
 
 def _unit_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        if batch.num_rows == 0:
-            continue
+    for batch in _slices(batches):
         x = _matrix(batch.column(1)).astype(np.float64)
         with np.errstate(all="ignore"):
             big = np.abs(x).max(axis=1, keepdims=True)
@@ -141,9 +144,7 @@ def unit_vectors(df: DataFrame, key: str, vector: str, dimensions: int) -> DataF
 
 def _exact(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("cosine", pa.float64())])
-    for batch in batches:
-        if batch.num_rows == 0:
-            continue
+    for batch in _slices(batches):
         x, y = _matrix(batch.column(2)).astype(np.float64), _matrix(batch.column(3)).astype(np.float64)
         cos = np.einsum("ij,ij->i", x, y) / np.sqrt(np.einsum("ij,ij->i", x, x) * np.einsum("ij,ij->i", y, y))
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(cos)], schema=schema)
