@@ -114,7 +114,7 @@ def with_class(features: DataFrame) -> DataFrame:
     return features.withColumn("cls", content)
 
 
-def _verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _verify(batches: Iterator[pd.DataFrame], established: frozenset[str]) -> Iterator[pd.DataFrame]:
     for b in batches:
         keep = []
         for entity, wa, wb, da, db, ya, yb, na, nb, ca, cb in zip(*[b[c] for c in ("entity", "words_a", "words_b", "doi_a", "doi_b", "year_a", "year_b", "names_a", "names_b", "contexts_a", "contexts_b")]):
@@ -125,7 +125,7 @@ def _verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 else:
                     keep.append(not pd.isna(ya) and not pd.isna(yb) and abs(ya - yb) <= 1 and same_title(list(wa), list(wb)))
             else:
-                keep.append(bool(set(ca) & set(cb)) and any(nm.same_name(nm.decode(x), nm.decode(y)) for x in na for y in nb))
+                keep.append(bool(set(ca) & set(cb)) and any(nm.same_name(nm.decode(x), nm.decode(y), established) for x in na for y in nb))
         yield b.loc[keep, ["a", "b"]]
 
 
@@ -137,6 +137,7 @@ class IncrementalIndex:
         self.path = path or f"{shared_dir(spark)}/lorewright-index-{uuid.uuid4().hex}"
         self.buckets = buckets
         self.order: DataFrame | None = None
+        self.established: frozenset[str] | None = None
         self.registry: DataFrame | None = None
         self.postings: DataFrame | None = None
         self.ids: DataFrame | None = None
@@ -193,12 +194,15 @@ class IncrementalIndex:
         classes = self.registry.where(mine_only)
         self.postings = self._append_postings(self._prefixes(classes), batch_no)
         mine = self.postings.where(mine_only)
+        if self.established is None:  # fixed by the first batch, like the order of the tokens
+            self.established = nm.established_names(classes.where("entity = 'authors'").select(F.explode("names").alias("name")))
+        common = self.established
         # in the first batch works need no partner: nothing earlier exists
         probing = mine if self.best is not None else mine.where("entity <> 'works'")
         stored = self.registry.select("cls", "doi", "year", "words", "names", "contexts")
         side = lambda s: stored.select(F.col("cls").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in stored.columns[1:]])
         pairs = self._candidates(probing)
-        matches = materialize(pairs.join(side("a"), "a").join(side("b"), "b").mapInPandas(_verify, "a bigint, b bigint"), "matches")
+        matches = materialize(pairs.join(side("a"), "a").join(side("b"), "b").mapInPandas(lambda batches: _verify(batches, common), "a bigint, b bigint"), "matches")
         own = rows.select("entity", "id").distinct()
         self.ids = self._append(own if self.ids is None else own.join(self.ids.select("entity", "id"), ["entity", "id"], "left_anti"), "ids", batch_no)
         fresh = self.ids.where(mine_only).select("entity", "id")

@@ -41,24 +41,28 @@ from lorewright.functions.ids import bare_id, bare_orcid
 from lorewright.llm.components import connected_components
 from lorewright.session import materialize
 
-#: Short forms of given names, as commonly known (fixed values).
+#: Short forms of given names and what they commonly stand for (fixed values).
 NICKNAMES = {
-    "alex": "alexander", "al": "alfred", "alf": "alfred", "andy": "andrew", "bab": "barbara", "barb": "barbara", "bastian": "sebastian",
-    "bea": "beatrix", "becky": "rebecca", "ben": "benjamin", "benny": "benjamin", "bernie": "bernhard", "bert": "albert", "beth": "elisabeth",
-    "bill": "william", "billy": "william", "bob": "robert", "bobby": "robert", "cathy": "catherine", "charlie": "charles", "chris": "christopher",
-    "chuck": "charles", "dan": "daniel", "danny": "daniel", "dave": "david", "deb": "deborah", "debbie": "deborah", "dick": "richard", "dora": "dorothea",
-    "dot": "dorothea", "ed": "edward", "eddie": "edward", "ernie": "ernest", "fran": "frances", "frank": "francis", "fred": "frederick", "freddy": "frederick",
-    "fritz": "frederick", "gabe": "gabriel", "gabby": "gabriel", "gene": "eugenia", "genie": "eugenia", "gerry": "gerald", "greg": "gregory", "gus": "gustav",
-    "hal": "harold", "hanna": "johanna", "harry": "harold", "hetty": "henrietta", "jake": "jacob", "jerry": "gerald", "jim": "james", "jimmy": "james",
-    "joe": "joseph", "joey": "joseph", "jon": "jonathan", "josie": "josephine", "kate": "catherine", "kathy": "catherine", "katie": "catherine",
-    "katya": "katarina", "ken": "kenneth", "larry": "laurence", "len": "leonard", "lena": "magdalena", "lenny": "leonard", "leo": "leopold", "libby": "elisabeth",
-    "lisa": "elisabeth", "liz": "elisabeth", "lizzie": "elisabeth", "lou": "louis", "maggie": "margaret", "mandy": "amanda", "marc": "marcus", "marty": "martin",
-    "matt": "matthew", "meg": "margaret", "mickey": "michael", "mike": "michael", "mina": "wilhelmina", "nat": "nathaniel", "nate": "nathaniel", "ned": "edward",
-    "nell": "eleonora", "nick": "nicholas", "nora": "eleonora", "pam": "pamela", "pat": "patricia", "patty": "patricia", "peg": "margaret", "peggy": "margaret",
-    "pete": "peter", "pippa": "philippa", "ray": "raimund", "rick": "richard", "rob": "robert", "robbie": "robert", "ron": "ronald", "rosie": "rosalind",
-    "sam": "samuel", "sandy": "alexander", "seb": "sebastian", "steve": "stefan", "sue": "susanna", "susie": "susanna", "ted": "edward", "theo": "theodora",
-    "thea": "dorothea", "tim": "timothy", "tom": "thomas", "tommy": "thomas", "tony": "anton", "val": "valentin", "vera": "veronica", "vicky": "victoria",
-    "vince": "vincent", "wally": "walter", "walt": "walter", "will": "william", "willy": "william", "zach": "zacharias", "zack": "zacharias",
+    "abby": "abigail", "al": "albert alfred alexander", "alex": "alexander alexandra", "alf": "alfred", "ali": "alicia", "andy": "andrew andrea", "angie": "angela",
+    "barb": "barbara", "barbie": "barbara", "bastian": "sebastian", "bea": "beatrix beatrice", "becky": "rebecca", "bella": "isabella", "ben": "benjamin", "benny": "benjamin",
+    "bernie": "bernhard bernard", "bert": "albert herbert", "beth": "elisabeth elizabeth", "betty": "elisabeth elizabeth", "bill": "william", "billy": "william", "bob": "robert",
+    "bobby": "robert", "cathy": "catherine", "charlie": "charles", "chris": "christopher christian christina", "chuck": "charles", "connie": "constance", "dan": "daniel", "danny": "daniel",
+    "dave": "david", "davy": "david", "deb": "deborah", "debbie": "deborah", "dick": "richard", "dolly": "dorothea", "dora": "dorothea theodora", "dot": "dorothea", "ed": "edward edmund",
+    "eddie": "edward edmund", "ellie": "eleonora", "ernie": "ernest", "essie": "esther", "flo": "florian florence", "fran": "frances franziska", "franzi": "franziska", "frank": "francis",
+    "fred": "frederick alfred", "freddy": "frederick alfred", "fritz": "frederick friedrich", "gabe": "gabriel", "gabby": "gabriel gabriela", "gene": "eugenia eugene", "genie": "eugenia",
+    "gerry": "gerald gerard", "gertie": "gertrude", "greg": "gregory", "gus": "gustav augustus", "hal": "harold henry", "hanna": "johanna hannah", "harry": "harold henry", "hetty": "henrietta",
+    "hettie": "henrietta", "izzy": "isabella isidor", "jack": "john", "jake": "jacob", "jerry": "gerald jeremias jeremiah", "jim": "james", "jimmy": "james", "jo": "josephine johanna joachim",
+    "joe": "joseph joachim", "joey": "joseph", "jon": "jonathan", "josie": "josephine", "jules": "julian julia", "kate": "catherine katarina katherine", "kathy": "catherine katarina katherine",
+    "katie": "catherine katarina katherine", "katya": "katarina catherine", "ken": "kenneth", "kit": "christopher", "larry": "laurence lawrence", "len": "leonard", "lena": "magdalena helena",
+    "lenny": "leonard", "leo": "leopold leonard", "libby": "elisabeth elizabeth", "lisa": "elisabeth elizabeth", "liz": "elisabeth elizabeth", "lizzie": "elisabeth elizabeth", "lou": "louis louise",
+    "luke": "lucas", "maggie": "margaret magdalena", "marc": "marcus", "mark": "marcus", "marty": "martin", "matt": "matthew", "meg": "margaret", "mick": "michael", "mike": "michael",
+    "mina": "wilhelmina", "minna": "wilhelmina", "mitch": "michael", "nat": "nathaniel natalia", "nate": "nathaniel", "ned": "edward", "nell": "eleonora helena", "nick": "nicholas", "nico": "nicholas",
+    "ollie": "oliver", "pam": "pamela", "pat": "patricia patrick", "patty": "patricia", "peg": "margaret", "peggy": "margaret", "pete": "peter", "phil": "philippa philip", "pippa": "philippa",
+    "raf": "rafael", "ray": "raimund raymond", "rick": "richard", "rob": "robert", "robbie": "robert", "ron": "ronald", "rosie": "rosalind", "roz": "rosalind", "sam": "samuel samantha",
+    "sandy": "alexander alexandra", "seb": "sebastian", "sol": "solveig", "steve": "stefan stephen", "sue": "susanna", "susie": "susanna", "suzy": "susanna", "ted": "edward theodor", "thea": "theodora dorothea",
+    "theo": "theodora theodor", "tilly": "matilda", "tim": "timothy", "tom": "thomas", "tommy": "thomas", "tony": "anton anthony", "trixie": "beatrix", "ursi": "ursula", "val": "valentin valeria",
+    "vera": "veronica", "vic": "victoria victor", "vicky": "victoria", "vince": "vincent", "vinny": "vincent", "wally": "walter", "walt": "walter", "will": "william", "willy": "william",
+    "zach": "zacharias", "zack": "zacharias",
 }
 
 #: Words that mark a group, and words without weight in its name (fixed values).
@@ -180,17 +184,20 @@ def _close(a: str, b: str, one: int, two: int) -> bool:
     return most > 0 and (slips(a, b, most) <= most or slips(a.replace("rn", "m"), b.replace("rn", "m"), most) <= most)
 
 
-def _given(a: str, b: str) -> bool:
+def _readings(given: str) -> tuple[str, ...]:
+    return (given, *NICKNAMES.get(given, "").split())
+
+
+def _given(a: str, b: str, established: frozenset[str] = frozenset()) -> bool:
+    """One given name in two writings; two names that are both common are no slips of each other."""
     if len(a) == 1 or len(b) == 1:
-        if a[0] == b[0]:
-            return True
         full, initial = (a, b) if len(b) == 1 else (b, a)
-        return NICKNAMES.get(full, full)[0] == initial
-    return _close(a, b, 4, 6) or _close(NICKNAMES.get(a, a), NICKNAMES.get(b, b), 4, 6)
+        return any(r[0] == initial for r in _readings(full))
+    return any(x == y or (not {x, y} <= established and _close(x, y, 4, 6)) for x in _readings(a) for y in _readings(b))
 
 
-def same_name(a: Name, b: Name) -> bool:
-    """Whether two parsed names can be read as one."""
+def same_name(a: Name, b: Name, established: frozenset[str] = frozenset()) -> bool:
+    """Whether two parsed names can be read as one; ``established`` holds the common given names."""
     if a[0] != b[0]:
         return False
     if a[0] == "g":
@@ -213,7 +220,7 @@ def same_name(a: Name, b: Name) -> bool:
         return False
     if not a[1] or not b[1]:
         return False
-    return all(_given(x, y) for x, y in zip(a[1], b[1]))
+    return all(_given(x, y, established) for x, y in zip(a[1], b[1]))
 
 
 def _abbreviates(short: Name, full: Name) -> bool:
@@ -333,17 +340,24 @@ def similar_facets(placed: DataFrame, threshold: float) -> DataFrame:
     return pairs.join(close, ["fa", "fb"]).select("context", "fa", "fb")
 
 
-def _readable_pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for b in batches:
-        keep = [same_name(decode(x), decode(y)) for x, y in zip(b["na"], b["nb"])]
-        yield b[keep]
+def established_names(named: DataFrame, share: float = 0.002, least: int = 5) -> frozenset[str]:
+    """First given names that at least this share of the persons in ``named`` (column ``name``) bear; at most 1 / share of them."""
+    person = named.where(F.col("name").startswith("p|")).select(F.split(F.split("name", r"\|")[1], " ")[0].alias("given")).where(F.length("given") > 1)
+    counts = person.groupBy("given").agg(F.count("*").alias("n"))
+    total = counts.agg(F.sum("n").alias("t"))
+    return frozenset(r[0] for r in counts.where((F.col("n") >= least) & (F.col("n") >= F.lit(share) * total.scalar())).select("given").collect())
 
 
-def similar_names(named: DataFrame, threshold: float = 0.28) -> DataFrame:
+def similar_names(named: DataFrame, threshold: float = 0.28, established: frozenset[str] = frozenset()) -> DataFrame:
     """``context, na, nb``: distinct names that share a context and read as one.
 
     ``named`` has ``context, name`` distinct.
     """
+
+    def readable(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            yield b[[same_name(decode(x), decode(y), established) for x, y in zip(b["na"], b["nb"])]]
+
     holds = materialize(named.join(_facets(named.select("name").distinct()), "name").select("context", "facet", "name"), "facets")
     placed = materialize(holds.select("context", "facet").distinct(), "placed")
     near = similar_facets(placed, threshold).unionByName(placed.select("context", F.col("facet").alias("fa"), F.col("facet").alias("fb")))
@@ -351,7 +365,7 @@ def similar_names(named: DataFrame, threshold: float = 0.28) -> DataFrame:
     met = near.join(left, ["context", "fa"]).join(right, ["context", "fb"]).where((F.col("fa") < F.col("fb")) | (F.col("x") < F.col("y"))).where("x <> y")
     pairs = materialize(met.select("context", F.least("x", "y").alias("na"), F.greatest("x", "y").alias("nb")).distinct(), "namepairs")
     texts = pairs.select("na", "nb").distinct()
-    return pairs.join(texts.mapInPandas(_readable_pairs, texts.schema), ["na", "nb"]).select("context", "na", "nb")
+    return pairs.join(texts.mapInPandas(readable, texts.schema), ["na", "nb"]).select("context", "na", "nb")
 
 
 def average_linkage(n: int, links: dict[tuple[int, int], float], cut: float) -> list[int]:
@@ -430,7 +444,7 @@ def author_links(rows: DataFrame, threshold: float = 0.28) -> DataFrame:
     at = named.select("id", "name", F.explode("contexts").alias("context"))
     heads = materialize(at.groupBy("context", "name").agg(F.min("id").alias("head")), "heads")
     star = at.join(heads, ["context", "name"]).where("id <> head").select(F.col("head").alias("a"), F.col("id").alias("b"))
-    read = similar_names(heads.select("context", "name"), threshold)  # over distinct names, not ids
+    read = similar_names(heads.select("context", "name"), threshold, established_names(named.select("name")))  # over distinct names, not ids
     first = heads.select("context", F.col("name").alias("na"), F.col("head").alias("ha"))
     second = heads.select("context", F.col("name").alias("nb"), F.col("head").alias("hb"))
     across = read.join(first, ["context", "na"]).join(second, ["context", "nb"]).where("ha <> hb")
