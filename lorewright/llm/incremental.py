@@ -6,7 +6,7 @@ order from rare to common, two sets whose overlap is at least a share t of the
 larger must share a token among the first ``n - ceil(t n) + 1`` of each.  A new
 batch posts its new classes, looks its prefixes up in the postings, drops
 pairs whose lengths rule the overlap out, verifies the rest on the stored
-contents, and leaves history untouched: postings, contents and labels are
+contents, and leaves history untouched: postings, contents and decisions are
 appended files, postings partitioned by a hash of the token.
 
 The token order is fixed by the frequencies of the first batch; tokens that
@@ -34,7 +34,6 @@ from pyspark.sql import functions as F
 
 from lorewright.functions.ids import bare_doi, bare_id, bare_orcid
 from lorewright.llm import names as nm
-from lorewright.llm.components import connected_components
 from lorewright.llm.titles import same_title, title_words
 from lorewright.session import materialize, shared_dir
 
@@ -141,8 +140,8 @@ class IncrementalIndex:
         self.registry: DataFrame | None = None
         self.postings: DataFrame | None = None
         self.ids: DataFrame | None = None
-        self.labels: DataFrame | None = None
         self.best: DataFrame | None = None
+        self.identity: DataFrame | None = None
 
     def _append(self, df: DataFrame, name: str, batch_no: int, by: Sequence[str] = ()) -> DataFrame:
         """Add the rows of one batch to a table of the index, partitioned by batch, and read the table."""
@@ -206,47 +205,47 @@ class IncrementalIndex:
         own = rows.select("entity", "id").distinct()
         self.ids = self._append(own if self.ids is None else own.join(self.ids.select("entity", "id"), ["entity", "id"], "left_anti"), "ids", batch_no)
         fresh = self.ids.where(mine_only).select("entity", "id")
-        heads = self.registry.select("cls", "head", "entity")
-        found = self._repeated_works(rows, classes, matches, heads, batch_no).unionByName(self._repeated_authors(rows, matches, heads, batch_no))
-        others = found.join(fresh, ["entity", "id"], "left_semi").where("id <> other")
+        repeated = self._settle(rows, matches, batch_no)
+        others = repeated.join(fresh, ["entity", "id"], "left_semi").where("id <> other")
         known = own.join(fresh, ["entity", "id"], "left_anti").select("entity", "id", F.col("id").alias("other"))
-        repeated = known.unionByName(others).select("entity", F.lit(batch_no).alias("batch_no"), F.least("id", "other").alias("id_a"), F.greatest("id", "other").alias("id_b"))
-        return materialize(repeated.distinct(), "repeated")
-
-    def _repeated_works(self, rows: DataFrame, classes: DataFrame, matches: DataFrame, heads: DataFrame, batch_no: int) -> DataFrame:
-        """``entity, id, other``: the earliest record that each works row repeats."""
-        partner = matches.join(heads.where("entity = 'works'").select(F.col("cls").alias("b"), F.col("head").alias("hb")), "b").where(F.col("hb.batch_no") < batch_no)
-        earliest = classes.where("entity = 'works'").select("cls", "head").join(partner.select(F.col("a").alias("cls"), "hb"), "cls", "left")
-        best = earliest.groupBy("cls").agg(F.least(F.min("head"), F.min("hb")).alias("best"))
-        self.best = self._append(best, "best", batch_no)
-        return rows.where("entity = 'works'").join(self.best, "cls").where(F.col("best.batch_no") < batch_no).groupBy("entity", "id").agg(F.min("best").alias("best")).select("entity", "id", F.col("best.id").alias("other"))
-
-    def _repeated_authors(self, rows: DataFrame, matches: DataFrame, heads: DataFrame, batch_no: int) -> DataFrame:
-        """``entity, id, other`` by labels: every linked id carries the earliest record of its group."""
-        own = heads.where("entity = 'authors'")
-        star = rows.where("entity = 'authors'").join(own.select("cls", "head"), "cls").select("id", F.col("head.id").alias("other"))
-        ha, hb = own.select(F.col("cls").alias("a"), F.col("head.id").alias("id")), own.select(F.col("cls").alias("b"), F.col("head.id").alias("other"))
-        links = star.unionByName(matches.join(ha, "a").join(hb, "b").select("id", "other")).where("id <> other").distinct()
-        links = materialize(links, "links")
-        mapped = materialize(self._with_fresh_labels(links, batch_no), "labels")
-        at = links.join(mapped.select("id", F.col("label").alias("la")), "id").join(mapped.select(F.col("id").alias("other"), F.col("label").alias("lb")), "other")
-        merged = connected_components(at.select(F.col("la").alias("a"), F.col("lb").alias("b")))
-        self.labels = materialize(mapped.join(merged.withColumnRenamed("node", "label"), "label", "left").select("id", F.coalesce("component", "label").alias("label")), "labels")
-        there = rows.where("entity = 'authors'").select("entity", "id").distinct().join(self.labels, "id")
-        return there.where(F.substring("label", 1, 4).cast("int") < batch_no).select("entity", "id", F.substring_index("label", "|", -1).alias("other"))
-
-    def _with_fresh_labels(self, links: DataFrame, batch_no: int) -> DataFrame:
-        """Labels for ids that are linked for the first time: batch, then id, so that the least label is the earliest.
-
-        An id accepted earlier but never linked until now carries its first batch.
+        pairs = known.unionByName(others).select("entity", F.lit(batch_no).alias("batch_no"), F.least("id", "other").alias("id_a"), F.greatest("id", "other").alias("id_b"))
+        return materialize(pairs.distinct(), "repeated")
+
+    def _settle(self, rows: DataFrame, matches: DataFrame, batch_no: int) -> DataFrame:
+        """``entity, id, other``: the earliest record that each row of the batch repeats.
+
+        Every class keeps the earliest record it is known to repeat, so a new
+        class takes over what its matches repeat and nothing older is visited
+        again.  For works that is the match itself; authors are transitive:
+        they take the match's earliest record, that of rows of the same id, and
+        that of matches within the batch, and hand theirs on to the older
+        classes they join.
         """
-        ends = links.select("id").unionByName(links.select(F.col("other").alias("id"))).distinct()
-        if self.labels is not None:
-            ends = ends.join(self.labels, "id", "left_anti")
-        first = self.ids.where("entity = 'authors'").select("id", F.col("added").alias("first"))
-        dated = ends.join(first, "id", "left")
-        fresh = dated.select("id", F.concat_ws("|", F.lpad(F.coalesce("first", F.lit(batch_no)).cast("string"), 4, "0"), "id").alias("label"))
-        return fresh if self.labels is None else self.labels.unionByName(fresh)
+        new = self.registry.where(F.col("added") == batch_no).select("entity", "cls", "head")
+        seeds = new.select("cls", F.col("head").alias("best"))
+        earlier = None
+        if self.best is not None:
+            earlier = self.best.groupBy("entity", "cls").agg(F.min("best").alias("best"))
+            heads = self.registry.where(F.col("added") < batch_no).select(F.col("cls").alias("b"), F.col("head").alias("hb"))
+            known = matches.join(earlier.select("entity", F.col("cls").alias("b"), "best"), "b").join(heads, "b")
+            seeds = seeds.unionByName(known.select(F.col("a").alias("cls"), F.when(F.col("entity") == "works", F.col("hb")).otherwise(F.col("best")).alias("best")))
+            ids = self.identity.where("entity = 'authors'").groupBy("id").agg(F.min("best").alias("best"))
+            seeds = seeds.unionByName(rows.where("entity = 'authors'").select("id", "cls").join(ids, "id").select("cls", "best"))
+        first = materialize(seeds.groupBy("cls").agg(F.min("best").alias("best")), "seeds")
+        within = matches.join(new.where("entity = 'authors'").select(F.col("cls").alias("b")), "b").join(first.select(F.col("cls").alias("b"), "best"), "b").select(F.col("a").alias("cls"), "best")
+        settled = first.unionByName(within).groupBy("cls").agg(F.min("best").alias("best"))
+        settled = materialize(settled.join(self.registry.select("entity", "cls"), "cls").select("entity", "cls", "best"), "settled")
+        update = settled
+        if earlier is not None:
+            joined = matches.join(settled.where("entity = 'authors'").select(F.col("cls").alias("a"), F.col("best").alias("v")), "a")
+            joined = joined.join(earlier.select("entity", F.col("cls").alias("b"), "best"), "b").where("v < best").select("entity", F.col("b").alias("cls"), F.col("v").alias("best"))
+            update = settled.unionByName(joined)
+        self.best = self._append(update, "best", batch_no)
+        now = self.best.groupBy("cls").agg(F.min("best").alias("best"))
+        of = rows.select("entity", "id", "cls").join(now, "cls").groupBy("entity", "id").agg(F.min("best").alias("best"))
+        self.identity = self._append(of, "identity", batch_no)
+        here = self.identity.where(F.col("added") == batch_no)
+        return here.where(F.col("best.batch_no") < batch_no).select("entity", "id", F.col("best.id").alias("other"))
 
 
 def repeated_records(works: DataFrame, authors: DataFrame, batches: list[int] | None = None) -> DataFrame:
