@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lorewright.session import let_workers_import
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -16,7 +19,12 @@ class Registry:
 
     def add(self, name: str, sql: str | None = None) -> Callable[[Query], Query]:
         def register(f: Query) -> Query:
-            self.queries[name] = f
+            @wraps(f)
+            def run(spark: SparkSession, root: str) -> DataFrame:
+                let_workers_import(spark)
+                return f(spark, root)
+
+            self.queries[name] = run
             if sql is not None:
                 self.sql[name] = sql
             return f

@@ -7,8 +7,10 @@ is shared by all executors, so the loss of one executor loses nothing.
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -32,6 +34,20 @@ def build_session(app: str = "lorewright", master: str | None = None, partitions
     return b.getOrCreate()
 
 
+def let_workers_import(spark: SparkSession) -> None:
+    """Put this package's folder on the path of the Python workers.
+
+    The driver may have found the package by its own path or working folder.
+    On machines without a shared file system the package is to be installed or
+    shipped with ``--py-files``.
+    """
+    root = str(Path(__file__).resolve().parents[1])
+    env = spark.sparkContext.environment
+    known = env.get("PYTHONPATH", "")
+    if root not in known.split(os.pathsep):
+        env["PYTHONPATH"] = f"{root}{os.pathsep}{known}" if known else root
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The shared scratch folder; one of our own only where the session names none."""
     configured = spark.conf.get(CHECKPOINT_KEY, None) or spark.sparkContext.getConf().get(CHECKPOINT_KEY)
