@@ -172,5 +172,6 @@ def p6_percentiles(spark: SparkSession, d: str) -> DataFrame:
 
 @CORE.add("p6_lists", None)
 def p6_lists(spark: SparkSession, d: str) -> DataFrame:
-    """The complete list of authors of every work, in chunks of about a thousand."""
-    return skew.chunked_lists(_frequencies(spark, d, *HEAVY[0]))
+    """The complete lists of the authors of every work and of the works that cite every work, in chunks of about a thousand."""
+    parts = [skew.chunked_lists(_frequencies(spark, d, n, k, v)).select(F.lit(n).alias("src_table"), "*") for n, k, v in HEAVY]
+    return reduce(DataFrame.unionByName, parts)

@@ -187,3 +187,11 @@ def test_chunked_lists(skewed):
         for v, n in zip(r["values"], r.weights):
             got[(r.key, v)] += n
     assert got == want and longest < 120
+
+
+def test_lists_of_every_heavy_table(spark, sf):
+    """The lists of each table hold all of its rows."""
+    from lorewright.plans.core_queries import CORE, HEAVY
+
+    rows = CORE.queries["p6_lists"](spark, sf).select("src_table", F.explode("weights").alias("n")).groupBy("src_table").agg(F.sum("n").alias("n"))
+    assert {r.src_table: r.n for r in rows.collect()} == {n: spark.read.parquet(f"{sf}/{n}.parquet").count() for n, _, _ in HEAVY}
