@@ -67,6 +67,16 @@ def p3_scores(spark: SparkSession, d: str) -> DataFrame:
     return s.select(F.col("item_a").alias("author_a"), F.col("item_b").alias("author_b"), "n_ab", F.round("lift", 6).alias("lift"))
 
 
+@LLM.add(
+    "p3_pairs",
+    f"WITH {_PAIRS.format(least=1)} SELECT p.a AS author_a, p.b AS author_b, n_ab, round(n_ab*t.t/(x.n*y.n)::DOUBLE, 6) AS lift FROM p JOIN n x ON x.a=p.a JOIN n y ON y.a=p.b, t",
+)
+def p3_pairs(spark: SparkSession, d: str) -> DataFrame:
+    """Common works and ratio to chance of every two authors that share a work."""
+    s = co.cooccurrence(_memberships(spark, d), "w", "a")
+    return s.select(F.col("item_a").alias("author_a"), F.col("item_b").alias("author_b"), "n_ab", F.round("lift", 6).alias("lift"))
+
+
 # --- 5: most similar vectors ----------------------------------------------------
 
 

@@ -12,6 +12,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from lorewright.llm import components, cooccurrence, neighbors, packing
+from lorewright.llm.queries import LLM
 
 # --- co-occurrence ---------------------------------------------------------------
 
@@ -44,6 +45,19 @@ def test_cooccurrence_of_nothing(spark):
     assert cooccurrence.cooccurrence(one, "w", "a").count() == 0
 
 
+def test_pairs_that_met_once(spark, sf):
+    """Every pair comes out of p3_pairs, with the numbers of its SQL."""
+    duckdb = pytest.importorskip("duckdb")
+    from tools_oracle import compare, connect
+
+    assert duckdb
+    con = connect(sf)
+    assert compare(spark, con, "p3_pairs", sf).startswith("ok")
+    ids = "SELECT regexp_extract(work_id, '([0-9]+)\\s*$', 1) AS w, regexp_extract(author_id, '([0-9]+)\\s*$', 1) AS a FROM works_authorships"
+    want = con.execute(f"WITH d AS (SELECT DISTINCT * FROM ({ids}) WHERE w <> '' AND a <> '') SELECT count(*) FROM (SELECT DISTINCT x.a, y.a FROM d x JOIN d y ON x.w = y.w AND x.a < y.a)").fetchone()[0]
+    assert con.execute(f"SELECT count(*) FROM ({LLM.sql['p3_pairs']})").fetchone()[0] == want
+
+
 # --- neighbours --------------------------------------------------------------------
 
 
