@@ -172,26 +172,20 @@ def candidate_pairs(classes: DataFrame, h: Hashing, min_cosine: float, crowd: in
     return met.select(F.least("q", "c").alias("a"), F.greatest("q", "c").alias("b")).distinct()
 
 
-def nearest_neighbors(df: DataFrame, key: str, vector: str, k: int = 5, min_cosine: float = 0.8, hashing: Hashing | None = None) -> DataFrame:
-    """``key_a, key_b, cosine, rank``: for each key_a its k most similar keys of at least ``min_cosine``.
-
-    Within a class of equal vectors the smallest ids come first, so even a
-    class that holds a third of all rows adds k rows per member.
-    """
-    h = hashing or Hashing()
-    units = unit_vectors(df, key, vector, h.dimensions)
+def _classes(df: DataFrame, key: str, vector: str, dimensions: int) -> tuple[DataFrame, DataFrame]:
+    """``key, unit, class`` of the vectors that take part, and ``id, unit, first`` of the classes of equal ones."""
+    units = unit_vectors(df, key, vector, dimensions)
     units = materialize(units.withColumn("class", F.xxhash64("unit")), "units")
     classes = materialize(units.groupBy("class").agg(F.min("unit").alias("unit"), F.min("key").alias("first")).withColumnRenamed("class", "id"), "classes")
-    pairs = candidate_pairs(classes.select("id", "unit"), h, min_cosine)
-    left = classes.select(F.col("id").alias("a"), F.col("unit").alias("ua"))
-    right = classes.select(F.col("id").alias("b"), F.col("unit").alias("ub"))
-    scored = pairs.join(left, "a").join(right, "b").select("a", "b", "ua", "ub").mapInArrow(_exact, "a bigint, b bigint, cosine double")
-    close = materialize(scored.where(F.col("cosine") >= min_cosine), "close")
+    return units, classes
+
+
+def _ranked(units: DataFrame, classes: DataFrame, links: DataFrame, k: int) -> DataFrame:
+    """``key_a, key_b, cosine, rank`` from ``links`` (``a, b, cosine``) of each class to the others near it."""
     # the k+1 smallest ids of each class are all that any member, inside or outside, can need
     members = units.select("key", "class")
     w = Window.partitionBy("class").orderBy("key")
     few = members.withColumn("place", F.row_number().over(w)).where(F.col("place") <= k + 1).drop("place")
-    links = close.select("a", "b", "cosine").unionByName(close.select(F.col("b").alias("a"), F.col("a").alias("b"), "cosine"))
     links = links.unionByName(classes.select(F.col("id").alias("a"), F.col("id").alias("b"), F.lit(1.0).alias("cosine")))
     # of the classes near a class, the k+1 that begin its list hold all of its k+1 nearest keys
     ordered = Window.partitionBy("a").orderBy(F.desc("cosine"), "first")
@@ -202,3 +196,61 @@ def nearest_neighbors(df: DataFrame, key: str, vector: str, k: int = 5, min_cosi
     out = members.select(F.col("key").alias("key_a"), F.col("class").alias("a")).join(best, "a").where("key_a <> key_b")
     ranked = out.withColumn("rank", F.row_number().over(Window.partitionBy("key_a").orderBy(F.desc("cosine"), "key_b")))
     return ranked.where(F.col("rank") <= k).select("key_a", "key_b", "cosine", "rank")
+
+
+def nearest_neighbors(df: DataFrame, key: str, vector: str, k: int = 5, min_cosine: float = 0.8, hashing: Hashing | None = None) -> DataFrame:
+    """``key_a, key_b, cosine, rank``: for each key_a its k most similar keys of at least ``min_cosine``.
+
+    Within a class of equal vectors the smallest ids come first, so even a
+    class that holds a third of all rows adds k rows per member.
+    """
+    h = hashing or Hashing()
+    units, classes = _classes(df, key, vector, h.dimensions)
+    pairs = candidate_pairs(classes.select("id", "unit"), h, min_cosine)
+    left = classes.select(F.col("id").alias("a"), F.col("unit").alias("ua"))
+    right = classes.select(F.col("id").alias("b"), F.col("unit").alias("ub"))
+    scored = pairs.join(left, "a").join(right, "b").select("a", "b", "ua", "ub").mapInArrow(_exact, "a bigint, b bigint, cosine double")
+    close = materialize(scored.where(F.col("cosine") >= min_cosine), "close")
+    links = close.select("a", "b", "cosine").unionByName(close.select(F.col("b").alias("a"), F.col("a").alias("b"), "cosine"))
+    return _ranked(units, classes, links, k)
+
+
+def _best_batches(batches: Iterable[pa.RecordBatch], block: tuple[np.ndarray, np.ndarray], k: int) -> Iterator[pa.RecordBatch]:
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("cosine", pa.float64())])
+    ids, y = block
+    for batch in _slices(batches, 256):
+        own, x = batch.column(0).to_numpy(), _matrix(batch.column(1))
+        score = x @ y.T
+        score[own[:, None] == ids[None, :]] = -2.0
+        n = min(k + 1, len(ids))
+        # single precision only sifts; whatever may be among the best is ranked by its exact cosine
+        least = np.partition(score, len(ids) - n, axis=1)[:, len(ids) - n, None] - np.float32(1e-5)
+        row, col = np.nonzero((score >= least) & (score > -1.5))
+        u, v = x[row].astype(np.float64), y[col].astype(np.float64)
+        cos = np.einsum("ij,ij->i", u, v) / np.sqrt(np.einsum("ij,ij->i", u, u) * np.einsum("ij,ij->i", v, v))
+        order = np.lexsort((col, -cos, row))
+        row, col, cos = row[order], col[order], cos[order]
+        keep = np.arange(len(row)) - np.searchsorted(row, row) <= k
+        yield pa.RecordBatch.from_arrays([pa.array(own[row[keep]]), pa.array(ids[col[keep]]), pa.array(cos[keep])], schema=schema)
+
+
+def exact_neighbors(df: DataFrame, key: str, vector: str, k: int = 5, dimensions: int = 384, block: int = 8192) -> DataFrame:
+    """``key_a, key_b, cosine, rank``: for each key_a its k most similar keys, however far.
+
+    Hashing has nothing to hold on to where the nearest vectors are far, so
+    all classes are compared, with one block of at most about ``block`` of
+    them at a time on the workers.  The work grows with the square of the
+    distinct vectors, memory does not grow.
+    """
+    spark = df.sparkSession
+    units, classes = _classes(df, key, vector, dimensions)
+    blocks = max(1, -(-classes.count() // block))
+    links = classes.select(F.col("id").alias("a"), F.col("id").alias("b"), F.lit(1.0).alias("cosine")).limit(0)
+    for i in range(blocks):
+        part = classes.where(F.pmod("id", F.lit(blocks)) == i).select("id", "first", "unit").toArrow().sort_by("first").combine_chunks()
+        if part.num_rows:
+            held = spark.sparkContext.broadcast((part["id"].to_numpy(), _matrix(part["unit"].combine_chunks())))
+            best = classes.select("id", "unit").mapInArrow(lambda b, held=held: _best_batches(b, held.value, k), "a bigint, b bigint, cosine double")
+            links = links.unionByName(materialize(best, "best"))
+            held.destroy()
+    return _ranked(units, classes, links, k)

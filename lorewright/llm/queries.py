@@ -80,22 +80,21 @@ def p3_pairs(spark: SparkSession, d: str) -> DataFrame:
 # --- 5: most similar vectors ----------------------------------------------------
 
 
-def _neighbors(spark: SparkSession, d: str) -> DataFrame:
-    v = table(spark, d, "works_vector").select(bare_id(F.col("work_id")).alias("w"), "vec")
-    return neighbors.nearest_neighbors(v, "w", "vec", k=5, min_cosine=0.8)
+def _vectors(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "works_vector").select(bare_id(F.col("work_id")).alias("w"), "vec")
 
 
 @LLM.add("p5_found", None)
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
     """Pairs of which one is among the other's 5 most similar and the cosine at least 0.80."""
-    n = _neighbors(spark, d)
+    n = neighbors.nearest_neighbors(_vectors(spark, d), "w", "vec", k=5, min_cosine=0.8)
     return n.select(F.least("key_a", "key_b").alias("work_a"), F.greatest("key_a", "key_b").alias("work_b")).distinct()
 
 
 @LLM.add("p5_neighbors", None)
 def p5_neighbors(spark: SparkSession, d: str) -> DataFrame:
-    """Neighbours with cosine and rank of the works whose id is divisible by 100, against all works."""
-    return _neighbors(spark, d).where(F.col("key_a").cast("bigint") % 100 == 0)
+    """The 5 most similar works of every work, with cosine and rank."""
+    return neighbors.exact_neighbors(_vectors(spark, d), "w", "vec", k=5)
 
 
 # --- 7: variant spellings of names ------------------------------------------------

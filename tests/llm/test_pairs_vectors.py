@@ -78,6 +78,26 @@ def test_recall_against_brute_force(spark):
     assert all(s[int(a), int(b)] >= 0.8 - 1e-5 for a, b in got)
 
 
+@pytest.mark.parametrize("block", [90, 8192])
+def test_neighbors_however_far(spark, sf, block):
+    """All k true neighbours of every vector, most of them far below 0.8."""
+    from pyspark.sql import functions as F
+
+    from lorewright.functions.ids import bare_id
+
+    v = spark.read.parquet(f"{sf}/works_vector.parquet").select(bare_id(F.col("work_id")).alias("w"), "vec")
+    units = sorted((r.key, r.unit) for r in neighbors.unit_vectors(v, "w", "vec", 384).collect())
+    keys, u = [k for k, _ in units], np.array([x for _, x in units], dtype=np.float64)
+    s = u @ u.T
+    np.fill_diagonal(s, -2)
+    fifth = {k: np.sort(x)[-5] for k, x in zip(keys, s)}
+    at = {k: i for i, k in enumerate(keys)}
+    got = neighbors.exact_neighbors(v, "w", "vec", 5, block=block).collect() if block < 8192 else LLM.queries["p5_neighbors"](spark, sf).collect()
+    assert len(keys) > 30 and Counter(r.key_a for r in got) == {k: 5 for k in keys}
+    assert all(r.key_a != r.key_b and s[at[r.key_a], at[r.key_b]] >= fifth[r.key_a] - 1e-6 for r in got)
+    assert sum(r.cosine < 0.8 for r in got) > len(got) / 2
+
+
 def test_vectors_that_take_no_part(spark):
     nan, inf = float("nan"), float("inf")
     good = [1.0] * 4
