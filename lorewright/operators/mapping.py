@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lorewright.functions.ids import strip_all
-from lorewright.functions.text import numeric_or_null, omit_empty, parse_alternatives, parse_inverted_index, reconstruct_abstract, text_or_empty
+from lorewright.functions.text import numeric_or_null, omit_empty, parse_alternatives, parse_inverted_index, reconstruct_abstract, text_or_empty, title_and_abstract
 
 #: Properties of each vertex and what stands for a column that the table lacks (fixed values).
 VERTEX_PROPERTIES: dict[str, dict[str, str]] = {
@@ -124,3 +124,9 @@ def work_documents(works: DataFrame, authorships: DataFrame, topics: DataFrame,
         parse_inverted_index(index).alias("abstract_inverted_index"),
     )
     return j.select(_cell(j, "id").alias("id"), _cell(j, "doi").alias("doi"), F.to_json(doc).alias("doc"))
+
+
+def work_texts(works: DataFrame) -> DataFrame:
+    """Append ``text``, the title and the abstract rebuilt from its inverted index; a table without that column has titles only."""
+    abstract = reconstruct_abstract(F.col("abstract_inverted_index")) if "abstract_inverted_index" in works.columns else F.lit("")
+    return works.withColumn("text", title_and_abstract(F.col("title"), abstract))

@@ -82,7 +82,7 @@ STEPS: tuple[Step, ...] = (
         lambda c: collaboration.collaboration_edges(collaboration.one_version(c["works_authorships"]), c["works"]).select("startid", "endid", "properties"),
     ),
     Step("09_work_reference_edge", "citation edges", "work_referenced_work_e", lambda c: mapping.reference_edges(c["works_referenced_works"])),
-    Step("10_works_vector", "work vectors", "works_vector", lambda c: _text_vectors(c["works"].withColumnRenamed("id", "work_id"), "work_id", "title", ("doi",))),
+    Step("10_works_vector", "work vectors", "works_vector", lambda c: _text_vectors(mapping.work_texts(c["works"]).withColumnRenamed("id", "work_id"), "work_id", "text", ("doi",))),
     Step("11_topics_vector", "topic vectors", "topics_vector", lambda c: _text_vectors(c["topics"], "id", "keywords")),
 )
 

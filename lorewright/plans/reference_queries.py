@@ -444,6 +444,12 @@ def title_abstract_text(spark: SparkSession, d: str) -> DataFrame:
     return _records(spark, d).select("raw_id", title_and_abstract(F.col("_record.title"), F.col("_record.language")).alias("text"))
 
 
+@R.add("work_text", None)
+def work_text(spark: SparkSession, d: str) -> DataFrame:
+    """Title and rebuilt abstract of every raw record: what a work vector is made from."""
+    return mapping.work_texts(_records(spark, d).select("raw_id", "_record.title", "_record.abstract_inverted_index")).select("raw_id", "text")
+
+
 # --- dates --------------------------------------------------------------------
 
 
@@ -483,8 +489,10 @@ def vector_cosine_topk(spark: SparkSession, d: str) -> DataFrame:
 
 @R.add("text_vector", None)
 def text_vector(spark: SparkSession, d: str) -> DataFrame:
-    w = merge.first_wins(table(spark, d, "works").select("id", "doi", "title", "batch_no"), ["id"], ["batch_no"])
-    return vectors.encode_text(w.select(F.col("id").alias("work_id"), "doi", "title"), F.col("title")).drop("title")
+    works = table(spark, d, "works")
+    w = merge.first_wins(works.select("id", "doi", "title", "batch_no", *[c for c in ("abstract_inverted_index",) if c in works.columns]), ["id"], ["batch_no"])
+    texts = mapping.work_texts(w).select(F.col("id").alias("work_id"), "doi", "text")
+    return vectors.encode_text(texts, F.col("text")).drop("text")
 
 
 @R.add("topic_vector", None)

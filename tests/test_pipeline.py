@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from lorewright import cli
+from lorewright.operators import vectors
 from lorewright.plans import pipeline
 from lorewright.session import materialize, shared_dir
 from lorewright.sources.flat import write_flat
@@ -49,6 +50,24 @@ def test_whole_run(spark, tmp_path, sf, capsys):
         pipeline.Config.load(config)
 
 
+def test_work_vectors_hold_the_abstract(spark, tmp_path):
+    rows = [("W1", "d", "Coastal grains", '{"erode": [1], "They": [0]}', 0), ("W2", None, None, '{"erode": [1], "They": [0]}', 0), ("W3", None, "Coastal grains", None, 0)]
+    df = spark.createDataFrame(rows, "id string, doi string, title string, abstract_inverted_index string, batch_no int")
+    want = {r.id: r.vec for r in vectors.encode_text(spark.createDataFrame([("W1", "Coastal grains They erode"), ("W2", "They erode"), ("W3", "Coastal grains")], "id string, t string"), F.col("t")).collect()}
+    step = pipeline.select_steps(["10"])[0]
+    assert {r.work_id: r.vec for r in step.run({"works": df}).collect()} == want
+    df.write.parquet(f"{tmp_path}/works.parquet")
+    assert {r.work_id: r.vec for r in entry.queries()["text_vector"](spark, str(tmp_path)).collect()} == want
+    bare = step.run({"works": df.drop("abstract_inverted_index")})
+    assert bare.columns == ["work_id", "doi", "vec"] and {r.work_id: r.vec for r in bare.collect()}["W1"] == want["W3"]
+
+
+def test_work_text_holds_the_abstract(spark, tmp_path):
+    line = json.dumps({"id": "W1", "title": "Coastal grains", "language": "en", "abstract_inverted_index": {"erode": [1], "They": [0]}})
+    spark.createDataFrame([(1, "2024-01-01", "f", line)], "raw_id bigint, updated_date string, file_name string, raw_json string").write.parquet(f"{tmp_path}/works_raw.parquet")
+    assert [tuple(r) for r in entry.queries()["work_text"](spark, str(tmp_path)).collect()] == [(1, "Coastal grains They erode")]
+
+
 def test_streaming_accepts_each_key_once(spark, tmp_path):
     (tmp_path / "in").mkdir()
     table, check = f"{tmp_path}/table", f"{tmp_path}/check"
