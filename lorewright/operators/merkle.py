@@ -154,6 +154,23 @@ def _id(name: str = "id") -> Column:
     return F.nullif(F.coalesce(bare_id(raw), raw), F.lit(""))
 
 
+def object_uses(store: ObjectStore) -> DataFrame:
+    """``field, child, n``: how often each object occurs under a parent field, at any depth; rows of one pair add up.
+
+    The uses of a child are those of its parents, summed over its bridges;
+    they are carried down a level at a time until no bridge is left.
+    """
+    nested = store.bridges.where("child IS NOT NULL").select("parent", "field", "child")
+    uses = store.records.where("root IS NOT NULL").groupBy(F.col("root").alias("parent")).agg(F.count("*").alias("n"))
+    found = None
+    while True:
+        level = materialize(nested.join(uses, "parent").groupBy("field", "child").agg(F.sum("n").alias("n")), "uses")
+        found = level if found is None else found.unionByName(level)
+        if level.isEmpty():
+            return found
+        uses = level.groupBy(F.col("child").alias("parent")).agg(F.sum("n").alias("n"))
+
+
 def flat_works(store: ObjectStore) -> dict[str, DataFrame]:
     """Flat child tables of works records, one row per record and place.
 

@@ -68,9 +68,7 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
 def p1_object_counts(spark: SparkSession, d: str) -> DataFrame:
     """Occurrences against stored objects per parent field: what storing once saves."""
     s = _store(spark, d)
-    uses = s.records.where("root IS NOT NULL").groupBy("root").agg(F.count("*").alias("n"))
-    first = s.bridges.where("child IS NOT NULL").join(uses, F.col("parent") == F.col("root")).select("field", "child", "n")
-    return first.groupBy("field").agg(F.sum("n").alias("occurrences"), F.count_distinct("child").alias("objects"))
+    return merkle.object_uses(s).groupBy("field").agg(F.sum("n").alias("occurrences"), F.count_distinct("child").alias("objects"))
 
 
 @CORE.add("p1_works", None)

@@ -57,6 +57,17 @@ def test_flat_tables(spark):
     assert got["works_topics"] == [(0, 0)] and got["works_referenced_works"] == [(0, 2), (0, 3)]
 
 
+def test_uses_at_every_depth(spark, tmp_path):
+    """An author below two authorships of one record and one of another counts three times."""
+    from lorewright.plans.core_queries import CORE
+
+    a = {"author": {"id": "A1", "last": {"id": "I1"}}}
+    lines = [json.dumps({"id": "W1", "authorships": [{**a, "n": 1}, {**a, "n": 2}]}), json.dumps({"id": "W2", "authorships": [{**a, "n": 1}], "last": {"id": "I1"}}), "{"]
+    spark.createDataFrame(list(enumerate(lines)), "raw_id bigint, raw_json string").write.parquet(f"{tmp_path}/works_raw.parquet")
+    got = {r.field: (r.occurrences, r.objects) for r in CORE.queries["p1_object_counts"](spark, str(tmp_path)).collect()}
+    assert got == {"authorships": (3, 2), "author": (3, 1), "last": (4, 1)}
+
+
 def test_long_text_and_empty_table(spark):
     long = json.dumps({"id": "W1", "title": "x" * 3_000_000})
     t = merkle.flat_works(store(spark, long))
