@@ -142,6 +142,8 @@ class IncrementalIndex:
         self.ids: DataFrame | None = None
         self.best: DataFrame | None = None
         self.identity: DataFrame | None = None
+        self.holds: DataFrame | None = None
+        self.links: DataFrame | None = None
 
     def _append(self, df: DataFrame, name: str, batch_no: int, by: Sequence[str] = ()) -> DataFrame:
         """Add the rows of one batch to a table of the index, partitioned by batch, and read the table."""
@@ -218,8 +220,8 @@ class IncrementalIndex:
         class takes over what its matches repeat and nothing older is visited
         again.  For works that is the match itself; authors are transitive:
         they take the match's earliest record, that of rows of the same id, and
-        that of matches within the batch, and hand theirs on to the older
-        classes they join.
+        that of matches within the batch, and ``_spread`` hands theirs on
+        through whole chains.
         """
         new = self.registry.where(F.col("added") == batch_no).select("entity", "cls", "head")
         seeds = new.select("cls", F.col("head").alias("best"))
@@ -235,11 +237,7 @@ class IncrementalIndex:
         within = matches.join(new.where("entity = 'authors'").select(F.col("cls").alias("b")), "b").join(first.select(F.col("cls").alias("b"), "best"), "b").select(F.col("a").alias("cls"), "best")
         settled = first.unionByName(within).groupBy("cls").agg(F.min("best").alias("best"))
         settled = materialize(settled.join(self.registry.select("entity", "cls"), "cls").select("entity", "cls", "best"), "settled")
-        update = settled
-        if earlier is not None:
-            joined = matches.join(settled.where("entity = 'authors'").select(F.col("cls").alias("a"), F.col("best").alias("v")), "a")
-            joined = joined.join(earlier.select("entity", F.col("cls").alias("b"), "best"), "b").where("v < best").select("entity", F.col("b").alias("cls"), F.col("v").alias("best"))
-            update = settled.unionByName(joined)
+        update = self._spread(rows, matches, settled, earlier, batch_no)
         self.best = self._append(update, "best", batch_no)
         now = self.best.groupBy("cls").agg(F.min("best").alias("best"))
         of = rows.select("entity", "id", "cls").join(now, "cls").groupBy("entity", "id").agg(F.min("best").alias("best"))
@@ -248,6 +246,33 @@ class IncrementalIndex:
         return here.where(F.col("best.batch_no") < batch_no).select("entity", "id", F.col("best.id").alias("other"))
 
 
+    def _spread(self, rows: DataFrame, matches: DataFrame, settled: DataFrame, earlier: DataFrame | None, batch_no: int) -> DataFrame:
+        """``settled`` and every author class that a chain of matches or shared ids gives an earlier record.
+
+        Each round hands the records lowered in the last one to their direct
+        neighbours among all stored matches and ids, and is written; it ends
+        when nothing is lowered any more.
+        """
+        authors = rows.where("entity = 'authors'").select("id", "cls").distinct()
+        self.holds = self._append(authors, "holds", batch_no)
+        pairs = matches.join(authors.select(F.col("cls").alias("a")).distinct(), "a", "left_semi").select("a", "b")
+        self.links = self._append(pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "links", batch_no)
+        to_id, of_id = self.holds.select("cls", "id").distinct(), self.holds.select("id", F.col("cls").alias("to")).distinct()
+        known = settled if earlier is None else settled.unionByName(earlier.select("entity", "cls", "best"))
+        known = known.where("entity = 'authors'").select("cls", "best")
+        front = known.join(authors.select("cls").distinct(), "cls", "left_semi").groupBy("cls").agg(F.min("best").alias("best"))
+        while True:
+            by_match = front.join(self.links.select(F.col("a").alias("cls"), F.col("b").alias("to")), "cls").select(F.col("to").alias("cls"), "best")
+            by_id = front.join(to_id, "cls").groupBy("id").agg(F.min("best").alias("best")).join(of_id, "id").select(F.col("to").alias("cls"), "best")
+            least = by_match.unionByName(by_id).groupBy("cls").agg(F.min("best").alias("best"))
+            held = known.groupBy("cls").agg(F.min("best").alias("held"))
+            front = materialize(least.join(held, "cls").where("best < held").select("cls", "best"), "spread")
+            if front.isEmpty():
+                return settled
+            known = known.unionByName(front)
+            settled = settled.unionByName(front.select(F.lit("authors").alias("entity"), "cls", "best"))
+
+
 def repeated_records(works: DataFrame, authors: DataFrame, batches: list[int] | None = None) -> DataFrame:
     """``entity, batch_no, id_a, id_b`` over all batches, accepted one after the other."""
     features = work_features(works).unionByName(author_features(authors))

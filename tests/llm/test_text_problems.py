@@ -139,6 +139,26 @@ def test_repeated_records(spark):
     }
 
 
+def test_chains_of_four(spark):
+    """Neighbours of a chain share one institution; its ends share nothing."""
+    w = works(spark, [("1", None, "t", "2020", 0)]).limit(0)
+    name, other = "Oscar Plesingura", "Anna Zubokrira"
+    rows = [
+        # in the history: 1~2~3~4 through ORCIDs and institutions; then 5 matches 4 only
+        ("1", name, None, "71", None, 0, "2020-01-01"), ("2", "O. Plesingura", None, "71", "0000-0001-0000-0001", 0, "2021-01-01"), ("3", name, None, "72", "0000-0001-0000-0001", 0, "2022-01-01"),
+        ("4", "O. Plesingura", None, "72", "0000-0001-0000-0002", 0, "2023-01-01"), ("5", name, None, "73", "0000-0001-0000-0002", 1, "2024-01-01"),
+        # in one batch: 12~13~14, of which only 14 matches the older 11
+        ("11", other, None, "81", None, 0, "2020-01-01"), ("12", other, None, "83", None, 1, "2024-01-01"), ("13", "A. Zubokrira", None, "83", "0000-0001-0000-0003", 1, "2024-01-01"),
+        ("14", other, None, "81", "0000-0001-0000-0003", 1, "2024-01-01"),
+        # 22 is joined to the earlier 21 by 23; 24 matches 25, which only 22 knew
+        ("21", "Ivo Marenkil", None, "91", None, 0, "2020-01-01"), ("25", "I. Marenkil", None, "92", "0000-0001-0000-0004", 0, "2020-01-03"), ("22", "Ivo Marenkil", None, "93", "0000-0001-0000-0004", 0, "2020-01-02"),
+        ("23", "I. Marenkil", None, "91", "0000-0001-0000-0005", 1, "2024-01-01"), ("26", "Ivo Marenkil", None, "93", "0000-0001-0000-0005", 1, "2024-01-01"), ("24", "Ivo Marenkil", None, "92", None, 2, "2024-02-01"),
+    ]
+    a = spark.createDataFrame(rows, "id string, display_name string, display_name_alternatives string, last_known_institution string, orcid string, batch_no int, updated_date string")
+    got = {tuple(r)[1:] for r in incremental.repeated_records(w, a).collect()}
+    assert got == {(1, "1", "5"), (1, "11", "12"), (1, "11", "13"), (1, "11", "14"), (1, "21", "23"), (1, "21", "26"), (2, "21", "24")}
+
+
 def test_no_records(spark):
     w = works(spark, [("1", None, "t", "2020", 0)]).limit(0)
     a = authors(spark, [("1", "x", None, None, None)]).limit(0)
