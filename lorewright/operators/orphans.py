@@ -4,9 +4,16 @@ A Bloom filter over the parent keys proves most orphans without any join: a
 key that is not in the filter certainly has no parent.  Only references that
 pass are verified, by an exact join of their distinct (key, batch) pairs.
 
-Size bound: the filter never has more than ``max_bits`` bits whatever the
-number of parents; with more parents its false positives rise and more pairs
-go through the exact join, the result stays the same.
+Rows are tested before anything is shuffled, and only orphans travel: the
+distinct (key, batch) pairs of the references that pass meet the parents, the
+pairs found to be orphans become a second filter, and the rows that pass
+neither test never leave their task.
+
+Size bound: a filter is sized to its keys and has as many hashes as suit its
+bits per key, up to ``max_bits`` bits (16 MB) whatever the number of parents.
+It is full-sized up to 11 million parents; with 100 million it still proves
+about half of the orphans.  Beyond, more pairs go through the exact join; the
+result stays the same.
 
 Defined cases: blank and NULL references are no references; a reference that
 holds no digits stands for itself; NULL dates have month NULL; repeated rows
@@ -16,6 +23,7 @@ readable id are skipped; an empty child table gives no rows.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -24,38 +32,53 @@ from pyspark.sql import functions as F
 from lorewright.functions.ids import bare_id
 from lorewright.session import materialize
 
-_HASHES = 6
+MAX_BITS = 1 << 27
+
+
+@dataclass(frozen=True)
+class Bloom:
+    """One row with the filter as an array of 64-bit words; its number of bits and hashes."""
+
+    words: DataFrame
+    bits: int
+    hashes: int
+
+
+def _two(*key: Column) -> tuple[Column, Column]:
+    """Two 31-bit hashes, so that their multiples and sums never overflow."""
+    return F.shiftrightunsigned(F.xxhash64(*key), 33), F.shiftrightunsigned(F.xxhash64(*key, F.lit(17)), 33)
 
 
-def _positions(key: Column, bits: int) -> list[Column]:
-    """Double hashing over two 31-bit hashes, so that the sums never overflow."""
-    h1, h2 = (F.shiftrightunsigned(h, 33) for h in (F.xxhash64(key), F.xxhash64(key, F.lit(17))))
-    return [F.pmod(h1 + h2 * i, F.lit(bits)) for i in range(_HASHES)]
+def _positions(two: tuple[Column, Column], bits: int, hashes: int) -> list[Column]:
+    """Double hashing; ``bits`` is a power of two."""
+    return [(two[0] + two[1] * i).bitwiseAND(F.lit(bits - 1)) for i in range(hashes)]
 
 
-def bloom_filter(parents: DataFrame, key: str, max_bits: int = 1 << 24, bits_per_key: int = 12) -> tuple[DataFrame, int]:
-    """One row with the filter as an array of 64-bit words, and its number of bits.
+def bloom_filter(parents: DataFrame, two: tuple[Column, Column], max_bits: int = MAX_BITS, bits_per_key: int = 12) -> Bloom:
+    """The filter of all keys, each given by its two hashes.
 
     The only value fetched is the approximate number of keys, to size the
     filter; the words stay in the cluster and reach the tasks as the result of
     a scalar subquery, at most ``max_bits / 64`` of them.
     """
-    n = parents.agg(F.approx_count_distinct(key)).first()[0]
+    n = parents.agg(F.approx_count_distinct(F.xxhash64(*two))).first()[0]
     bits = 64
     while bits < min(max_bits, n * bits_per_key):
         bits *= 2
-    pos = parents.select(F.explode(F.array(*_positions(F.col(key), bits))).alias("p"))
+    hashes = min(8, max(1, round(0.69 * bits / max(n, 1))))
+    pos = parents.select(F.explode(F.array(*_positions(two, bits, hashes))).alias("p"))
     some = pos.groupBy(F.shiftrightunsigned("p", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(p & 63 as int))")).alias("bits"))
     every = parents.sparkSession.range(bits // 64).select(F.col("id").alias("word"), F.lit(0).cast("bigint").alias("bits"))
     words = some.unionByName(every).groupBy("word").agg(F.bit_or("bits").alias("bits"))
     # written out, as every mention of a subquery is planned on its own
-    return materialize(words.agg(F.transform(F.array_sort(F.collect_list(F.struct("word", "bits"))), lambda x: x["bits"]).alias("words")), "bloom"), bits
+    one = words.agg(F.transform(F.array_sort(F.collect_list(F.struct("word", "bits"))), lambda x: x["bits"]).alias("words"))
+    return Bloom(materialize(one, "bloom"), bits, hashes)
 
 
-def might_contain(bloom: DataFrame, bits: int, key: Column) -> Column:
+def might_contain(bloom: Bloom, two: tuple[Column, Column]) -> Column:
     """False proves that the key was not put into the filter; evaluated in the JVM."""
-    words = bloom.scalar()
-    tests = [F.getbit(F.get(words, F.shiftrightunsigned(p, 6).cast("int")), p.bitwiseAND(F.lit(63)).cast("int")) == 1 for p in _positions(key, bits)]
+    words = bloom.words.scalar()
+    tests = [F.getbit(F.get(words, F.shiftrightunsigned(p, 6).cast("int")), p.bitwiseAND(F.lit(63)).cast("int")) == 1 for p in _positions(two, bloom.bits, bloom.hashes)]
     return reduce(lambda a, b: a & b, tests)
 
 
@@ -73,30 +96,34 @@ def _readable(c: str) -> Column:
 
 
 def references(children: DataFrame, reference: str) -> DataFrame:
-    """Distinct non-blank references: ``work_id, ref_id, upd_month, batch_no, n``."""
+    """The rows that hold a non-blank reference: ``work_id, ref_id, upd_month, batch_no``."""
     month = F.when(F.length("updated_date") >= 7, F.substring("updated_date", 1, 7))
     rows = children.select(_readable("work_id").alias("work_id"), _readable(reference).alias("ref_id"), month.alias("upd_month"), "batch_no")
-    return rows.where("ref_id IS NOT NULL").groupBy("work_id", "ref_id", "upd_month", "batch_no").agg(F.count("*").alias("n"))
+    return rows.where("ref_id IS NOT NULL")
 
 
-def orphan_references(children: DataFrame, reference: str, history: DataFrame, max_bits: int = 1 << 24) -> DataFrame:
-    """Distinct references without a living parent at their batch.
+def orphan_references(children: DataFrame, reference: str, history: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
+    """Distinct references without a living parent at their batch, with their number of rows ``n``.
 
     Adds ``reason``: ``missing`` (no parent in any batch), ``late`` (a parent
     only in a later batch) or ``deleted``.  A hot key is one pair per batch in
-    the verification; the rows of definite orphans need no join at all, and the
-    rest meets only the verified orphan pairs.
+    the verification, after map-side combination.
     """
-    bloom, bits = bloom_filter(history.where("first_batch IS NOT NULL"), "ref_id", max_bits)
-    rows = materialize(references(children, reference).withColumn("_maybe", might_contain(bloom, bits, F.col("ref_id"))), "probed")
-    definite = rows.where(~F.col("_maybe")).withColumn("reason", F.lit("missing"))
-    maybe = rows.where("_maybe")
-    pairs = maybe.select("ref_id", "batch_no").distinct()
+    parents = bloom_filter(history.where("first_batch IS NOT NULL"), _two(F.col("ref_id")), max_bits)
+    # written out, as ids and hashes would be worked out anew for every bit of every test
+    h1, h2 = _two(F.col("ref_id"))
+    rows = materialize(references(children, reference).withColumns({"_h1": h1, "_h2": h2}), "references")
+    maybe = might_contain(parents, (F.col("_h1"), F.col("_h2")))
     gone = F.coalesce(F.col("deleted_batch") <= F.col("batch_no"), F.lit(False))
     late = F.coalesce(F.col("first_batch") > F.col("batch_no"), F.lit(False))
-    reason = F.when(F.col("first_batch").isNull(), "missing").when(gone, "deleted").when(late, "late")
-    verified = pairs.join(history, "ref_id", "left").select("ref_id", "batch_no", reason.alias("reason")).where("reason IS NOT NULL")
-    return definite.drop("_maybe").unionByName(maybe.drop("_maybe").join(verified, ["ref_id", "batch_no"]))
+    why = F.when(F.col("first_batch").isNull(), "missing").when(gone, "deleted").when(late, "late")
+    pairs = rows.where(maybe).select("ref_id", "batch_no").distinct().join(history, "ref_id", "left")
+    verified = materialize(pairs.select("ref_id", "batch_no", why.alias("why")).where("why IS NOT NULL"), "verified")
+    pair = lambda h: F.shiftrightunsigned(F.xxhash64(h, F.coalesce("batch_no", F.lit(-1))), 33)
+    known = bloom_filter(verified, (pair(h1), pair(h2)), max_bits)
+    suspect = rows.withColumn("_definite", ~maybe).where(F.col("_definite") | might_contain(known, (pair(F.col("_h1")), pair(F.col("_h2")))))
+    found = suspect.join(verified, ["ref_id", "batch_no"], "left").withColumn("reason", F.when(F.col("_definite"), "missing").otherwise(F.col("why")))
+    return found.where("reason IS NOT NULL").groupBy("work_id", "ref_id", "upd_month", "batch_no", "reason").agg(F.count("*").alias("n"))
 
 
 def orphan_report(orphans: DataFrame) -> DataFrame:
