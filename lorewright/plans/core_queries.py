@@ -49,33 +49,33 @@ UNION ALL SELECT raw_id, 'works_referenced_works', pos::INTEGER, {_readable('w')
 )
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
     """Flat rows of every raw record, rebuilt from the object store."""
-    flat = merkle.flat_works(_store(spark, d))
-
-    def rows(name: str, child: str, extra: str | None = None) -> DataFrame:
-        e = F.coalesce(F.col(extra), F.lit("")) if extra else F.lit("")
-        return flat[name].select(F.col("record").alias("raw_id"), F.lit(name).alias("src_table"), "item_pos", F.col(child).alias("child_id"), e.alias("extra_id"))
-
-    parts = [
-        rows("works", "work_id"),
-        rows("works_authorships", "author_id", "institution_id").distinct(),
-        rows("works_topics", "topic_id"),
-        rows("works_referenced_works", "referenced_work_id"),
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    rows = merkle.flat_rows(_store(spark, d))
+    ids = F.array_distinct(F.transform("institutions", lambda i: i["id"]))
+    extra = F.explode(F.when(F.size(ids) > 0, ids).otherwise(F.array(F.lit(""))))
+    return rows.select(F.col("record").alias("raw_id"), "src_table", "item_pos", "child_id", extra.alias("extra_id"))
 
 
 @CORE.add("p1_object_counts", None)
 def p1_object_counts(spark: SparkSession, d: str) -> DataFrame:
     """Occurrences against stored objects per parent field: what storing once saves."""
-    s = _store(spark, d)
-    return merkle.object_uses(s).groupBy("field").agg(F.sum("n").alias("occurrences"), F.count_distinct("child").alias("objects"))
+    uses = merkle.object_uses(table(spark, d, "works_raw"), "raw_json")
+    return uses.groupBy("field").agg(F.sum("n").alias("occurrences"), F.count("child").alias("objects"))
+
+
+_WORK_FIELDS = ", ".join(f"raw_json->>'$.{c}' AS {c}" for c in ("doi", "title", "publication_year", "publication_date", "type", "language"))
 
 
-@CORE.add("p1_works", None)
+@CORE.add("p1_works", f"SELECT raw_id, {_readable("(raw_json->>'$.id')")} AS work_id, {_WORK_FIELDS} FROM works_raw WHERE CASE WHEN json_valid(raw_json) THEN json_type(raw_json)='OBJECT' AND {_readable("(raw_json->>'$.id')")} IS NOT NULL ELSE false END")
 def p1_works(spark: SparkSession, d: str) -> DataFrame:
     return merkle.flat_works(_store(spark, d))["works"].drop("item_pos").withColumnRenamed("record", "raw_id")
 
 
+@CORE.add("p1_rejected", "SELECT raw_id, CASE WHEN trim(coalesce(raw_json,''))='' THEN 'blank' WHEN NOT json_valid(raw_json) THEN 'broken' ELSE 'no object' END AS problem FROM works_raw WHERE CASE WHEN json_valid(raw_json) THEN json_type(raw_json)<>'OBJECT' ELSE true END")
+def p1_rejected(spark: SparkSession, d: str) -> DataFrame:
+    """Lines that are not one complete JSON object, and why."""
+    return _store(spark, d).records.where("root IS NULL").select(F.col("record").alias("raw_id"), "problem")
+
+
 # --- 4: orphan references -----------------------------------------------------
 
 #: child table, reference column, parent table

@@ -29,8 +29,95 @@ def test_equal_subtrees_are_stored_once(spark):
     assert s.objects.where(F.get_json_object("payload", "$.id") == "A1").count() == 1
     places = sorted((r.field, r.ordinal) for r in s.bridges.where(F.col("parent") == roots[0]).collect())
     assert places == [("authorships", 0), ("authorships", 1)]
-    values = [(r.ordinal, r.value, r.child is None) for r in s.bridges.where("field = 'y'").orderBy("ordinal").collect()]
-    assert values == [(0, "1", True), (1, "2", True), (2, None, False)]
+    values = [(r.ordinal, r.value, r.type, r.child is None) for r in s.bridges.where("field = 'y'").orderBy("ordinal").collect()]
+    assert values == [(0, "1", "number", True), (1, "2", "number", True), (2, None, "object", False)]
+
+
+APART = [
+    ({"r": ["W11", "W12"]}, {"r": ["W11\x1er\x1f1\x1f\x1fW12"]}), ({"r": [1]}, {"r": ["1"]}), ({"r": [True]}, {"r": ["true"]}), ({"r": []}, {}), ({"r": [1, None]}, {"r": [1]}),
+    ({"r": [None, 1]}, {"r": [1]}), ({"r": {"a": 1}}, {"r": [{"a": 1}]}), ({"r": [[1, 2]]}, {"r": [[1], [2]]}), ({"r": [[]]}, {"r": []}), ({"a": 1, "b": [2]}, {"a": 1, "b": [2, 2]}),
+    ({"r": "[1]"}, {"r": [1]}), ({"a": {"b": 1}, "c": {"d": 2}}, {"a": {"d": 2}, "c": {"b": 1}}), ({"r": 1}, {"r": 1.0}), ({"r": "x"}, {"r": ["x"]}),
+]
+
+
+def test_different_objects_have_different_identities(spark):
+    s = store(spark, *[json.dumps(x) for pair in APART for x in pair])
+    roots = {r.record: r.root for r in s.records.collect()}
+    assert all(roots[2 * i] != roots[2 * i + 1] for i in range(len(APART)))
+
+
+def test_separators_in_values_lose_no_reference(spark):
+    lines = [json.dumps({"id": "W1", "referenced_works": x}) for x in (["W11", "W12"], ["W11\x1ereferenced_works\x1f1\x1f\x1fW12"])]
+    got = {(r.record, r.item_pos, r.referenced_work_id) for r in merkle.flat_works(store(spark, *lines))["works_referenced_works"].collect()}
+    assert got == {(0, 0, "11"), (0, 1, "12"), (1, 0, "12")}
+
+
+def test_objects_in_arrays_of_arrays_are_stored(spark):
+    s = store(spark, json.dumps({"id": "W1", "x": [[{"id": "A1"}, 3], {"id": "A1"}]}))
+    assert s.nodes.where("kind = 'object' AND id = 'A1'").count() == 1
+    array = s.bridges.where("field = 'x' AND type = 'array'").first().child
+    assert sorted((r.ordinal, r.type) for r in s.bridges.where(F.col("parent") == array).collect()) == [(0, "object"), (1, "number")]
+
+
+def rebuild(nodes, node):
+    """The value a stored node stands for."""
+    n = nodes[node]
+    out = json.loads(n.payload)
+    arrays = {f: [None] * k for f, k in json.loads(n.arrays).items()}
+    for c in n.children:
+        v = rebuild(nodes, c.child) if c.child else c.value if c.type == "string" else json.loads(c.value)
+        if c.listed:
+            arrays[c.field][c.ordinal] = v
+        else:
+            out[c.field] = v
+    return arrays[""] if n.kind == "array" else {**out, **arrays}
+
+
+def test_round_trip_of_every_record(spark, sf):
+    """Every complete record of the test table comes back from the store, null fields apart."""
+
+    def plain(v):
+        if isinstance(v, dict):
+            return {k: plain(x) for k, x in v.items() if x is not None}
+        return [plain(x) for x in v] if isinstance(v, list) else v
+
+    raw = spark.read.parquet(f"{sf}/works_raw.parquet")
+    s = merkle.build_store(raw, "raw_id", "raw_json")
+    nodes, texts = {r.node: r for r in s.nodes.collect()}, {r.raw_id: r.raw_json for r in raw.collect()}
+    whole = [r for r in s.records.collect() if r.root]
+    assert len(whole) > 10 and all(rebuild(nodes, r.root) == plain(json.loads(texts[r.record])) for r in whole)
+
+
+def test_object_counts_against_brute_force(spark, sf):
+    from lorewright.plans.core_queries import CORE
+
+    uses = defaultdict(Counter)
+
+    def canonical(v):
+        if isinstance(v, dict):
+            return {k: canonical(x) for k, x in sorted(v.items()) if x is not None}
+        return [canonical(x) for x in v] if isinstance(v, list) else v
+
+    def visit(v, field):
+        if isinstance(v, list):
+            for x in v:
+                visit(x, field)
+        elif isinstance(v, dict):
+            if field:
+                uses[field][json.dumps(canonical(v))] += 1
+            for k, x in v.items():
+                if k != "abstract_inverted_index":
+                    visit(x, k)
+
+    for r in spark.read.parquet(f"{sf}/works_raw.parquet").collect():
+        try:
+            v = json.loads(r.raw_json)
+        except (TypeError, ValueError):
+            continue
+        if isinstance(v, dict):
+            visit(v, "")
+    got = {r.field: (r.occurrences, r.objects) for r in CORE.queries["p1_object_counts"](spark, sf).collect()}
+    assert len(got) > 3 and got == {f: (sum(c.values()), len(c)) for f, c in uses.items()}
 
 
 @pytest.mark.parametrize("line", [None, "", "  ", "null", "[]", "[{}]", '"x"', "{", '{"id": "W1"', '{"id": "W1"} x', '{"id": NaN}', "{'id': 1}"])
@@ -76,9 +163,27 @@ def test_long_text_and_empty_table(spark):
     assert all(v.count() == 0 for v in merkle.flat_works(merkle.build_store(empty, "raw_id", "raw_json")).values())
 
 
-def test_deep_nesting_does_not_crash(spark):
-    deep = '{"a":' * 5000 + "1" + "}" * 5000
-    assert store(spark, deep).records.count() == 1
+@pytest.mark.parametrize("levels", [600, 1200, 5000])
+def test_depth_loses_no_row(spark, levels):
+    deep = '{"a":' * levels + '[[{"id": "A1"}]]' + "}" * levels
+    line = '{"id": "W1", "referenced_works": ["W2", null, "W3"], "x": ' + deep + "}"
+    s = store(spark, line, line.replace("W3", "W4"), "[" * levels + "]" * levels, line[:-1])
+    assert [r.problem for r in s.records.orderBy("record").collect()] == [None, None, "no object", "broken"]
+    got = {(r.record, r.item_pos, r.referenced_work_id) for r in merkle.flat_works(s)["works_referenced_works"].collect()}
+    assert got == {(0, 0, "2"), (0, 2, "3"), (1, 0, "2"), (1, 2, "4")}
+    assert s.nodes.count() == levels + 4  # two roots; the levels, the outer and inner array and the object are shared
+    assert merkle.object_uses(spark.createDataFrame([(line,)], "t string"), "t").agg(F.sum("n")).first()[0] == levels + 1
+
+
+@pytest.mark.parametrize("text", ['{"a": [1, -2.5e3, true, null, "x\\u00e9", {}, [], {"b": {}}]}', "[]", '"x"', " { } ", "[1,]", '{"a" 1}', '{"a": 1,}', "[1 2]", "{]", "", "nul", '{"a": 01}', "[1] x", '"'])
+def test_deep_parser_reads_like_the_plain_one(text):
+    try:
+        want = json.loads(text)
+    except ValueError:
+        with pytest.raises((ValueError, IndexError)):
+            merkle._parse_deep(text)
+    else:
+        assert merkle._parse_deep(text) == want
 
 
 # --- orphan references ------------------------------------------------------------
@@ -132,11 +237,11 @@ def test_orphans_against_brute_force(spark, bits):
 
 def test_bloom_filter_has_no_false_negatives(spark):
     keys = spark.range(5000).select(F.col("id").cast("string").alias("k"))
-    bloom, bits = orphans.bloom_filter(keys, "k")
-    inside = keys.select(orphans.might_contain(bloom, bits, F.col("k")).alias("m"))
-    outside = spark.range(10_000, 20_000).select(orphans.might_contain(bloom, bits, F.col("id").cast("string")).alias("m"))
-    assert inside.where("NOT m").count() == 0 and outside.where("m").count() < 500
-    assert orphans.bloom_filter(keys, "k", max_bits=1024)[1] == 1024
+    for most, wrong in ((orphans.MAX_BITS, 100), (1 << 13, 6500)):  # 12 bits a key or more, then fewer than 2
+        bloom = orphans.bloom_filter(keys, orphans._two(F.col("k")), max_bits=most)
+        inside = keys.select(orphans.might_contain(bloom, orphans._two(F.col("k"))).alias("m"))
+        outside = spark.range(10_000, 20_000).select(orphans.might_contain(bloom, orphans._two(F.col("id").cast("string"))).alias("m"))
+        assert bloom.bits <= most and inside.where("NOT m").count() == 0 and outside.where("m").count() < wrong
 
 
 # --- heavy keys ---------------------------------------------------------------------
