@@ -10,10 +10,15 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from pathlib import Path
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
+T = TypeVar("T")
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
 
@@ -56,11 +61,27 @@ def shared_dir(spark: SparkSession) -> str:
     current = spark.sparkContext._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get().rstrip("/")
+    master = spark.sparkContext.master
+    if not (master == "local" or master.startswith("local[")):
+        raise RuntimeError(f"{CHECKPOINT_KEY} must name a folder that all machines share")
     own = tempfile.mkdtemp(prefix="lorewright-")
     spark.sparkContext.setCheckpointDir(own)
     return f"file://{own}"
 
 
+def together(*jobs: Callable[[], T]) -> list[T]:
+    """Run independent jobs at the same time: small ones leave most of a cluster idle.  The first error is raised."""
+    inherit = inheritable_thread_target(SparkSession.active())
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        return [f.result() for f in [pool.submit(inherit(j)) for j in jobs]]
+
+
+def spread(df: DataFrame, *by: str) -> DataFrame:
+    """Few bytes, but much work in Python: over all cores, whatever the size says."""
+    spark = df.sparkSession
+    return df.repartition(max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))), *by)
+
+
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
