@@ -1,17 +1,32 @@
 """New batches against everything accepted: an incremental inverted index.
 
-Records with equal content form one class.  Each class is stored once, and its
-token sets are posted under their rarest tokens only: with tokens in one fixed
-order from rare to common, two sets whose overlap is at least a share t of the
-larger must share a token among the first ``n - ceil(t n) + 1`` of each.  A new
-batch posts its new classes, looks its prefixes up in the postings, drops
-pairs whose lengths rule the overlap out, verifies the rest on the stored
-contents, and leaves history untouched: postings, contents and decisions are
-appended files, postings partitioned by a hash of the token.
-
-The token order is fixed by the frequencies of the first batch; tokens that
-are new later count as rarest, so the order never changes and the prefix rule
-stays exact.
+Records with equal content form one class, stored once.  A class is posted
+under tokens from which its possible matches follow:
+
+* titles of n words match position by position with at most c(n) changed
+  words, so of the numbered words of one at least n - c(n) are words of the
+  other, and the ``c(n) + 1`` rarest of each must meet;
+* titles whose words were split or joined agree in letters up to one slip, so
+  they share the first or the last half of their letters;
+* a title of one word, and the family name or group word of an author, is
+  posted under what is left when its possible slips are deleted, or, from 23
+  letters on, under five segments of which two slips leave one whole;
+* authors are then posted under context (institution or ORCID) and word.
+
+A new batch looks its tokens up, drops pairs whose lengths, years or DOIs rule
+them out, verifies the overlap and then the reading rules on the stored
+contents, and appends its own postings.  Every table of the index is cut into
+buckets by a hash of its key and written per batch; a batch reads only the
+buckets its own keys fall into.  History is never regrouped: classes and ids
+of authors carry a label, labels that turn out to be one are recorded as
+merged, and each label keeps its earliest record.
+
+The index lives under one folder and can be opened again from there.  A batch
+counts when its state file stands; what a lost run left of it is overwritten.
+
+The token order and the common given names are fixed by the first batch;
+tokens that are new later count as rarest, so the order never changes and the
+prefix rule stays exact.
 
 Works match by equal DOI, or, where one lacks a DOI and the years differ by at
 most 1, by titles that say the same words.  Authors match by names that read
@@ -20,30 +35,114 @@ as one within a shared institution or ORCID, and transitively.
 Defined cases: rows without a readable id or batch are skipped; a missing
 title, year, name or context matches nothing; repeated rows are one class; a
 repetition of several records names the earliest (batch, date, id); an empty
-batch changes nothing; an empty table gives an empty result.
+batch changes nothing; an empty table gives an empty result; a batch that was
+accepted before is refused.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
-from collections.abc import Iterator, Sequence
+from collections import Counter
+from collections.abc import Iterator
+from itertools import combinations
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lorewright.functions.ids import bare_doi, bare_id, bare_orcid
 from lorewright.llm import names as nm
-from lorewright.llm.titles import same_title, title_words
-from lorewright.session import materialize, shared_dir
+from lorewright.llm.components import connected_components
+from lorewright.llm.titles import most_changed, same_title, title_words
+from lorewright.session import materialize, shared_dir, spread, together
+
+_HEAD = "struct<batch_no:int,updated:string,id:string>"
+_PARTS = "array<struct<kind:string,n:int,most:int,side:int,tokens:array<string>>>"
+_FEATURES = f"entity string, id string, batch_no int, updated string, doi string, year int, words array<string>, names array<string>, contexts array<string>, facets array<string>, parts {_PARTS}"
+BOTH, POST, PROBE = 0, 1, 2
+
+#: Tables of the index and the column whose hash gives the bucket.
+TABLES = {
+    "order": ("token string, df bigint", "token"),
+    "postings": ("token string, slot int, kind string, n int, ref string, has_doi boolean", "token"),
+    "facets": ("token bigint, facet string", "token"),
+    "registry": (f"entity string, cls string, head {_HEAD}, doi string, year int, words array<string>, names array<string>, contexts array<string>", "cls"),
+    "nodes": ("node string, label string", "node"),
+    "merges": ("label string, into string", "label"),
+    "best": (f"label string, best {_HEAD}", "label"),
+}
+
+
+def variants(word: str, slips: int) -> set[str]:
+    """What is left of a word when up to ``slips`` letters are deleted."""
+    return {"".join(c for i, c in enumerate(word) if i not in gone) for k in range(min(slips, len(word)) + 1) for gone in combinations(range(len(word)), k)}
+
+
+def _segments(length: int) -> list[tuple[int, int]]:
+    cuts = [length * i // 5 for i in range(6)]
+    return list(zip(cuts, cuts[1:]))
+
+
+def slip_tokens(word: str, slips: int) -> tuple[set[str], set[str]]:
+    """Tokens to post and tokens to look up: words within ``slips`` (at most 2) always share one.
+
+    Deletion variants up to 26 letters, segments from 23 on: words whose
+    lengths differ by at most two always have one of the two in common.
+    """
+    post: set[str] = set()
+    probe: set[str] = set()
+    if len(word) <= 26:
+        post = probe = variants(word, slips)
+    if len(word) >= 23:
+        post = post | {f"{len(word)}:{i}:{word[a:b]}" for i, (a, b) in enumerate(_segments(len(word)))}
+        near = {f"{n}:{i}:{word[a + s : b + s]}" for n in range(len(word) - 2, len(word) + 3) for i, (a, b) in enumerate(_segments(n)) for s in range(-2, 3) if a + s >= 0}
+        probe = probe | near
+    return post, probe
+
+
+def facet_tokens(facet: str) -> tuple[set[str], set[str]]:
+    slips = 2 if len(facet) >= 8 else 1 if len(facet) >= 4 else 0
+    both = [slip_tokens(form, slips) for form in {facet, facet.replace("rn", "m")}]
+    return set().union(*(p for p, _ in both)), set().union(*(q for _, q in both))
+
+
+def _numbered(words: list[str]) -> list[str]:
+    """Words with the number of their repetition, so that sets of them count like multisets."""
+    seen: Counter[str] = Counter()
+    out = []
+    for w in words:
+        seen[w] += 1
+        out.append(w if seen[w] == 1 else f"{w}#{seen[w]}")
+    return out
+
+
+def _plain(words: list[str]) -> list[str]:
+    return [w.partition("#")[0] for w in words]
 
-#: Share of the larger token set that two matching sets must have in common.
-OVERLAP = {"works": 0.6, "authors": 0.3}
 
-_FEATURES = "entity string, id string, batch_no int, updated string, doi string, year int, words array<string>, names array<string>, contexts array<string>, parts array<array<string>>"
+def title_parts(words: list[str]) -> list[dict]:
+    """The token sets under which a title is posted and looked up."""
+    n = len(words)
+    if not n:
+        return []
 
+    def part(kind: str, side: int, tokens: set[str], most: int) -> dict:
+        return {"kind": kind, "n": n, "most": most, "side": side, "tokens": sorted(tokens)}
 
-def _surname_parts(names: list[nm.Name]) -> set[str]:
+    letters = "".join(words)
+    half = lambda of: max(of // 2 - 1, 0)
+    ends = lambda of: {f"h{of}:{letters[: half(of)]}", f"t{of}:{letters[len(letters) - half(of) :]}"}
+    size = len(letters)
+    parts = [part("h", POST, ends(size), 0), part("h", PROBE, ends(size - 1) | ends(size) | ends(size + 1), 0)]
+    if n == 1:
+        post, probe = slip_tokens(words[0], 2 if size >= 8 else 1)
+        return [*parts, part("v", POST, {f"v{t}" for t in post}, 0), part("v", PROBE, {f"v{t}" for t in probe}, 0)]
+    return [*parts, part("w", BOTH, set(_numbered(words)), most_changed(n) + 1)]
+
+
+def author_facets(names: list[nm.Name]) -> set[str]:
+    """The words of which two names of one author must nearly share one: family names, group words, the acronym."""
     out: set[str] = set()
     for kind, given, family in names:
         out.update(family)
@@ -52,13 +151,8 @@ def _surname_parts(names: list[nm.Name]) -> set[str]:
     return {p for p in out if p}
 
 
-def _grams(word: str) -> list[str]:
-    s = f"^{word.replace('rn', 'm')}$"
-    return sorted({s[i : i + 3] for i in range(len(s) - 2)})
-
-
 def work_features(works: DataFrame) -> DataFrame:
-    """Token sets and content of works rows."""
+    """Content and tokens of works rows."""
     r = works.select(
         bare_id(F.col("id")).alias("id"),
         F.col("batch_no").cast("int").alias("batch_no"),
@@ -71,11 +165,11 @@ def work_features(works: DataFrame) -> DataFrame:
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             ws = [title_words(t) for t in b["title"]]
+            none: list[list] = [[] for _ in ws]
             yield pd.DataFrame(
                 {
                     "entity": "works", "id": b["id"], "batch_no": b["batch_no"], "updated": b["updated"], "doi": b["doi"], "year": b["year"].astype("Int32"),
-                    "words": ws, "names": [[] for _ in ws], "contexts": [[] for _ in ws],
-                    "parts": [[sorted(set(w))] if w and not pd.isna(y) else [] for w, y in zip(ws, b["year"])],
+                    "words": [_numbered(w) for w in ws], "names": none, "contexts": none, "facets": none, "parts": [[] if pd.isna(y) else title_parts(w) for w, y in zip(ws, b["year"])],
                 }
             )
 
@@ -83,7 +177,7 @@ def work_features(works: DataFrame) -> DataFrame:
 
 
 def author_features(authors: DataFrame) -> DataFrame:
-    """Token sets and content of authors rows: surname trigrams within each context."""
+    """Content and facets of authors rows; without a context there is nothing to look up."""
     r = authors.select(
         bare_id(F.col("id")).alias("id"),
         F.col("batch_no").cast("int").alias("batch_no"),
@@ -96,11 +190,11 @@ def author_features(authors: DataFrame) -> DataFrame:
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             found = [nm.names_of([d], [a]) for d, a in zip(b["d"], b["a"])]
-            parts = [[[f"{c}:{g}" for g in _grams(p)] for c in cs for p in sorted(_surname_parts(n))] for n, cs in zip(found, b["contexts"])]
+            none: list[list] = [[] for _ in found]
             yield pd.DataFrame(
                 {
                     "entity": "authors", "id": b["id"], "batch_no": b["batch_no"], "updated": b["updated"], "doi": None, "year": pd.array([0] * len(b), dtype="Int32"),
-                    "words": [[] for _ in found], "names": [[nm.encode(x) for x in n] for n in found], "contexts": b["contexts"], "parts": parts,
+                    "words": none, "names": [[nm.encode(x) for x in n] for n in found], "contexts": b["contexts"], "facets": [sorted(author_facets(n)) if len(c) else [] for n, c in zip(found, b["contexts"])], "parts": none,
                 }
             )
 
@@ -108,9 +202,9 @@ def author_features(authors: DataFrame) -> DataFrame:
 
 
 def with_class(features: DataFrame) -> DataFrame:
-    """Append ``cls``, the identity of a record's content."""
-    content = F.xxhash64("entity", "doi", "year", F.array_join("words", " "), F.array_join("names", ";"), F.array_join(F.array_sort("contexts"), ";"))
-    return features.withColumn("cls", content)
+    """Append ``cls``, the 128-bit identity of a record's content, written without ambiguity."""
+    content = F.to_json(F.struct("entity", "doi", "year", "words", "names", F.array_sort("contexts").alias("contexts")))
+    return features.withColumn("cls", F.concat(F.lit("c"), F.md5(content)))
 
 
 def _verify(batches: Iterator[pd.DataFrame], established: frozenset[str]) -> Iterator[pd.DataFrame]:
@@ -122,155 +216,242 @@ def _verify(batches: Iterator[pd.DataFrame], established: frozenset[str]) -> Ite
                 if has_a and has_b:
                     keep.append(da == db)
                 else:
-                    keep.append(not pd.isna(ya) and not pd.isna(yb) and abs(ya - yb) <= 1 and same_title(list(wa), list(wb)))
+                    keep.append(not pd.isna(ya) and not pd.isna(yb) and abs(ya - yb) <= 1 and same_title(_plain(wa), _plain(wb)))
             else:
                 keep.append(bool(set(ca) & set(cb)) and any(nm.same_name(nm.decode(x), nm.decode(y), established) for x in na for y in nb))
-        yield b.loc[keep, ["a", "b"]]
+        yield b.loc[keep, ["entity", "a", "b"]]
+
+
+def _near(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for b in batches:
+        yield b[[nm.close(f, g, 4, 8) for f, g in zip(b["facet"], b["g"])]]
+
+
+def _post_facets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for b in batches:
+        rows = [(f, f"f{t}", t in post, t in probe) for f in b["facet"] for post, probe in [facet_tokens(f)] for t in sorted(post | probe)]
+        yield pd.DataFrame(rows, columns=["facet", "token", "post", "probe"])
 
 
 class IncrementalIndex:
-    """The index of all accepted records; one instance keeps its files under one folder."""
+    """The index of all accepted records, kept under one folder.
+
+    ``IncrementalIndex(spark, path)`` opens what stands there or begins anew;
+    without a path the folder lies in the shared scratch folder and ``close``
+    removes it.  ``buckets`` is fixed when the index begins: choose it so that
+    a bucket of the postings is some hundred MB.
+    """
 
     def __init__(self, spark: SparkSession, path: str | None = None, buckets: int = 8) -> None:
         self.spark = spark
+        self.owned = path is None
         self.path = path or f"{shared_dir(spark)}/lorewright-index-{uuid.uuid4().hex}"
         self.buckets = buckets
-        self.order: DataFrame | None = None
-        self.established: frozenset[str] | None = None
-        self.registry: DataFrame | None = None
-        self.postings: DataFrame | None = None
-        self.ids: DataFrame | None = None
-        self.best: DataFrame | None = None
-        self.identity: DataFrame | None = None
-        self.holds: DataFrame | None = None
-        self.links: DataFrame | None = None
-
-    def _append(self, df: DataFrame, name: str, batch_no: int, by: Sequence[str] = ()) -> DataFrame:
-        """Add the rows of one batch to a table of the index, partitioned by batch, and read the table."""
-        df.withColumn("added", F.lit(batch_no)).write.mode("append").partitionBy("added", *by).parquet(f"{self.path}/{name}")
-        schema = df.select(*[c for c in df.columns if c not in by], F.lit(0).alias("added"), *by).schema
-        return self.spark.read.schema(schema).parquet(f"{self.path}/{name}")
-
-    def _append_postings(self, df: DataFrame, batch_no: int) -> DataFrame:
-        placed = df.withColumn("bucket", F.pmod(F.xxhash64("token"), F.lit(self.buckets)).cast("int"))
-        return self._append(placed.repartition(self.buckets, "bucket"), "postings", batch_no, ["bucket"])
-
-    def _prefixes(self, classes: DataFrame) -> DataFrame:
-        """The rarest tokens of every token set, and the DOI as a token of its own."""
-        parts = classes.select("entity", "cls", "year", F.col("doi").isNotNull().alias("has_doi"), F.posexplode("parts").alias("part", "tokens"))
-        each = parts.select("entity", "cls", "year", "has_doi", "part", F.size("tokens").alias("n"), F.explode("tokens").alias("token"))
-        if self.order is None:
-            frequencies = each.groupBy("entity", "token").agg(F.count("*").alias("df")).where("df > 1")
-            self.order = materialize(frequencies, "order")
-        share = F.when(F.col("entity") == "works", OVERLAP["works"]).otherwise(OVERLAP["authors"])
-        ranked = each.join(self.order, ["entity", "token"], "left").groupBy("entity", "cls", "year", "has_doi", "part", "n").agg(
-            F.array_sort(F.collect_list(F.struct(F.coalesce("df", F.lit(0)).alias("df"), "token"))).alias("t")
+        self.batches: list[int] = []
+        self.established: frozenset[str] = frozenset()
+        self.touched: dict[str, list[int]] = {}
+        folder = self._hadoop(f"{self.path}/state")
+        if folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+            states = [json.loads(r[0]) for r in spark.read.option("wholetext", "true").text(f"{self.path}/state").collect()]
+            self.batches = sorted(s["batch"] for s in states)
+            self.buckets = states[0]["buckets"]
+            self.established = frozenset(next(s["established"] for s in states if s["established"] is not None))
+
+    def _hadoop(self, path: str) -> object:
+        return self.spark._jvm.org.apache.hadoop.fs.Path(path)
+
+    def _finish(self, batch_no: int) -> None:
+        """The state file makes the batch count."""
+        first = not self.batches
+        path = self._hadoop(f"{self.path}/state/batch-{batch_no}.json")
+        out = path.getFileSystem(self.spark._jsc.hadoopConfiguration()).create(path, True)
+        out.write(bytearray(json.dumps({"batch": batch_no, "buckets": self.buckets, "established": sorted(self.established) if first else None}).encode()))
+        out.close()
+        self.batches.append(batch_no)
+
+    def close(self) -> None:
+        """Remove the folder if it is this object's own; results stay, they were written apart."""
+        if self.owned:
+            folder = self._hadoop(self.path)
+            folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+    def __enter__(self) -> IncrementalIndex:
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        self.close()
+
+    def _bucket(self, key: Column) -> Column:
+        return F.pmod(F.xxhash64(key), F.lit(self.buckets)).cast("int")
+
+    def _append(self, df: DataFrame, name: str, batch_no: int) -> None:
+        schema, key = TABLES[name]
+        placed = df.select(*[c.split()[0] for c in schema.replace(_HEAD, "x").split(", ")]).withColumn("bucket", self._bucket(F.col(key)))
+        placed.repartition(self.buckets, "bucket").write.mode("overwrite").option("compression", "zstd").partitionBy("bucket").parquet(f"{self.path}/{name}/added={batch_no}")
+
+    def _read(self, name: str, keys: DataFrame) -> DataFrame:
+        """The rows of a table in the buckets that the one column of ``keys`` falls into."""
+        schema, key = TABLES[name]
+        if not self.batches:
+            return self.spark.createDataFrame([], schema)
+        touched = sorted(r[0] for r in keys.select(self._bucket(F.col(keys.columns[0])).alias("b")).where("b IS NOT NULL").distinct().collect())
+        self.touched[name] = touched
+        df = self.spark.read.schema(f"{schema}, added int, bucket int").parquet(f"{self.path}/{name}")
+        return df.where(F.col("added").isin(self.batches) & F.col("bucket").isin(touched)).drop("added", "bucket")
+
+    def _probes(self, classes: DataFrame, batch_no: int) -> DataFrame:
+        """``cls, kind, side, n, has_doi, slot, token`` of the works of a batch."""
+        works = classes.where("entity = 'works'").withColumn("has_doi", F.col("doi").isNotNull())
+        parts = works.select("cls", "has_doi", F.col("year").alias("slot"), F.inline("parts"))
+        words = parts.where("kind = 'w'").select("cls", "has_doi", "slot", "kind", "side", "n", "most", F.explode("tokens").alias("token"))
+        if not self.batches:
+            self._append(words.groupBy("token").agg(F.count("*").alias("df")).where("df > 1"), "order", batch_no)
+            order = self.spark.read.schema("token string, df bigint").parquet(f"{self.path}/order")
+        else:
+            order = self._read("order", words.select("token"))
+        by = ["cls", "has_doi", "slot", "kind", "side", "n", "most"]
+        ranked = words.join(order, "token", "left").groupBy(*by).agg(F.array_sort(F.collect_list(F.struct(F.coalesce("df", F.lit(0)).alias("df"), "token"))).alias("t"))
+        columns = ["cls", "kind", "side", "n", "has_doi", "slot"]
+        rare = ranked.select(*columns, F.explode(F.slice("t", F.lit(1), F.col("most"))).alias("x")).select(*columns, F.concat(F.lit("w"), F.col("n").cast("string"), F.lit(":"), F.col("x.token")).alias("token"))
+        rest = parts.where("kind <> 'w'").select(*columns, F.explode("tokens").alias("token"))
+        dois = works.where("has_doi").select("cls", F.lit("d").alias("kind"), F.lit(BOTH).alias("side"), F.lit(0).alias("n"), "has_doi", F.lit(0).alias("slot"), F.concat(F.lit("d"), "doi").alias("token"))
+        return materialize(rare.unionByName(rest).unionByName(dois), "probes")
+
+    def _work_pairs(self, probes: DataFrame) -> DataFrame:
+        """``a, b, overlap``: classes of history that the works of a batch meet in a token."""
+        near = F.when(F.col("kind") == "d", F.array("slot")).otherwise(F.array(F.col("slot") - 1, "slot", F.col("slot") + 1))
+        look = probes.where(F.col("side") != POST).select("token", F.explode(near).alias("slot"), "kind", F.col("cls").alias("a"), F.col("n").alias("na"), F.col("has_doi").alias("da"))
+        held = self._read("postings", look.select("token")).select("token", "slot", F.col("ref").alias("b"), F.col("n").alias("nb"), F.col("has_doi").alias("db"))
+        words_fit = F.when(F.col("kind") == "h", F.abs(F.col("na") - F.col("nb")) == 1).otherwise(F.col("na") == F.col("nb"))
+        met = look.join(held, ["token", "slot"]).where((F.col("a") != F.col("b")) & words_fit & ((F.col("kind") == "d") | ~(F.col("da") & F.col("db"))))
+        return met.groupBy("a", "b").agg(F.min(F.col("kind") == "w").alias("overlap")).select(F.lit("works").alias("entity"), "a", "b", "overlap")
+
+    def _author_pairs(self, new: DataFrame) -> tuple[DataFrame, ...]:
+        """``a, b`` of authors that share a context and nearly a word; the new postings, facet postings and facets."""
+        at = new.where("entity = 'authors'").select("cls", "contexts", F.explode("facets").alias("facet"))
+        facets = materialize(at.select("facet").distinct(), "facets")
+        node = F.concat(F.lit("f"), "facet")
+        stood = self._read("nodes", facets.select(node.alias("node"))).select(F.substring("node", 2, 1 << 30).alias("facet"), F.lit(True).alias("stood"))
+        fresh = facets.join(stood, "facet", "left_anti")
+        each = spread(facets, "facet").mapInPandas(_post_facets, "facet string, token string, post boolean, probe boolean")
+        tokens = materialize(each.select("facet", F.xxhash64("token").alias("token"), "post", "probe"), "facettokens")
+        posted = tokens.where("post").join(fresh, "facet", "left_semi").select("token", "facet")
+        look = tokens.where("probe").select("facet", "token")
+        held = self._read("facets", look.select("token")).unionByName(posted).select("token", F.col("facet").alias("g"))
+        met = look.join(held, "token").where((F.col("facet") != F.col("g")) & (F.abs(F.length("facet") - F.length("g")) <= 2))
+        near = spread(met.select("facet", "g").distinct(), "facet", "g").mapInPandas(_near, "facet string, g string").unionByName(facets.select("facet", F.col("facet").alias("g")))
+        near = materialize(near, "near")
+        token = lambda c: F.concat(F.lit("a"), "context", F.lit(":"), c)
+        placed = at.select("cls", F.explode("contexts").alias("context"), "facet")
+        own, look = together(
+            lambda: materialize(placed.select(token("facet").alias("token"), F.col("cls").alias("ref")).distinct(), "places"),
+            lambda: materialize(placed.join(near, "facet").select(token("g").alias("token"), F.col("cls").alias("a")).distinct(), "looks"),
         )
-        first = ranked.select("*", F.slice("t", F.lit(1), (F.col("n") - F.ceil(share * F.col("n")) + 1).cast("int")).alias("p"))
-        rare = first.select("entity", "cls", F.col("year").alias("slot"), "has_doi", "n", F.explode("p").alias("x")).select("entity", "cls", "slot", "has_doi", "n", F.concat_ws(":", F.lit("t"), "entity", "x.token").alias("token"))
-        dois = classes.where("doi IS NOT NULL").select("entity", "cls", F.lit(0).alias("slot"), F.lit(False).alias("has_doi"), F.lit(1).alias("n"), F.concat_ws(":", F.lit("d"), "doi").alias("token"))
-        return rare.unionByName(dois)
-
-    def _candidates(self, mine: DataFrame) -> DataFrame:
-        near = F.when((F.col("entity") == "works") & F.col("token").startswith("t"), F.array(F.col("slot") - 1, F.col("slot"), F.col("slot") + 1)).otherwise(F.array("slot"))
-        look = mine.select("token", F.explode(near).alias("slot"), "entity", F.col("cls").alias("a"), F.col("n").alias("na"), F.col("has_doi").alias("da"))
-        held = self.postings.select("token", "slot", F.col("cls").alias("b"), F.col("n").alias("nb"), F.col("has_doi").alias("db"))
-        share = F.when(F.col("entity") == "works", OVERLAP["works"]).otherwise(OVERLAP["authors"])
-        fits = F.least("na", "nb") >= share * F.greatest("na", "nb")
-        return look.join(held, ["token", "slot"]).where((F.col("a") != F.col("b")) & ~(F.col("da") & F.col("db")) & fits).select("entity", "a", "b").distinct()
+        held = self._read("postings", look.select("token")).where("kind = 'a'").select("token", F.col("ref").alias("b"))
+        met = look.join(held.unionByName(own.select("token", F.col("ref").alias("b"))), "token").where("a <> b")
+        pairs = met.select(F.lit("authors").alias("entity"), "a", "b", F.lit(False).alias("overlap")).distinct()
+        places = own.select("token", F.lit(0).alias("slot"), F.lit("a").alias("kind"), F.lit(0).alias("n"), "ref", F.lit(False).alias("has_doi"))
+        return pairs, places, posted, fresh.select(node.alias("node"), F.lit("").alias("label"))
+
+    def _resolve(self, nodes: DataFrame) -> DataFrame:
+        """``node, label``: the present label of every node (one column) that stands in the index."""
+        found = materialize(self._read("nodes", nodes).join(nodes.distinct(), "node", "left_semi").select("node", "label"), "labels")
+        while self.batches:  # as often as labels were merged in a row, at most once per batch
+            merged = self._read("merges", found.select("label"))
+            step = found.join(merged, "label", "left")
+            if step.where("into IS NOT NULL").isEmpty():
+                break
+            found = materialize(step.select("node", F.coalesce("into", "label").alias("label")), "labels")
+        return found
 
     def add(self, features: DataFrame, batch_no: int) -> DataFrame:
         """Accept one batch of features with their class.
 
         Returns ``entity, batch_no, id_a, id_b`` of its repetitions of earlier batches.
         """
-        rows = features
+        if batch_no in self.batches:
+            raise ValueError(f"batch {batch_no} was accepted before")
         head = F.min(F.struct(F.lit(batch_no).alias("batch_no"), "updated", "id")).alias("head")
-        payload = [F.first(c).alias(c) for c in ("doi", "year", "words", "names", "contexts", "parts")]
-        classes = rows.groupBy("entity", "cls").agg(head, *payload)
-        if self.registry is not None:
-            classes = classes.join(self.registry.select("cls"), "cls", "left_anti")
-        self.registry = self._append(classes.select("entity", "cls", "head", "doi", "year", "words", "names", "contexts", "parts"), "registry", batch_no)
-        mine_only = F.col("added") == batch_no
-        classes = self.registry.where(mine_only)
-        self.postings = self._append_postings(self._prefixes(classes), batch_no)
-        mine = self.postings.where(mine_only)
-        if self.established is None:  # fixed by the first batch, like the order of the tokens
-            self.established = nm.established_names(classes.where("entity = 'authors'").select(F.explode("names").alias("name")))
+        payload = [F.first(c).alias(c) for c in ("doi", "year", "words", "names", "contexts", "facets", "parts")]
+        known = self._read("registry", features.select("cls")).select("cls", F.col("head").alias("known"))
+        classes = materialize(features.groupBy("entity", "cls").agg(head, *payload).join(known, "cls", "left"), "classes")
+        new = classes.where("known IS NULL")
+        if not self.batches:
+            self.established = nm.established_names(new.where("entity = 'authors'").select(F.explode("names").alias("name")))
         common = self.established
-        # in the first batch works need no partner: nothing earlier exists
-        probing = mine if self.best is not None else mine.where("entity <> 'works'")
-        stored = self.registry.select("cls", "doi", "year", "words", "names", "contexts")
-        side = lambda s: stored.select(F.col("cls").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in stored.columns[1:]])
-        pairs = self._candidates(probing)
-        matches = materialize(pairs.join(side("a"), "a").join(side("b"), "b").mapInPandas(lambda batches: _verify(batches, common), "a bigint, b bigint"), "matches")
-        own = rows.select("entity", "id").distinct()
-        self.ids = self._append(own if self.ids is None else own.join(self.ids.select("entity", "id"), ["entity", "id"], "left_anti"), "ids", batch_no)
-        fresh = self.ids.where(mine_only).select("entity", "id")
-        repeated = self._settle(rows, matches, batch_no)
-        others = repeated.join(fresh, ["entity", "id"], "left_semi").where("id <> other")
-        known = own.join(fresh, ["entity", "id"], "left_anti").select("entity", "id", F.col("id").alias("other"))
-        pairs = known.unionByName(others).select("entity", F.lit(batch_no).alias("batch_no"), F.least("id", "other").alias("id_a"), F.greatest("id", "other").alias("id_b"))
-        return materialize(pairs.distinct(), "repeated")
-
-    def _settle(self, rows: DataFrame, matches: DataFrame, batch_no: int) -> DataFrame:
-        """``entity, id, other``: the earliest record that each row of the batch repeats.
-
-        Every class keeps the earliest record it is known to repeat, so a new
-        class takes over what its matches repeat and nothing older is visited
-        again.  For works that is the match itself; authors are transitive:
-        they take the match's earliest record, that of rows of the same id, and
-        that of matches within the batch, and ``_spread`` hands theirs on
-        through whole chains.
-        """
-        new = self.registry.where(F.col("added") == batch_no).select("entity", "cls", "head")
-        seeds = new.select("cls", F.col("head").alias("best"))
-        earlier = None
-        if self.best is not None:
-            earlier = self.best.groupBy("entity", "cls").agg(F.min("best").alias("best"))
-            heads = self.registry.where(F.col("added") < batch_no).select(F.col("cls").alias("b"), F.col("head").alias("hb"))
-            known = matches.join(earlier.select("entity", F.col("cls").alias("b"), "best"), "b").join(heads, "b")
-            seeds = seeds.unionByName(known.select(F.col("a").alias("cls"), F.when(F.col("entity") == "works", F.col("hb")).otherwise(F.col("best")).alias("best")))
-            ids = self.identity.where("entity = 'authors'").groupBy("id").agg(F.min("best").alias("best"))
-            seeds = seeds.unionByName(rows.where("entity = 'authors'").select("id", "cls").join(ids, "id").select("cls", "best"))
-        first = materialize(seeds.groupBy("cls").agg(F.min("best").alias("best")), "seeds")
-        within = matches.join(new.where("entity = 'authors'").select(F.col("cls").alias("b")), "b").join(first.select(F.col("cls").alias("b"), "best"), "b").select(F.col("a").alias("cls"), "best")
-        settled = first.unionByName(within).groupBy("cls").agg(F.min("best").alias("best"))
-        settled = materialize(settled.join(self.registry.select("entity", "cls"), "cls").select("entity", "cls", "best"), "settled")
-        update = self._spread(rows, matches, settled, earlier, batch_no)
-        self.best = self._append(update, "best", batch_no)
-        now = self.best.groupBy("cls").agg(F.min("best").alias("best"))
-        of = rows.select("entity", "id", "cls").join(now, "cls").groupBy("entity", "id").agg(F.min("best").alias("best"))
-        self.identity = self._append(of, "identity", batch_no)
-        here = self.identity.where(F.col("added") == batch_no)
-        return here.where(F.col("best.batch_no") < batch_no).select("entity", "id", F.col("best.id").alias("other"))
-
-
-    def _spread(self, rows: DataFrame, matches: DataFrame, settled: DataFrame, earlier: DataFrame | None, batch_no: int) -> DataFrame:
-        """``settled`` and every author class that a chain of matches or shared ids gives an earlier record.
-
-        Each round hands the records lowered in the last one to their direct
-        neighbours among all stored matches and ids, and is written; it ends
-        when nothing is lowered any more.
+        rows = features.select("entity", "id", "cls").distinct()
+        ids, probes, (author_pairs, author_postings, facet_postings, facets) = together(
+            lambda: materialize(rows.select("entity", "id").distinct().withColumn("node", F.concat_ws(":", F.lit("i"), "entity", "id")), "ids"),
+            lambda: self._probes(classes, batch_no),
+            lambda: self._author_pairs(new),
+        )
+        pairs = author_pairs
+        if self.batches:  # in the first batch works need no partner: nothing earlier exists
+            pairs = pairs.unionByName(self._work_pairs(probes))
+        pairs = materialize(pairs, "pairs")
+        contents = ["doi", "year", "words", "names", "contexts"]
+        stored = self._read("registry", pairs.select("b")).select("cls", *contents).unionByName(new.where("entity = 'authors'").select("cls", *contents))
+        side = lambda df, s: df.select(F.col("cls").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in contents])
+        both = pairs.join(side(classes, "a"), "a").join(side(stored, "b"), "b")
+        n = F.size("words_a")
+        enough = F.size(F.array_intersect("words_a", "words_b")) >= n - F.greatest(F.when(n >= 4, 2).otherwise(1), F.floor(n / 3))
+        matches = materialize(both.where(~F.col("overlap") | enough).mapInPandas(lambda batches: _verify(batches, common), "entity string, a string, b string"), "matches")
+        kept = new.select("cls").withColumn("_new", F.lit(True))
+        heads = self._read("registry", matches.where("entity = 'works'").select("b")).select(F.col("cls").alias("b"), F.col("head").alias("best"))
+        work_best = matches.where("entity = 'works'").join(heads, "b").select(F.col("a").alias("cls"), "best").unionByName(classes.where("entity = 'works' AND known IS NOT NULL").select("cls", F.col("known").alias("best")))
+        stood = self._resolve(ids.select("node").unionByName(classes.where("entity = 'authors' AND known IS NOT NULL").select(F.col("cls").alias("node"))).unionByName(matches.where("entity = 'authors'").select(F.col("b").alias("node"))))
+        author_best, nodes = self._unite(rows.where("entity = 'authors'").select("id", "cls"), classes, matches, stood, batch_no)
+        fresh = ids.join(stood.select("node"), "node", "left_anti")
+        best = rows.where("entity = 'works'").join(work_best, "cls").select("entity", "id", "best").unionByName(author_best.select(F.lit("authors").alias("entity"), "id", "best"))
+        others = best.where(F.col("best.batch_no") < batch_no).groupBy("entity", "id").agg(F.min("best").alias("best")).join(fresh.select("entity", "id"), ["entity", "id"], "left_semi")
+        others = others.select("entity", "id", F.col("best.id").alias("other")).where("id <> other")
+        same = ids.join(stood.select("node"), "node", "left_semi").select("entity", "id", F.col("id").alias("other"))
+        out = same.unionByName(others).select("entity", F.lit(batch_no).alias("batch_no"), F.least("id", "other").alias("id_a"), F.greatest("id", "other").alias("id_b"))
+        postings = probes.where(F.col("side") != PROBE).join(kept, "cls", "left_semi").select("token", "slot", "kind", "n", F.col("cls").alias("ref"), "has_doi").unionByName(author_postings)
+        nodes = nodes.unionByName(fresh.where("entity = 'works'").select("node", F.col("node").alias("label"))).unionByName(facets)
+        out, *_ = together(
+            lambda: materialize(out.distinct(), "repeated"),
+            lambda: self._append(postings, "postings", batch_no),
+            lambda: self._append(facet_postings, "facets", batch_no),
+            lambda: self._append(new, "registry", batch_no),
+            lambda: self._append(nodes, "nodes", batch_no),
+        )
+        self._finish(batch_no)
+        return out
+
+    def _unite(self, rows: DataFrame, classes: DataFrame, matches: DataFrame, stood: DataFrame, batch_no: int) -> tuple[DataFrame, DataFrame]:
+        """Bring the author classes and ids of a batch together with what they equal, transitively.
+
+        Nodes of the small graph are the batch's new classes and the labels of
+        what it meets.  Returns ``id, best`` of the batch's ids, the earliest
+        record that is the same, and the new rows of ``nodes``.
         """
-        authors = rows.where("entity = 'authors'").select("id", "cls").distinct()
-        self.holds = self._append(authors, "holds", batch_no)
-        pairs = matches.join(authors.select(F.col("cls").alias("a")).distinct(), "a", "left_semi").select("a", "b")
-        self.links = self._append(pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "links", batch_no)
-        to_id, of_id = self.holds.select("cls", "id").distinct(), self.holds.select("id", F.col("cls").alias("to")).distinct()
-        known = settled if earlier is None else settled.unionByName(earlier.select("entity", "cls", "best"))
-        known = known.where("entity = 'authors'").select("cls", "best")
-        front = known.join(authors.select("cls").distinct(), "cls", "left_semi").groupBy("cls").agg(F.min("best").alias("best"))
-        while True:
-            by_match = front.join(self.links.select(F.col("a").alias("cls"), F.col("b").alias("to")), "cls").select(F.col("to").alias("cls"), "best")
-            by_id = front.join(to_id, "cls").groupBy("id").agg(F.min("best").alias("best")).join(of_id, "id").select(F.col("to").alias("cls"), "best")
-            least = by_match.unionByName(by_id).groupBy("cls").agg(F.min("best").alias("best"))
-            held = known.groupBy("cls").agg(F.min("best").alias("held"))
-            front = materialize(least.join(held, "cls").where("best < held").select("cls", "best"), "spread")
-            if front.isEmpty():
-                return settled
-            known = known.unionByName(front)
-            settled = settled.unionByName(front.select(F.lit("authors").alias("entity"), "cls", "best"))
+        label = stood.select(F.col("node").alias("cls"), F.col("label").alias("old"))
+        point = lambda df, c: df.join(label.withColumnRenamed("cls", c), c, "left").withColumn(c, F.coalesce("old", c)).drop("old")
+        first = rows.groupBy("id").agg(F.min("cls").alias("a"))
+        of_id = rows.join(first, "id").where("cls <> a").select("a", F.col("cls").alias("b"))
+        of_known = first.withColumn("node", F.concat(F.lit("i:authors:"), "id")).join(stood, "node").select("a", F.col("label").alias("b"))
+        edges = matches.where("entity = 'authors'").select("a", "b").unionByName(of_id)
+        edges = point(point(edges, "a"), "b").unionByName(point(of_known, "a"))
+        edges = materialize(edges.where("a <> b").distinct(), "union")
+        parts = connected_components(edges)
+        batch = point(rows.select("cls").distinct().withColumn("own", F.col("cls")), "cls").select("own", F.col("cls").alias("x"))
+        old = stood.where("node NOT LIKE 'i:works:%'").select(F.col("label").alias("x")).distinct().withColumn("is_old", F.lit(True))
+        members = batch.select("x").unionByName(old.select("x")).distinct().join(parts.select(F.col("node").alias("x"), "component"), "x", "left").join(old, "x", "left")
+        members = members.withColumn("component", F.coalesce("component", "x"))
+        lead = members.groupBy("component").agg(F.coalesce(F.min(F.when(F.col("is_old"), F.col("x"))), F.min("x")).alias("rep"))
+        joined = materialize(members.join(lead, "component").select("x", "rep", "is_old"), "joined")
+        merged = joined.where("is_old AND x <> rep").select(F.col("x").alias("label"), F.col("rep").alias("into"))
+        before = self._read("best", joined.where("is_old").select("x")).select(F.col("label").alias("x"), "best")
+        heads = batch.join(classes.select(F.col("cls").alias("own"), "head"), "own").select("x", F.col("head").alias("best"))
+        best = before.unionByName(heads).join(joined.select("x", "rep"), "x").groupBy(F.col("rep").alias("label")).agg(F.min("best").alias("best"))
+        best, _ = together(lambda: materialize(best, "bests"), lambda: self._append(merged, "merges", batch_no))
+        self._append(best, "best", batch_no)
+        named = batch.join(joined.select("x", "rep"), "x").select("own", "rep")
+        of = first.join(named, F.col("a") == F.col("own")).select("id", F.col("rep").alias("label"))
+        fresh_ids = of.select(F.concat(F.lit("i:authors:"), "id").alias("node"), "label").join(stood.select("node"), "node", "left_anti")
+        fresh = named.select(F.col("own").alias("node"), F.col("rep").alias("label")).join(stood.select("node"), "node", "left_anti")
+        return of.join(best, "label").select("id", "best"), fresh.unionByName(fresh_ids)
 
 
 def repeated_records(works: DataFrame, authors: DataFrame, batches: list[int] | None = None) -> DataFrame:
@@ -279,12 +460,8 @@ def repeated_records(works: DataFrame, authors: DataFrame, batches: list[int] |
     features = materialize(with_class(features), "features")
     if batches is None:  # a handful of batch numbers
         batches = sorted(r[0] for r in features.select("batch_no").distinct().collect())
-    index = IncrementalIndex(works.sparkSession)
-    out = None
-    for b in batches:
-        part = features.where(F.col("batch_no") == b)
-        found = index.add(part, b)
-        out = found if out is None else out.unionByName(found)
-    if out is None:
-        return works.sparkSession.createDataFrame([], "entity string, batch_no int, id_a string, id_b string")
+    out = works.sparkSession.createDataFrame([], "entity string, batch_no int, id_a string, id_b string")
+    with IncrementalIndex(works.sparkSession) as index:
+        for b in batches:
+            out = out.unionByName(index.add(features.where(F.col("batch_no") == b), b))
     return out

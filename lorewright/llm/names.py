@@ -175,7 +175,7 @@ def slips(a: str, b: str, most: int) -> int:
     return min(row[-1], most + 1)
 
 
-def _close(a: str, b: str, one: int, two: int) -> bool:
+def close(a: str, b: str, one: int, two: int) -> bool:
     """Equal, or within one slip from ``one`` letters on, two from ``two`` on."""
     if a == b:
         return True
@@ -193,7 +193,7 @@ def _given(a: str, b: str, established: frozenset[str] = frozenset()) -> bool:
     if len(a) == 1 or len(b) == 1:
         full, initial = (a, b) if len(b) == 1 else (b, a)
         return any(r[0] == initial for r in _readings(full))
-    return any(x == y or (not {x, y} <= established and _close(x, y, 4, 6)) for x in _readings(a) for y in _readings(b))
+    return any(x == y or (not {x, y} <= established and close(x, y, 4, 6)) for x in _readings(a) for y in _readings(b))
 
 
 def same_name(a: Name, b: Name, established: frozenset[str] = frozenset()) -> bool:
@@ -211,12 +211,12 @@ def same_name(a: Name, b: Name, established: frozenset[str] = frozenset()) -> bo
             return False
         rest = list(b[1])
         for w in a[1]:
-            hit = next((r for r in rest if _close(w, r, 4, 8)), None)
+            hit = next((r for r in rest if close(w, r, 4, 8)), None)
             if hit is None:
                 return False
             rest.remove(hit)
         return True
-    if not any(_close(x, y, 5, 8) for x in a[2] for y in b[2]):
+    if not any(close(x, y, 5, 8) for x in a[2] for y in b[2]):
         return False
     if not a[1] or not b[1]:
         return False

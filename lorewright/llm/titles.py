@@ -8,7 +8,7 @@ import unicodedata
 
 from lorewright.llm.names import slips
 
-_TAG = re.compile(r"</?[a-zA-Z][^<>]{0,80}>")
+_TAG = re.compile(r"</?[a-zA-Z][^<>]*>")
 #: Damaged remains of common entities (fixed values).
 _ENTITY = re.compile(r"&?\b(?:quot|quo|qut|uot|qot|amp|nbsp|ldquo|rdquo|lt|gt);|&(?:quot|amp|nbsp|lt|gt)\b", re.I)
 #: Words that a sign may stand for (fixed values).
@@ -40,8 +40,13 @@ def same_word(a: str, b: str) -> bool:
     return slips(a, b, most) <= most
 
 
+def most_changed(n: int) -> int:
+    """Of n words so many may hold slips: every third, one always, two from four words on."""
+    return max(2 if n >= 4 else 1, n // 3)
+
+
 def same_title(a: list[str], b: list[str]) -> bool:
-    """The same words in the same order; at most every third word may hold slips, one always may.
+    """The same words in the same order, of which ``most_changed`` may hold slips.
 
     Words that were split or joined are accepted where the letters agree.
     """
@@ -49,7 +54,7 @@ def same_title(a: list[str], b: list[str]) -> bool:
         return False
     if len(a) == len(b):
         changed = sum(x != y for x, y in zip(a, b))
-        return changed <= max(2 if len(a) >= 4 else 1, len(a) // 3) and all(same_word(x, y) for x, y in zip(a, b))
+        return changed <= most_changed(len(a)) and all(same_word(x, y) for x, y in zip(a, b))
     if abs(len(a) - len(b)) > 1:
         return False
     odd = set(a) ^ set(b)

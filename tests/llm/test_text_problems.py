@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import random
 
 import pytest
@@ -159,6 +160,72 @@ def test_chains_of_four(spark):
     assert got == {(1, "1", "5"), (1, "11", "12"), (1, "11", "13"), (1, "11", "14"), (1, "21", "23"), (1, "21", "26"), (2, "21", "24")}
 
 
+def numbered(spark, rows):
+    return incremental.with_class(incremental.work_features(works(spark, rows)))
+
+
+def test_short_titles_with_slips_meet(spark):
+    """One word, two words, split words: what matches always becomes a candidate."""
+    pairs = [("Immunology", "Immunolgy"), ("Oceanography", "Oceanogrpahhy"), ("Ants", "Antz"), ("Ion channels", "Ion chanels"), ("Hydro dynamics of ponds", "Hydrodynamics of ponds"), ("Hydrodynamics", "Hydro dynamics"), ("A b f e k g h n o j", "A b p e k q h n r j"), ("of of of", "of of off")]
+    rows = [(str(100 + i), None, a, "2020", 0) for i, (a, _) in enumerate(pairs)] + [(str(200 + i), None, b, "2021", 1) for i, (_, b) in enumerate(pairs)] + [("300", None, "ab" * 2500, "2020", 0), ("301", None, "ab" * 1500 + "y" + "ab" * 1000, "2020", 1)]
+    a = authors(spark, [("1", "x", None, None, None)]).limit(0)
+    got = {(r.id_a, r.id_b) for r in incremental.repeated_records(works(spark, rows), a).collect()}
+    assert got == {(str(100 + i), str(200 + i)) for i in range(len(pairs))} | {("300", "301")}
+
+
+@pytest.mark.parametrize("size", [4, 7, 8, 12, 22, 23, 24, 26, 27, 60])
+def test_words_within_slips_share_a_token(size):
+    rng = random.Random(size)
+    slips = 2 if size >= 8 else 1
+    for _ in range(60):
+        w = "".join(rng.choice("abcde") for _ in range(size))
+        v = list(w)
+        for _ in range(slips):
+            at, kind = rng.randrange(max(len(v) - 1, 1)), rng.randrange(4)
+            if kind == 0:
+                v[at] = rng.choice("xyz")
+            elif kind == 1:
+                del v[at]
+            elif kind == 2:
+                v.insert(at, rng.choice("xyz"))
+            else:
+                v[at], v[at + 1 if at + 1 < len(v) else at] = v[at + 1 if at + 1 < len(v) else at], v[at]
+        v = "".join(v)
+        if titles.slips(w, v, slips) <= slips:
+            for x, y in ((w, v), (v, w)):
+                assert incremental.slip_tokens(x, slips)[0] & incremental.slip_tokens(y, slips)[1]
+
+
+def test_the_index_opens_again(spark, tmp_path):
+    """Another object, as in another process, adds a batch to what stands and reads only its buckets."""
+    path = f"{tmp_path}/index"
+    first = [(str(i), None, f"Notes on valivogen and tracer number{i} of ponds", "2020", 0) for i in range(40)]
+    later = [("90", None, "Notes on valivogen and tracer number7 of pondz", "2020", 1), ("3", None, "other", "2020", 1)]
+    assert incremental.IncrementalIndex(spark, path, buckets=64).add(numbered(spark, first), 0).count() == 0
+    again = incremental.IncrementalIndex(spark, path)
+    assert (again.buckets, again.batches) == (64, [0])
+    assert {(r.batch_no, r.id_a, r.id_b) for r in again.add(numbered(spark, later), 1).collect()} == {(1, "3", "3"), (1, "7", "90")}
+    assert 0 < len(again.touched["postings"]) < 40 and len(again.touched["registry"]) < 10 and len(again.touched["nodes"]) <= 2
+    with pytest.raises(ValueError):
+        again.add(numbered(spark, later), 1)
+    third = incremental.IncrementalIndex(spark, path)
+    assert third.batches == [0, 1]
+    (tmp_path / "index" / "state" / "batch-1.json").unlink()  # a run lost before its end does not count, and is written anew
+    lost = incremental.IncrementalIndex(spark, path)
+    assert lost.batches == [0] and lost.add(numbered(spark, later), 1).count() == 2
+    assert third.add(numbered(spark, [("91", None, "Notes on valivogen and tracer number7 of pondz", "2020", 2)]), 2).first().id_a == "7"
+
+
+def test_no_index_is_left_behind(spark):
+    from lorewright.session import shared_dir
+
+    with incremental.IncrementalIndex(spark) as index:
+        got = index.add(numbered(spark, [("1", None, "t", "2020", 0)]), 0)
+        folder = index.path.replace("file://", "")
+        assert os.path.isdir(folder) and index.path.startswith(shared_dir(spark))
+    assert not os.path.exists(folder) and got.count() == 0
+
+
 def test_no_records(spark):
     w = works(spark, [("1", None, "t", "2020", 0)]).limit(0)
     a = authors(spark, [("1", "x", None, None, None)]).limit(0)
