@@ -1,24 +1,28 @@
 """Evaluation texts that stand in training texts.
 
-The corpus is cut into shards; each shard builds a suffix array over its words
-and every suffix of every test item is looked up in it by binary search.  The
-matches are extended to the longest verbatim ones and, from there, in both
-directions by a banded alignment that tolerates altered, missing and extra
-words.  A document is affected when it holds at least ``min_words`` successive
-words of an item of which at least ``min_share`` are verbatim, in one piece or
-in two that one interruption separates.
+The corpus is cut into shards; each shard orders its suffixes into a suffix
+array over words, and every suffix of every test item is looked up in it by
+binary search.  The verbatim matches found there are taken to their full
+length on both sides.  A document is affected when its longest verbatim match
+with an item has ``min_words`` words.  Where words were altered, matches are
+carried on by a banded alignment that tolerates altered, missing and extra
+words, and the document is affected when at least ``min_words`` successive
+words of the item are there, of which ``min_share`` are verbatim, in one piece
+or in two that one interruption separates.
 
 Words compare without letter case, accents, punctuation, markup and line
-breaks.  The shard's suffix array holds only suffixes that begin with three
-words of some item in a row; a verbatim match of at least ``seed`` words
-cannot begin anywhere else, so the array is complete for the search.
+breaks.  A suffix that begins with a word of no item can match no test suffix
+and is left out of the array; the others are ordered as deep as the longest
+item is long, so the array is complete for the search.
 
 Size bound: the items are the broadcast side.  They are taken in blocks of at
-most ``block_words`` words, one pass over the corpus each, so the broadcast
-never grows with the item set.
+most ``block_words`` words, one pass over the corpus each; a block's matches
+are written before the next block is fetched, so the driver and the workers
+hold one block at a time, whatever the number of items.
 
 A closing sentence that many items share (a question or instruction) is no
-part of an item's passage.  Defined cases: NULL and empty texts match nothing;
+part of an item's passage; what is shared is counted over all items before
+they are cut into blocks.  Defined cases: NULL and empty texts match nothing;
 items shorter than ``min_words`` are never found; repeated documents are each
 reported; items with equal texts are each reported; an empty corpus or item
 table gives an empty result; texts are read whole.
@@ -29,16 +33,18 @@ from __future__ import annotations
 import html
 import re
 import unicodedata
-from collections import Counter
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_TAG = re.compile(r"</?[a-zA-Z!][^<>]{0,400}>")
+from lorewright.session import materialize
+
+_TAG = re.compile(r"</?[a-zA-Z!][^<>]*>")
 _BROKEN_WORD = re.compile(r"(?<=\w)[-­‐]\s*\n\s*(?=\w)")
 _WORD = re.compile(r"\w+")
 _SENTENCE = re.compile(r"(?<=[.!?])\s+")
@@ -61,12 +67,28 @@ def words(text: str | None) -> list[str]:
     return _WORD.findall(text.casefold())
 
 
-def passages(items: list[tuple[int, str | None]]) -> list[tuple[int, list[str]]]:
-    """Each item's words without a closing sentence shared by at least 3 items and 1 percent of them."""
-    split = [(i, _SENTENCE.split((t or "").strip())) for i, t in items]
-    ends = Counter(" ".join(words(s[-1])) for _, s in split if len(s) > 1)
-    shared = {e for e, n in ends.items() if n >= 3 and n >= 0.01 * len(items)}
-    return [(i, words(" ".join(s[:-1] if len(s) > 1 and " ".join(words(s[-1])) in shared else s))) for i, s in split]
+def _closing(text: str | None) -> tuple[list[str], str]:
+    """The sentences of an item, and the words of its last one if there are others."""
+    sentences = _SENTENCE.split((text or "").strip())
+    return sentences, " ".join(words(sentences[-1])) if len(sentences) > 1 else ""
+
+
+def shared_closings(items: DataFrame, text: str = "text", least: int = 3, share: float = 0.01) -> frozenset[str]:
+    """Closing sentences that at least ``least`` items and this share of all have; at most 1 / share of them."""
+
+    def ends(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            yield pd.DataFrame({"closing": [_closing(t)[1] for t in b["t"]]})
+
+    n = items.select(F.col(f"`{text}`").alias("t")).mapInPandas(ends, "closing string").groupBy("closing").agg(F.count("*").alias("n"))
+    total = n.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("t"))
+    return frozenset(r[0] for r in n.where((F.col("closing") != "") & (F.col("n") >= least) & (F.col("n") >= F.lit(share) * total.scalar())).select("closing").collect())
+
+
+def passage(text: str | None, shared: frozenset[str]) -> list[str]:
+    """An item's words without a shared closing sentence."""
+    sentences, closing = _closing(text)
+    return words(" ".join(sentences[:-1] if closing in shared else sentences))
 
 
 @dataclass
@@ -78,7 +100,6 @@ class ItemIndex:
     lengths: np.ndarray
     flat: np.ndarray
     vocabulary: dict[str, int]
-    grams: np.ndarray = field(default_factory=lambda: np.empty(0, np.int64))
 
     @classmethod
     def build(cls, items: list[tuple[int, list[str]]]) -> ItemIndex:
@@ -89,29 +110,36 @@ class ItemIndex:
             starts.append(len(flat))
             lengths.append(len(ws))
             flat += [vocabulary.setdefault(w, len(vocabulary) + 1) for w in ws] + [0] * 8
-        out = cls(np.array([i for i, _ in items], np.int64), np.array(starts, np.int64), np.array(lengths, np.int64), np.array(flat, np.int64), vocabulary)
-        g = out.trigram(out.flat)
-        out.grams = np.unique(g[g >= 0])
-        return out
-
-    @property
-    def base(self) -> int:
-        return len(self.vocabulary) + 2
-
-    def trigram(self, x: np.ndarray) -> np.ndarray:
-        """One number per position for three known words in a row, -1 elsewhere."""
-        if len(x) < 3:
-            return np.full(len(x), -1, np.int64)
-        a, b, c = x[:-2], x[1:-1], x[2:]
-        g = np.where((a > 0) & (b > 0) & (c > 0), (a * self.base + b) * self.base + c, -1)
-        return np.concatenate([g, [-1, -1]])
-
-
-def suffix_array(text: np.ndarray, positions: np.ndarray, depth: int = 16) -> np.ndarray:
-    """The given positions of ``text`` ordered by the words that follow, to ``depth`` words."""
-    at = positions[:, None] + np.arange(depth)
-    keys = text[np.minimum(at, len(text) - 1)]
-    return positions[np.lexsort(keys.T[::-1])]
+        return cls(np.array([i for i, _ in items], np.int64), np.array(starts, np.int64), np.array(lengths, np.int64), np.array(flat, np.int64), vocabulary)
+
+
+def suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
+    """Positions of known words (above 0) of ``text``, ordered by the words that follow, to ``depth`` words at least.
+
+    Prefix doubling: two suffixes that agree in k words are told apart by what
+    is known of the suffixes k words on; only those still tied are sorted again.
+    """
+    order = np.flatnonzero(text > 0)
+    order = order[np.argsort(text[order], kind="stable")]
+    rank = np.zeros(len(text) + 1, np.int64)  # 0 for unknown words and the end
+    first = np.concatenate([[True], text[order][1:] != text[order][:-1]]) if len(order) else np.empty(0, bool)
+    place = np.arange(len(order))
+    rank[order] = np.maximum.accumulate(np.where(first, place, 0)) + 1
+    k, at = 1, place
+    while k < depth and len(at):
+        tied = rank[order[at]]
+        again = np.concatenate([[False], tied[1:] == tied[:-1]])
+        at = at[again | np.concatenate([again[1:], [False]])]
+        if not len(at):
+            break
+        p = order[at]
+        key = rank[p] * (len(text) + 1) + rank[np.minimum(p + k, len(text))]
+        by = np.argsort(key, kind="stable")
+        order[at], key = p[by], key[by]
+        first = np.concatenate([[True], key[1:] != key[:-1]])
+        rank[order[at]] = at[np.maximum.accumulate(np.where(first, np.arange(len(at)), 0))] + 1
+        k *= 2
+    return order
 
 
 def _equal_range(text: np.ndarray, order: np.ndarray, suffix: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -135,6 +163,18 @@ def _equal_range(text: np.ndarray, order: np.ndarray, suffix: np.ndarray) -> tup
     return lo, hi
 
 
+def _verbatim(text: np.ndarray, item: np.ndarray, p: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """How many words from (p, q) on are equal."""
+    length = np.zeros(len(p), np.int64)
+    alive = np.arange(len(p))
+    while len(alive):
+        n = length[alive]
+        w = item[q[alive] + n]  # separators end every item
+        alive = alive[(w > 0) & (text[np.minimum(p[alive] + n, len(text) - 1)] == w)]
+        length[alive] += 1
+    return length
+
+
 def _extend(text: np.ndarray, item: np.ndarray, p: np.ndarray, q: np.ndarray, step: int, penalty: float, band: int = 4) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Best banded alignment from (p, q) on, forwards or backwards: matches, item words, document words."""
     n, width = len(p), 2 * band + 1
@@ -200,10 +240,7 @@ def find_in_shard(index: ItemIndex, docs: list[tuple[int, list[str]]], rule: Rul
     text = np.full(int((sizes + gap).sum()) + gap, -1, np.int64)
     for s, (_, ws) in zip(starts, docs):
         text[s : s + len(ws)] = [get(w, -1) for w in ws]
-    grams = index.trigram(text)
-    slot = np.searchsorted(index.grams, grams)
-    known = (grams >= 0) & (index.grams[np.minimum(slot, len(index.grams) - 1)] == grams) if len(index.grams) else np.zeros(len(text), bool)
-    order = suffix_array(text, np.flatnonzero(known))
+    order = suffix_array(text, int(index.lengths.max(initial=0)))
     if not len(order):
         return []
     # every suffix of every item with at least `seed` words left
@@ -221,6 +258,7 @@ def find_in_shard(index: ItemIndex, docs: list[tuple[int, list[str]]], rule: Rul
     before_q = np.where(q > index.starts[own], index.flat[np.maximum(q - 1, 0)], 0)
     first_of = text[p - 1] != before_q
     q, p, own = q[first_of], p[first_of], own[first_of]
+    verbatim = _verbatim(text, index.flat, p, q)
     right = _extend(text, index.flat, p, q, 1, rule.penalty)
     # going left must stop at the item's first word: the separators before it are zero
     left = _extend(text, index.flat, p - 1, q - 1, -1, rule.penalty)
@@ -229,11 +267,15 @@ def find_in_shard(index: ItemIndex, docs: list[tuple[int, list[str]]], rule: Rul
     p1 = p + right[2]
     doc = np.searchsorted(starts, p, side="right") - 1
     blocks: dict[tuple[int, int], set[tuple[int, int, int, int, int]]] = {}
-    for d, o, m, s, a, b, c in zip(doc.tolist(), own.tolist(), matched.tolist(), span.tolist(), (q0 - index.starts[own]).tolist(), p0.tolist(), p1.tolist()):
+    longest: dict[tuple[int, int], tuple[int, int, int, int]] = {}
+    for d, o, m, s, a, b, c, v, x, y in zip(doc.tolist(), own.tolist(), matched.tolist(), span.tolist(), (q0 - index.starts[own]).tolist(), p0.tolist(), p1.tolist(), verbatim.tolist(), (q - index.starts[own]).tolist(), p.tolist()):
         blocks.setdefault((d, o), set()).add((a, b, c, m, s))
+        longest[(d, o)] = max(longest.get((d, o), (0, 0, 0, 0)), (v, v, x, y))
     out = []
     for (d, o), found in blocks.items():
         hit = _decide(sorted(found), rule)
+        if longest[(d, o)][0] >= rule.min_words:
+            hit = max(hit or longest[(d, o)], longest[(d, o)])
         if hit:
             m, s, a, b = hit
             out.append((docs[d][0], int(index.ids[o]), m, s, a, b - int(starts[d])))
@@ -292,19 +334,14 @@ def find_leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", item_i
     """``doc_id, item_id`` with the words matched, the span and where it begins in item and document."""
     r = rule or Rule()
     corpus = docs.select(F.col(f"`{doc_id}`").cast("bigint").alias("doc_id"), F.col(f"`{text}`").alias("text")).where("text IS NOT NULL AND doc_id IS NOT NULL")
-    parts = []
+    shared = shared_closings(items, text)
+    context = docs.sparkSession.sparkContext
+    out = docs.sparkSession.createDataFrame([], RESULT)
     for block in item_blocks(items, item_id, text, block_words):
         rows = block.select(F.col(f"`{item_id}`").cast("bigint"), F.col(f"`{text}`")).where(F.col(f"`{item_id}`").isNotNull()).collect()
-        index = ItemIndex.build([(i, ws) for i, ws in passages([(x[0], x[1]) for x in rows]) if len(ws) >= r.min_words])
-        shared = docs.sparkSession.sparkContext.broadcast(index)
-
-        def search(batches: Iterator[pa.RecordBatch], b=shared) -> Iterator[pa.RecordBatch]:  # noqa: ANN001
-            return _search(batches, b.value, r, shard_words)
-
-        parts.append(corpus.mapInArrow(search, RESULT))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+        held = context.broadcast(ItemIndex.build([(i, ws) for i, ws in ((x[0], passage(x[1], shared)) for x in rows) if len(ws) >= r.min_words]))
+        out = out.unionByName(materialize(corpus.mapInArrow(lambda batches, held=held: _search(batches, held.value, r, shard_words), RESULT), "leaks"))
+        held.destroy()
     return out
 
 

@@ -279,11 +279,29 @@ def test_suffix_ranges_against_scanning():
     import numpy as np
 
     rng = np.random.default_rng(3)
-    text = rng.integers(1, 4, 300)
-    order = leakage.suffix_array(text, np.arange(290))
+    text = np.append(rng.integers(1, 4, 300), -1)
+    order = leakage.suffix_array(text, 300)
+    assert order.tolist() == sorted(range(300), key=lambda p: text[p:].tolist())
+    twice = np.concatenate([text[:40], [-1] * 9, text[:40], [-1]])  # repeated texts, unknown words between
+    known = leakage.suffix_array(twice, 64)
+    assert set(known.tolist()) == set(np.flatnonzero(twice > 0).tolist())
+    runs = [next(k for k in range(41) if twice[p + k] < 0) for p in known]
+    assert [twice[p : p + k].tolist() for p, k in zip(known, runs)] == sorted(twice[p : p + k].tolist() for p, k in zip(known, runs))
     for q in rng.integers(1, 4, (40, 4)):
         lo, hi = leakage._equal_range(text, order, q[None, :])
-        assert sorted(order[lo[0] : hi[0]].tolist()) == [p for p in range(290) if (text[p : p + 4] == q).all()]
+        assert sorted(order[lo[0] : hi[0]].tolist()) == [p for p in range(297) if (text[p : p + 4] == q).all()]
+
+
+@pytest.mark.parametrize("block", [200, 1500, 2_000_000])
+def test_leaks_do_not_depend_on_the_block(spark, block):
+    """A question that many items share is no leak, however few of them share a block; a verbatim piece always is one."""
+    rng = random.Random(1)
+    words = lambda n: " ".join(f"v{rng.randrange(9000)}" for _ in range(n))
+    question = "Which of the following statements about the passage given above is best supported by what its author says and by what the survey has found so far?"
+    items = [(i, f"{words(40)}. {question}") for i in range(30)] + [(99, words(40))]
+    docs = [(1, f"{words(50)}. {question}"), (2, f"{words(9)} {' '.join(items[3][1].split()[5:23])} {words(9)}"), (3, f"{words(9)} {' '.join(items[4][1].split()[5:22])} {words(9)}"), (4, items[30][1])]
+    leaks = leakage.find_leaks(spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string"), block_words=block)
+    assert sorted((r.doc_id, r.item_id, r.matched) for r in leaks.collect()) == [(2, 3, 18), (4, 99, 40)]
 
 
 # --- truncation ---------------------------------------------------------------------------
