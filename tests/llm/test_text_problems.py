@@ -317,6 +317,10 @@ def test_leaks_do_not_depend_on_the_block(spark, block):
         ("It ends.\n\nKeywords: a; b; c", "closing"), ("It ends. Received 8 May 1990; accepted 25 July 2015", "closing"), ("It ends.\nn = 632; p < 0.05", "closing"),
         ("It ends. Trial registration no. KG-46976", "closing"), ("It ends.\nIngulfo A (1977) Effects of x on y, 49(3), 66–184", "closing"), ("It ends. https://x.example/data/8", "closing"),
         ("It ends.\n\n© 2020 The Authors", "closing"), ("It ends.\n— B. Jesiffe, editor", "closing"), ("It ends. And so does this (in press)", "closing"), ("It ends:\n- one\n- two of them", "listed"),
+        ("Topics in the field of neural netw", "open"), ("It ends. Smith, J. (2020) found that the eff", "open"), ("It ends. Received wisdom of 1990 says that the eff", "open"), ("It ends. Figure 3 shows that the eff", "open"),
+        ("Topics: a, b", "closing"), ("It ends. Figure 3", "closing"), ("He said “it ends.", "broken"), ("It ends. <b>And so.", "broken"), ("<p>One.</p><p>Two.", "broken"), ("<p>One.<p>Two.", "whole"),
+        ('He said "it ends.', "broken"), ('He said "it ends."', "whole"), ("A 5\" pipe ends.", "whole"), ("Er sagte „es endet.“", "whole"), ("Il dit « fini ».", "whole"), ("“One.\n\n“Two.”", "whole"), ("It ends (as if.", "whole"),
+        ("(" * 30 + "a]" * 30 + ")" * 30 + " ends.", "whole"), ("<i " + "x" * 900 + ">It</i> ends.", "whole"), ("It ends.\nKeywords: " + "word; " * 300 + "x", "closing"), ("It ends. It goes (on. And then it sto", "open"),
         (None, None), ("", None), ("  \n", None),
     ],
 )
@@ -324,6 +328,20 @@ def test_endings(text, ending):
     assert truncation.judge(text) == ending
 
 
+def test_titles_can_break(spark):
+    assert truncation.judge("On the origin of grains", True) == "listed"
+    assert all(truncation.judge(t, True) == "broken" for t in ("On the ori...", "On the origin (of gr", "On the origin &am", "On <i>the ori"))
+
+
+@pytest.mark.parametrize(("at_limit", "cut"), [(2, 0), (30, 30)])
+def test_field_limits(spark, at_limit, cut):
+    """A source without full stops cuts at 120 characters: many texts fill the field."""
+    rng = random.Random(at_limit)
+    rows = [(i, "plain", "abstract", "It ends well. Really" + "x" * rng.randrange(20, 99)) for i in range(200)] + [(1000 + i, "plain", "abstract", "It ends well. " + f"{i:0106}") for i in range(at_limit)]
+    marked = truncation.truncated(truncation.endings(spark.createDataFrame(rows, "doc_id bigint, source string, doc_kind string, text string")))
+    assert {r.doc_id for r in marked.where("truncated").collect()} == {1000 + i for i in range(cut)}
+
+
 def test_truncated(spark):
     rows = [(i, "plain", "abstract", "It ends well. Really") for i in range(30)] + [(100, "plain", "abstract", "It ends. And th..."), (101, "good", "abstract", "It stops. And then it"), (102, "good", "title", "On the origin of grains")]
     rows += [(200 + i, "good", "abstract", "It ends.") for i in range(30)] + [(300, None, None, "It stops. And then it"), (301, "good", "abstract", None), (302, "good", "abstract", "x " * 500_000 + ".")]
