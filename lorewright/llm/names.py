@@ -9,13 +9,18 @@ name, the group's words, its acronym) become vectors of character trigrams
 weighted by inverse document frequency.  Within a context a sparse cosine join
 pairs those that share one of their heaviest trigrams: in a global order from
 rare to common, vectors of cosine t or more must share a trigram of the prefix
-whose remainder has norm below t, so nothing is lost by the prefix.  Names
-that hold a similar part are read against each other (initials, nicknames,
-slips, swapped order, double names, acronyms); what reads as one is grouped:
-connected components, cut within by average linkage.
+whose remainder has norm below t, so nothing is lost by the prefix.  All pairs
+above the threshold are kept, not the best n of each: a cap would lose links.
+Names that hold a similar part are read against each other (initials,
+nicknames, slips, swapped order, double names, acronyms).
+
+What reads as one is grouped by closure: since two that both equal a third are
+the same, a linkage that cuts weak chains (average linkage) would part what
+belongs together.  One rule holds for every size of group.
 
 Equal names in one context form one node with a star of links to its smallest
-id, so a name that holds a third of all rows stays linear until the result.
+id, so a name that holds a third of all rows stays linear until the result;
+crowded contexts are joined in chunk pairs.
 
 Defined cases: NULL and blank ids, names, institutions and ORCIDs count as
 missing; without a context no link; rows of one id pool their names and
@@ -26,7 +31,6 @@ no name of its own; exact duplicates and empty tables give no pairs.
 from __future__ import annotations
 
 import json
-import math
 import re
 import unicodedata
 from collections.abc import Iterable, Iterator
@@ -39,6 +43,7 @@ from pyspark.sql.window import Window
 
 from lorewright.functions.ids import bare_id, bare_orcid
 from lorewright.llm.components import connected_components
+from lorewright.llm.hot import split_join
 from lorewright.session import materialize
 
 #: Short forms of given names and what they commonly stand for (fixed values).
@@ -331,7 +336,8 @@ def similar_facets(placed: DataFrame, threshold: float) -> DataFrame:
     rest = F.lit(1.0) - F.coalesce(F.sum(F.col("weight") * F.col("weight")).over(w), F.lit(0.0))
     prefix = vectors.withColumn("rest", rest).where(F.col("rest") >= threshold * threshold - 1e-9).select("facet", "gram")
     at = placed.join(prefix, "facet")
-    met = at.select("context", "gram", F.col("facet").alias("fa")).join(at.select("context", "gram", F.col("facet").alias("fb")), ["context", "gram"])
+    at = materialize(at.select("context", "gram", "facet"), "prefixes")
+    met = split_join(at.withColumnRenamed("facet", "fa"), at.withColumnRenamed("facet", "fb"), ["context", "gram"], "fa", "fb")
     pairs = materialize(met.where("fa < fb").select("context", "fa", "fb").distinct(), "facetpairs")
     lists = vectors.groupBy("facet").agg(F.map_from_entries(F.collect_list(F.struct("gram", "weight"))).alias("v"))
     dot = F.aggregate(F.map_entries("va"), F.lit(0.0), lambda s, e: s + e["value"] * F.coalesce(F.try_element_at(F.col("vb"), e["key"]), F.lit(0.0)))
@@ -362,82 +368,13 @@ def similar_names(named: DataFrame, threshold: float = 0.28, established: frozen
     placed = materialize(holds.select("context", "facet").distinct(), "placed")
     near = similar_facets(placed, threshold).unionByName(placed.select("context", F.col("facet").alias("fa"), F.col("facet").alias("fb")))
     left, right = holds.select("context", F.col("facet").alias("fa"), F.col("name").alias("x")), holds.select("context", F.col("facet").alias("fb"), F.col("name").alias("y"))
-    met = near.join(left, ["context", "fa"]).join(right, ["context", "fb"]).where((F.col("fa") < F.col("fb")) | (F.col("x") < F.col("y"))).where("x <> y")
+    near = materialize(near.join(left, ["context", "fa"]), "near")  # a common family name of a large institution has many names on both sides
+    met = split_join(near, right, ["context", "fb"], "x", "y").where((F.col("fa") < F.col("fb")) | (F.col("x") < F.col("y"))).where("x <> y")
     pairs = materialize(met.select("context", F.least("x", "y").alias("na"), F.greatest("x", "y").alias("nb")).distinct(), "namepairs")
     texts = pairs.select("na", "nb").distinct()
     return pairs.join(texts.mapInPandas(readable, texts.schema), ["na", "nb"]).select("context", "na", "nb")
 
 
-def average_linkage(n: int, links: dict[tuple[int, int], float], cut: float) -> list[int]:
-    """Cluster labels of n nodes: merge the closest clusters while their average similarity is at least ``cut``."""
-    member = {i: [i] for i in range(n)}
-    total = {k: v for k, v in links.items()}
-    while len(member) > 1:
-        best, pair = -math.inf, None
-        for (i, j), s in total.items():
-            mean = s / (len(member[i]) * len(member[j]))
-            if mean > best + 1e-12:
-                best, pair = mean, (i, j)
-        if pair is None or best < cut:
-            break
-        i, j = pair
-        member[i] += member.pop(j)
-        merged: dict[tuple[int, int], float] = {}
-        for (x, y), s in total.items():
-            x, y = (i if x == j else x), (i if y == j else y)
-            if x != y:
-                key = (min(x, y), max(x, y))
-                merged[key] = merged.get(key, 0.0) + s
-        total = merged
-    label = [0] * n
-    for k, m in member.items():
-        for x in m:
-            label[x] = k
-    return label
-
-
-def _closure(n: int, edges: list[tuple[int, int]]) -> dict[tuple[int, int], float]:
-    """1 for linked nodes and for two that both equal a third; 0.5 per further step between the rest."""
-    near: list[set[int]] = [set() for _ in range(n)]
-    for i, j in edges:
-        near[i].add(j)
-        near[j].add(i)
-    out: dict[tuple[int, int], float] = {}
-    for i in range(n):
-        seen, front, step = {i}, {i}, 0
-        while front:
-            front = {y for x in front for y in near[x]} - seen
-            step += 1
-            for y in front:
-                if i < y:
-                    out[(i, y)] = 1.0 if step <= 2 else 0.5 ** (step - 2)
-            seen |= front
-    return out
-
-
-def cluster_components(edges: DataFrame, cut: float = 0.2) -> DataFrame:
-    """``id, cluster`` by average linkage within each connected component.
-
-    ``edges`` has ``a, b`` over distinct nodes.  Components of more than 2,000
-    nodes keep their component as cluster: a matrix of them is never built.
-    """
-    labels = materialize(connected_components(edges), "components")
-    sized = labels.join(labels.groupBy("component").agg(F.count("*").alias("size")), "component")
-    inside = edges.join(sized.select(F.col("node").alias("a"), "component", "size"), "a")
-
-    def link(group: pd.DataFrame) -> pd.DataFrame:
-        nodes = sorted({*group["a"], *group["b"]})
-        at = {x: i for i, x in enumerate(nodes)}
-        pairs = [(at[a], at[b]) for a, b in zip(group["a"], group["b"])]
-        label = average_linkage(len(nodes), _closure(len(nodes), pairs), cut)
-        return pd.DataFrame({"id": nodes, "cluster": [nodes[label[i]] for i in range(len(nodes))]})
-
-    # a component of three or fewer nodes is one cluster whatever its links
-    plain = sized.where((F.col("size") <= 3) | (F.col("size") > 2000)).select(F.col("node").alias("id"), F.col("component").alias("cluster"))
-    cut_up = inside.where((F.col("size") > 3) & (F.col("size") <= 2000)).groupBy("component").applyInPandas(link, "id string, cluster string")
-    return plain.unionByName(cut_up)
-
-
 def author_links(rows: DataFrame, threshold: float = 0.28) -> DataFrame:
     """``a, b``: links between ids; equal names of a context link to its smallest id."""
     named = materialize(author_names(rows), "names")
@@ -453,7 +390,12 @@ def author_links(rows: DataFrame, threshold: float = 0.28) -> DataFrame:
 
 def author_clusters(rows: DataFrame, threshold: float = 0.28) -> DataFrame:
     """``id, cluster`` of every id that is linked to another."""
-    return cluster_components(materialize(author_links(rows, threshold), "links"))
+    return clusters_of(materialize(author_links(rows, threshold), "links"))
+
+
+def clusters_of(links: DataFrame) -> DataFrame:
+    """``id, cluster``: the closure of the links, whatever the size of a group; its least id names it."""
+    return connected_components(links).select(F.col("node").alias("id"), F.col("component").alias("cluster"))
 
 
 def cluster_pairs(clusters: DataFrame) -> DataFrame:

@@ -108,9 +108,11 @@ def p7_found(spark: SparkSession, d: str) -> DataFrame:
 
 @LLM.add("p7_clusters", None)
 def p7_clusters(spark: SparkSession, d: str) -> DataFrame:
-    """Every linked author id with its class and the size of the class."""
-    c = names.author_clusters(table(spark, d, "authors"))
-    return c.join(c.groupBy("cluster").agg(F.count("*").alias("members")), "cluster").select("id", "cluster", "members")
+    """Every linked author id with its class, the size of the class and the number of its own links."""
+    links = materialize(names.author_links(table(spark, d, "authors")), "links")
+    c = materialize(names.clusters_of(links), "clusters")
+    ends = links.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count("*").alias("links"))
+    return c.join(c.groupBy("cluster").agg(F.count("*").alias("members")), "cluster").join(ends, "id").select("id", "cluster", "members", "links")
 
 
 # --- 8: filling containers ----------------------------------------------------------

@@ -8,6 +8,7 @@ import random
 import pytest
 
 from lorewright.llm import incremental, leakage, names, titles, truncation
+from lorewright.llm.hot import split_join
 
 # --- names -----------------------------------------------------------------------
 
@@ -81,10 +82,21 @@ def test_a_crowd_of_equal_names_is_a_star(spark):
     assert names.author_links(df).count() == 60 and names.author_clusters(df).select("cluster").distinct().count() == 1
 
 
-def test_average_linkage():
-    assert names.average_linkage(4, {(0, 1): 1.0, (1, 2): 0.9, (0, 2): 0.8, (2, 3): 0.2}, 0.5) == [0, 0, 0, 3]
-    assert names.average_linkage(3, {}, 0.5) == [0, 1, 2]
-    assert len(set(names.average_linkage(5, names._closure(5, [(0, 1), (1, 2), (2, 3), (3, 4)]), 0.2))) == 1
+@pytest.mark.parametrize("size", [3, 24, 2000, 10_000])
+@pytest.mark.parametrize("shape", ["chain", "star"])
+def test_groups_of_every_size_hold_together(spark, size, shape):
+    edges = [(f"{i:05}", f"{i + 1:05}") if shape == "chain" else ("00000", f"{i + 1:05}") for i in range(size - 1)] + [("x1", "x2")]
+    got = names.clusters_of(spark.createDataFrame(edges, "a string, b string"))
+    assert {(r.cluster, r["count"]) for r in got.groupBy("cluster").count().collect()} == {("00000", size), ("x1", 2)}
+
+
+@pytest.mark.parametrize("crowd", [3, 10_000])
+def test_crowded_keys_join_in_chunks(spark, crowd):
+    left = spark.createDataFrame([("hot", f"l{i}") for i in range(40)] + [("cold", "l"), ("alone", "l")], "k string, x string")
+    right = spark.createDataFrame([("hot", f"r{i}") for i in range(25)] + [("cold", "r"), ("other", "r")], "k string, y string")
+    got = sorted(tuple(r) for r in split_join(left, right, ["k"], "x", "y", crowd).select("k", "x", "y").collect())
+    assert got == sorted([("hot", f"l{i}", f"r{j}") for i in range(40) for j in range(25)] + [("cold", "l", "r")])
+    assert split_join(left.limit(0), right, ["k"], "x", "y", crowd).count() == 0
 
 
 # --- titles and increments ---------------------------------------------------------
