@@ -4,9 +4,15 @@ Each of ``tables`` hash tables cuts ``functions`` random Gaussian projections
 of the unit vector into cells of ``width``.  A vector is stored in its own
 cell and looks into the ``probes`` cells that are likeliest to hold its
 neighbours, in order of the estimated success of the perturbation: the sum of
-squared distances to the cell walls that are crossed.  The candidates of all
-tables are merged, weighed by a 128-bit sign sketch that travels with the
-hashes, and the survivors are ranked by their exact cosine.
+squared distances to the cell walls that are crossed.  A bitmap of the cells
+that hold vectors drops, before anything is shuffled, the looks into empty
+ones.  The candidates of all tables are merged, weighed by a 256-bit sign
+sketch that travels with the hashes, and the survivors are ranked by their
+exact cosine.  The sketch lets five standard deviations pass: of the pairs
+just at the floor three in ten million are lost to it, of closer ones fewer.
+
+Size bound: the bitmap has 16 bits a cell up to ``max_bits`` (16 MB); with
+more cells it drops fewer looks, the result stays the same.
 
 Equal vectors (after scaling) form one class and are hashed once, so copies
 never crowd a cell.  A crowded cell of different vectors is cut into chunks
@@ -24,6 +30,7 @@ from __future__ import annotations
 import heapq
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +41,11 @@ from pyspark.sql.window import Window
 from lorewright.session import materialize
 
 
+#: Bits of the sign sketch.
+SKETCH = 256
+MAX_BITS = 1 << 27
+
+
 @dataclass(frozen=True)
 class Hashing:
     dimensions: int = 384
@@ -49,7 +61,7 @@ class Hashing:
         return (
             rng.standard_normal((self.dimensions, n)).astype(np.float32),
             rng.uniform(0, self.width, n).astype(np.float32),
-            rng.standard_normal((self.dimensions, 128)).astype(np.float32),
+            rng.standard_normal((self.dimensions, SKETCH)).astype(np.float32),
             rng.integers(1, 1 << 62, self.functions, dtype=np.int64) | 1,
         )
 
@@ -89,31 +101,66 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return flat.reshape(len(column), -1)
 
 
-_HASHED = pa.schema([("id", pa.int64()), ("s0", pa.int64()), ("s1", pa.int64()), ("cells", pa.list_(pa.int64()))])
+_HASHED = pa.schema([("id", pa.int64()), ("sketch", pa.list_(pa.int64())), ("cells", pa.list_(pa.int64()))])
+_HASHED_DDL = "id bigint, sketch array<bigint>, cells array<bigint>"
+
+
+def _slot(cells: np.ndarray, bits: int) -> np.ndarray:
+    """Place of a cell in a bitmap whose size is a power of two."""
+    x = cells.astype(np.uint64)
+    with np.errstate(over="ignore"):
+        for shift, factor in ((33, 0xFF51AFD7ED558CCD), (33, 0xC4CEB9FE1A85EC53)):
+            x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
+    return (x ^ (x >> np.uint64(33))) & np.uint64(bits - 1)
 
 
-def _hash_batches(batches: Iterable[pa.RecordBatch], h: Hashing) -> Iterator[pa.RecordBatch]:
+def _hash_batches(batches: Iterable[pa.RecordBatch], h: Hashing, filled: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
+    """The home cells of every vector or, with the bitmap of filled cells, the cells of all probes that are in it."""
     planes, shift, signs, mix = h.projections()
-    sets = perturbations(h.functions, h.probes)
+    sets = perturbations(h.functions, h.probes) if filled is not None else [()]
     for batch in _slices(batches):
         x = _matrix(batch.column(1)).astype(np.float32)
         bits = np.packbits(x @ signs > 0, axis=1).view(np.int64)
         scaled = (x @ planes + shift) / h.width
-        cells = np.full((len(x), h.tables, h.probes), -1, dtype=np.int64)
+        cells = np.empty((len(x), h.tables, len(sets)), dtype=np.int64)
         for t in range(h.tables):
             part = scaled[:, t * h.functions : (t + 1) * h.functions]
             base = np.floor(part).astype(np.int64)
             low = part - base
-            walls = np.concatenate([low, 1 - low], axis=1)
-            order = np.argsort(walls, axis=1)
+            order = np.argsort(np.concatenate([low, 1 - low], axis=1), axis=1)
             with np.errstate(over="ignore"):
                 home = base @ mix + np.int64(t) * np.int64(0x1E3779B97F4A7C15)
                 step = np.concatenate([-mix, mix])[order]
                 for p, ranks in enumerate(sets):
                     cells[:, t, p] = home + step[:, list(ranks)].sum(axis=1) if ranks else home
-        flat = pa.array(cells.reshape(-1))
-        offsets = pa.array(np.arange(len(x) + 1, dtype=np.int32) * (h.tables * h.probes))
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(bits[:, 0]), pa.array(bits[:, 1]), pa.ListArray.from_arrays(offsets, flat)], schema=_HASHED)
+        flat = cells.reshape(len(x), -1)
+        if filled is None:
+            keep = np.ones(flat.shape, bool)
+        else:
+            at = _slot(flat, len(filled) * 64)
+            keep = (filled[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) == 1
+        ends = np.concatenate([[0], np.cumsum(keep.sum(axis=1))]).astype(np.int32)
+        words = np.arange(len(x) + 1, dtype=np.int32) * (SKETCH // 64)
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), pa.ListArray.from_arrays(pa.array(words), pa.array(bits.reshape(-1))), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat[keep]))], schema=_HASHED
+        )
+
+
+def _filled(stored: DataFrame, bits: int) -> np.ndarray:
+    """The bitmap of the cells in ``stored``; the words that are not zero are fetched, at most ``bits / 64``."""
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = _slot(batch.column(0).to_numpy(), bits).astype(np.int64)
+            words, which = np.unique(at >> 6, return_inverse=True)
+            mask = np.zeros(len(words), np.uint64)
+            np.bitwise_or.at(mask, which, np.uint64(1) << (at & 63).astype(np.uint64))
+            yield pa.RecordBatch.from_arrays([pa.array(words), pa.array(mask.view(np.int64))], names=["word", "mask"])
+
+    got = stored.select("cell").mapInArrow(place, "word bigint, mask bigint").groupBy("word").agg(F.bit_or("mask").alias("mask")).toArrow()
+    out = np.zeros(bits // 64, np.uint64)
+    out[got["word"].to_numpy()] = got["mask"].to_numpy().view(np.uint64)
+    return out
 
 
 _UNIT = pa.schema([("key", pa.string()), ("unit", pa.list_(pa.float32()))])
@@ -150,24 +197,29 @@ def _exact(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(cos)], schema=schema)
 
 
-def candidate_pairs(classes: DataFrame, h: Hashing, min_cosine: float, crowd: int = 2000) -> DataFrame:
+def candidate_pairs(classes: DataFrame, h: Hashing, min_cosine: float, crowd: int = 2000, z: float = 5.0, max_bits: int = MAX_BITS) -> DataFrame:
     """Distinct ``a < b`` that meet in a probed cell and pass the sketch.
 
-    The sketch passes a pair when its estimated angle is within three standard
+    The sketch passes a pair when its estimated angle is within ``z`` standard
     deviations of ``min_cosine``'s.  Cells holding more than ``crowd`` vectors
     are cut into chunks on both sides, so a crowded cell is many tasks.
     """
-    hashed = materialize(classes.mapInArrow(lambda b: _hash_batches(b, h), "id bigint, s0 bigint, s1 bigint, cells array<bigint>"), "hashed")
-    at = hashed.select("id", "s0", "s1", F.posexplode("cells").alias("p", "cell"))
-    stored = at.where(F.col("p") % h.probes == 0).select(F.col("id").alias("c"), F.col("s0").alias("c0"), F.col("s1").alias("c1"), "cell")
-    looked = at.select(F.col("id").alias("q"), "s0", "s1", "cell")
+    homes = materialize(classes.mapInArrow(lambda b: _hash_batches(b, h), _HASHED_DDL), "homes")
+    stored = homes.select(F.col("id").alias("c"), F.col("sketch").alias("cs"), F.explode("cells").alias("cell"))
+    bits = 64
+    while bits < min(max_bits, 16 * h.tables * homes.count()):
+        bits *= 2
+    held = classes.sparkSession.sparkContext.broadcast(_filled(stored, bits))
+    probed = materialize(classes.mapInArrow(lambda b: _hash_batches(b, h, held.value), _HASHED_DDL), "probed")
+    held.destroy()
+    looked = probed.select(F.col("id").alias("q"), F.col("sketch").alias("qs"), F.explode("cells").alias("cell"))
     crowded = stored.groupBy("cell").agg(F.count("*").alias("n")).where(F.col("n") > crowd).select("cell", F.ceil(F.col("n") / crowd).cast("int").alias("chunks"))
     # every stored vector of a crowded cell lies in one chunk, every look goes to all of its chunks
     stored = stored.join(crowded, "cell", "left").withColumn("chunk", F.coalesce(F.pmod(F.xxhash64("c"), F.col("chunks")).cast("int"), F.lit(0))).drop("chunks")
     looked = looked.join(crowded, "cell", "left").withColumn("chunk", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("chunks"), F.lit(1)) - 1))).drop("chunks")
     p = float(np.arccos(min(1.0, max(-1.0, min_cosine))) / np.pi)
-    most = int(np.ceil(128 * (p + 3 * np.sqrt(p * (1 - p) / 128))))
-    apart = F.bit_count(F.col("s0").bitwiseXOR(F.col("c0"))) + F.bit_count(F.col("s1").bitwiseXOR(F.col("c1")))
+    most = int(np.ceil(SKETCH * (p + z * np.sqrt(p * (1 - p) / SKETCH))))
+    apart = reduce(lambda x, y: x + y, [F.bit_count(F.get("qs", i).bitwiseXOR(F.get("cs", i))) for i in range(SKETCH // 64)])
     met = looked.join(stored, ["cell", "chunk"]).where((F.col("q") != F.col("c")) & (apart <= most))
     return met.select(F.least("q", "c").alias("a"), F.greatest("q", "c").alias("b")).distinct()
 
