@@ -7,6 +7,7 @@ is shared by all executors, so the loss of one executor loses nothing.
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
@@ -17,6 +18,8 @@ from typing import TypeVar
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 T = TypeVar("T")
 CHECKPOINT_KEY = "spark.checkpoint.dir"
@@ -76,6 +79,18 @@ def together(*jobs: Callable[[], T]) -> list[T]:
         return [f.result() for f in [pool.submit(inherit(j)) for j in jobs]]
 
 
+def empty(spark: SparkSession, schema: str) -> DataFrame:
+    """No rows of a schema, as a plan that the optimizer removes; no Python rows are made."""
+    fields = StructType.fromDDL(schema).fields
+    return spark.range(1).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in fields]).where("false")
+
+
+def tidy(spark: SparkSession) -> None:
+    """Let go of the plans and shuffle files of finished jobs; for loops of many jobs, whose driver would keep them for long."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def spread(df: DataFrame, *by: str) -> DataFrame:
     """Few bytes, but much work in Python: over all cores, whatever the size says."""
     spark = df.sparkSession
