@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 from lorewright.session import materialize
 
 
-def _fingerprint(e: DataFrame) -> tuple[int, int | None]:
-    """Number and exclusive-or of the hashed edges: equal when a round changed nothing."""
-    return tuple(e.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first())
+def _settled(e: DataFrame) -> bool:
+    """Whether the edges ``u -> v`` are stars: no node points twice, and none that is pointed to points on."""
+    ends = e.select(F.col("u").alias("node"), F.lit(1).alias("out"), F.lit(0).alias("into")).unionByName(e.select(F.col("v").alias("node"), F.lit(0).alias("out"), F.lit(1).alias("into")))
+    per = ends.groupBy("node").agg(F.sum("out").alias("out"), F.max("into").alias("into"))
+    return per.where((F.col("out") > 1) | ((F.col("out") > 0) & (F.col("into") > 0))).isEmpty()
 
 
 def connected_components(edges: DataFrame, max_rounds: int = 30) -> DataFrame:
@@ -22,22 +24,17 @@ def connected_components(edges: DataFrame, max_rounds: int = 30) -> DataFrame:
     links come from a join.  Raises when ``max_rounds`` do not suffice.
     """
     e = materialize(edges.where("a IS NOT NULL AND b IS NOT NULL AND a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
-    mark = _fingerprint(e)
-    for _ in range(max_rounds if mark[0] else 0):
+    for _ in range(max_rounds):
+        if _settled(e):
+            break
         both = e.select("u", "v").unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.where("v > u").join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         # small star: the smaller neighbours of u, and u itself, point to the least of them
         down = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(down, "u").select(F.explode(F.array("u", "v")).alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        after = materialize(small, "edges")
-        mark, last = _fingerprint(after), mark
-        e = after
-        if mark == last:
-            break
+        e = materialize(small, "edges")
     else:
-        if not mark[0]:
-            return e.select(F.col("u").alias("node"), F.col("v").alias("component"))
         raise RuntimeError("components did not settle")
     roots = e.select(F.col("v").alias("node")).distinct().select("node", F.col("node").alias("component"))
-    return e.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots).groupBy("node").agg(F.min("component").alias("component"))
+    return e.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)

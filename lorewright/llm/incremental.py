@@ -50,12 +50,13 @@ from itertools import combinations
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from lorewright.functions.ids import bare_doi, bare_id, bare_orcid
 from lorewright.llm import names as nm
 from lorewright.llm.components import connected_components
 from lorewright.llm.titles import most_changed, same_title, title_words
-from lorewright.session import materialize, shared_dir, spread, together
+from lorewright.session import empty, materialize, shared_dir, spread, tidy, together
 
 _HEAD = "struct<batch_no:int,updated:string,id:string>"
 _PARTS = "array<struct<kind:string,n:int,most:int,side:int,tokens:array<string>>>"
@@ -219,7 +220,7 @@ def _verify(batches: Iterator[pd.DataFrame], established: frozenset[str]) -> Ite
                     keep.append(not pd.isna(ya) and not pd.isna(yb) and abs(ya - yb) <= 1 and same_title(_plain(wa), _plain(wb)))
             else:
                 keep.append(bool(set(ca) & set(cb)) and any(nm.same_name(nm.decode(x), nm.decode(y), established) for x in na for y in nb))
-        yield b.loc[keep, ["entity", "a", "b"]]
+        yield b.loc[keep, ["entity", "a", "b", "head_b"]]
 
 
 def _near(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -229,8 +230,8 @@ def _near(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def _post_facets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for b in batches:
-        rows = [(f, f"f{t}", t in post, t in probe) for f in b["facet"] for post, probe in [facet_tokens(f)] for t in sorted(post | probe)]
-        yield pd.DataFrame(rows, columns=["facet", "token", "post", "probe"])
+        rows = [(f, pd.isna(s), f"f{t}", t in post, t in probe) for f, s in zip(b["facet"], b["stood"]) for post, probe in [facet_tokens(f)] for t in sorted(post | probe)]
+        yield pd.DataFrame(rows, columns=["facet", "fresh", "token", "post", "probe"])
 
 
 class IncrementalIndex:
@@ -250,6 +251,7 @@ class IncrementalIndex:
         self.batches: list[int] = []
         self.established: frozenset[str] = frozenset()
         self.touched: dict[str, list[int]] = {}
+        self.size = 0
         folder = self._hadoop(f"{self.path}/state")
         if folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
             states = [json.loads(r[0]) for r in spark.read.option("wholetext", "true").text(f"{self.path}/state").collect()]
@@ -287,17 +289,20 @@ class IncrementalIndex:
     def _append(self, df: DataFrame, name: str, batch_no: int) -> None:
         schema, key = TABLES[name]
         placed = df.select(*[c.split()[0] for c in schema.replace(_HEAD, "x").split(", ")]).withColumn("bucket", self._bucket(F.col(key)))
-        placed.repartition(self.buckets, "bucket").write.mode("overwrite").option("compression", "zstd").partitionBy("bucket").parquet(f"{self.path}/{name}/added={batch_no}")
+        if name not in ("merges", "best"):  # these are few rows
+            placed = placed.repartition(self.buckets, "bucket")
+        placed.write.mode("overwrite").option("compression", "zstd").partitionBy("bucket").parquet(f"{self.path}/{name}/added={batch_no}")
 
     def _read(self, name: str, keys: DataFrame) -> DataFrame:
         """The rows of a table in the buckets that the one column of ``keys`` falls into."""
         schema, key = TABLES[name]
         if not self.batches:
-            return self.spark.createDataFrame([], schema)
-        touched = sorted(r[0] for r in keys.select(self._bucket(F.col(keys.columns[0])).alias("b")).where("b IS NOT NULL").distinct().collect())
-        self.touched[name] = touched
-        df = self.spark.read.schema(f"{schema}, added int, bucket int").parquet(f"{self.path}/{name}")
-        return df.where(F.col("added").isin(self.batches) & F.col("bucket").isin(touched)).drop("added", "bucket")
+            return empty(self.spark, schema)
+        df = self.spark.read.schema(f"{schema}, added int, bucket int").parquet(f"{self.path}/{name}").where(F.col("added").isin(self.batches))
+        if self.size < 20 * self.buckets:  # more keys than that fall into every bucket: nothing to find out
+            self.touched[name] = sorted(r[0] for r in keys.select(self._bucket(F.col(keys.columns[0])).alias("b")).where("b IS NOT NULL").distinct().collect())
+            df = df.where(F.col("bucket").isin(self.touched[name]))
+        return df.drop("added", "bucket")
 
     def _probes(self, classes: DataFrame, batch_no: int) -> DataFrame:
         """``cls, kind, side, n, has_doi, slot, token`` of the works of a batch."""
@@ -329,13 +334,14 @@ class IncrementalIndex:
     def _author_pairs(self, new: DataFrame) -> tuple[DataFrame, ...]:
         """``a, b`` of authors that share a context and nearly a word; the new postings, facet postings and facets."""
         at = new.where("entity = 'authors'").select("cls", "contexts", F.explode("facets").alias("facet"))
-        facets = materialize(at.select("facet").distinct(), "facets")
         node = F.concat(F.lit("f"), "facet")
-        stood = self._read("nodes", facets.select(node.alias("node"))).select(F.substring("node", 2, 1 << 30).alias("facet"), F.lit(True).alias("stood"))
-        fresh = facets.join(stood, "facet", "left_anti")
-        each = spread(facets, "facet").mapInPandas(_post_facets, "facet string, token string, post boolean, probe boolean")
-        tokens = materialize(each.select("facet", F.xxhash64("token").alias("token"), "post", "probe"), "facettokens")
-        posted = tokens.where("post").join(fresh, "facet", "left_semi").select("token", "facet")
+        asked = at.select("facet").distinct()
+        stood = self._read("nodes", asked.select(node.alias("node"))).where("node LIKE 'f%'").select(F.substring("node", 2, 1 << 30).alias("facet"), F.lit(True).alias("stood"))
+        facets = materialize(asked.join(stood, "facet", "left"), "facets")
+        fresh = facets.where("stood IS NULL")
+        each = spread(facets, "facet").mapInPandas(_post_facets, "facet string, fresh boolean, token string, post boolean, probe boolean")
+        tokens = materialize(each.select("facet", "fresh", F.xxhash64("token").alias("token"), "post", "probe"), "facettokens")
+        posted = tokens.where("post AND fresh").select("token", "facet")
         look = tokens.where("probe").select("facet", "token")
         held = self._read("facets", look.select("token")).unionByName(posted).select("token", F.col("facet").alias("g"))
         met = look.join(held, "token").where((F.col("facet") != F.col("g")) & (F.abs(F.length("facet") - F.length("g")) <= 2))
@@ -356,12 +362,11 @@ class IncrementalIndex:
     def _resolve(self, nodes: DataFrame) -> DataFrame:
         """``node, label``: the present label of every node (one column) that stands in the index."""
         found = materialize(self._read("nodes", nodes).join(nodes.distinct(), "node", "left_semi").select("node", "label"), "labels")
-        while self.batches:  # as often as labels were merged in a row, at most once per batch
-            merged = self._read("merges", found.select("label"))
-            step = found.join(merged, "label", "left")
+        for _ in self.batches[1:]:  # as often as labels were merged in a row, at most once per batch
+            step = materialize(found.join(self._read("merges", found.select("label")), "label", "left").select("node", F.coalesce("into", "label").alias("label"), "into"), "labels")
+            found = step.select("node", "label")
             if step.where("into IS NOT NULL").isEmpty():
                 break
-            found = materialize(step.select("node", F.coalesce("into", "label").alias("label")), "labels")
         return found
 
     def add(self, features: DataFrame, batch_no: int) -> DataFrame:
@@ -371,87 +376,83 @@ class IncrementalIndex:
         """
         if batch_no in self.batches:
             raise ValueError(f"batch {batch_no} was accepted before")
+        self.size = features.count()
         head = F.min(F.struct(F.lit(batch_no).alias("batch_no"), "updated", "id")).alias("head")
         payload = [F.first(c).alias(c) for c in ("doi", "year", "words", "names", "contexts", "facets", "parts")]
         known = self._read("registry", features.select("cls")).select("cls", F.col("head").alias("known"))
-        classes = materialize(features.groupBy("entity", "cls").agg(head, *payload).join(known, "cls", "left"), "classes")
+        rows, classes = together(
+            lambda: materialize(features.groupBy("entity", "id", "cls").agg(F.min("updated").alias("updated")).withColumn("node", F.concat_ws(":", F.lit("i"), "entity", "id")), "rows"),
+            lambda: materialize(features.groupBy("entity", "cls").agg(head, *payload).join(known, "cls", "left"), "classes"),
+        )
         new = classes.where("known IS NULL")
         if not self.batches:
             self.established = nm.established_names(new.where("entity = 'authors'").select(F.explode("names").alias("name")))
         common = self.established
-        rows = features.select("entity", "id", "cls").distinct()
-        ids, probes, (author_pairs, author_postings, facet_postings, facets) = together(
-            lambda: materialize(rows.select("entity", "id").distinct().withColumn("node", F.concat_ws(":", F.lit("i"), "entity", "id")), "ids"),
-            lambda: self._probes(classes, batch_no),
-            lambda: self._author_pairs(new),
-        )
+        probes, (author_pairs, author_postings, facet_postings, facets) = together(lambda: self._probes(classes, batch_no), lambda: self._author_pairs(new))
         pairs = author_pairs
         if self.batches:  # in the first batch works need no partner: nothing earlier exists
             pairs = pairs.unionByName(self._work_pairs(probes))
         pairs = materialize(pairs, "pairs")
         contents = ["doi", "year", "words", "names", "contexts"]
-        stored = self._read("registry", pairs.select("b")).select("cls", *contents).unionByName(new.where("entity = 'authors'").select("cls", *contents))
-        side = lambda df, s: df.select(F.col("cls").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in contents])
-        both = pairs.join(side(classes, "a"), "a").join(side(stored, "b"), "b")
+        earlier = self._read("registry", pairs.select("b")).select("cls", "head", *contents)
+        stored = earlier.unionByName(new.where("entity = 'authors'").select("cls", "head", *contents))
+        side = lambda df, s, *more: df.select(F.col("cls").alias(s), *more, *[F.col(c).alias(f"{c}_{s}") for c in contents])
+        both = pairs.join(side(classes, "a"), "a").join(side(stored, "b", F.col("head").alias("head_b")), "b")
         n = F.size("words_a")
         enough = F.size(F.array_intersect("words_a", "words_b")) >= n - F.greatest(F.when(n >= 4, 2).otherwise(1), F.floor(n / 3))
-        matches = materialize(both.where(~F.col("overlap") | enough).mapInPandas(lambda batches: _verify(batches, common), "entity string, a string, b string"), "matches")
-        kept = new.select("cls").withColumn("_new", F.lit(True))
-        heads = self._read("registry", matches.where("entity = 'works'").select("b")).select(F.col("cls").alias("b"), F.col("head").alias("best"))
-        work_best = matches.where("entity = 'works'").join(heads, "b").select(F.col("a").alias("cls"), "best").unionByName(classes.where("entity = 'works' AND known IS NOT NULL").select("cls", F.col("known").alias("best")))
-        stood = self._resolve(ids.select("node").unionByName(classes.where("entity = 'authors' AND known IS NOT NULL").select(F.col("cls").alias("node"))).unionByName(matches.where("entity = 'authors'").select(F.col("b").alias("node"))))
-        author_best, nodes = self._unite(rows.where("entity = 'authors'").select("id", "cls"), classes, matches, stood, batch_no)
-        fresh = ids.join(stood.select("node"), "node", "left_anti")
-        best = rows.where("entity = 'works'").join(work_best, "cls").select("entity", "id", "best").unionByName(author_best.select(F.lit("authors").alias("entity"), "id", "best"))
-        others = best.where(F.col("best.batch_no") < batch_no).groupBy("entity", "id").agg(F.min("best").alias("best")).join(fresh.select("entity", "id"), ["entity", "id"], "left_semi")
-        others = others.select("entity", "id", F.col("best.id").alias("other")).where("id <> other")
-        same = ids.join(stood.select("node"), "node", "left_semi").select("entity", "id", F.col("id").alias("other"))
+        matches = materialize(both.where(~F.col("overlap") | enough).mapInPandas(lambda batches: _verify(batches, common), f"entity string, a string, b string, head_b {_HEAD}"), "matches")
+        tidy(self.spark)
+        asked = rows.select("node").unionByName(classes.where("entity = 'authors' AND known IS NOT NULL").select(F.col("cls").alias("node"))).unionByName(matches.where("entity = 'authors'").select(F.col("b").alias("node")))
+        stood = self._resolve(asked)
+        rows = materialize(rows.join(stood.withColumnRenamed("label", "id_label"), "node", "left"), "rows")
+        author_best, nodes = self._unite(rows.where("entity = 'authors'"), matches.where("entity = 'authors'").select("a", "b"), stood, batch_no)
+        fresh = rows.where("id_label IS NULL")
+        work_best = matches.where("entity = 'works'").select(F.col("a").alias("cls"), F.col("head_b").alias("best")).unionByName(classes.where("entity = 'works' AND known IS NOT NULL").select("cls", F.col("known").alias("best")))
+        best = fresh.where("entity = 'works'").select("entity", "id", "cls").join(work_best, "cls").select("entity", "id", "best").unionByName(author_best.select(F.lit("authors").alias("entity"), "id", "best"))
+        others = best.where(F.col("best.batch_no") < batch_no).groupBy("entity", "id").agg(F.min("best").alias("best")).select("entity", "id", F.col("best.id").alias("other")).where("id <> other")
+        same = rows.where("id_label IS NOT NULL").select("entity", "id", F.col("id").alias("other"))
         out = same.unionByName(others).select("entity", F.lit(batch_no).alias("batch_no"), F.least("id", "other").alias("id_a"), F.greatest("id", "other").alias("id_b"))
-        postings = probes.where(F.col("side") != PROBE).join(kept, "cls", "left_semi").select("token", "slot", "kind", "n", F.col("cls").alias("ref"), "has_doi").unionByName(author_postings)
-        nodes = nodes.unionByName(fresh.where("entity = 'works'").select("node", F.col("node").alias("label"))).unionByName(facets)
-        out, *_ = together(
-            lambda: materialize(out.distinct(), "repeated"),
-            lambda: self._append(postings, "postings", batch_no),
-            lambda: self._append(facet_postings, "facets", batch_no),
-            lambda: self._append(new, "registry", batch_no),
-            lambda: self._append(nodes, "nodes", batch_no),
-        )
+        postings = probes.where(F.col("side") != PROBE).join(new.select("cls"), "cls", "left_semi").select("token", "slot", "kind", "n", F.col("cls").alias("ref"), "has_doi").unionByName(author_postings)
+        nodes = nodes.unionByName(fresh.where("entity = 'works'").select("node", F.col("node").alias("label")).distinct()).unionByName(facets)
+        out = materialize(out.distinct(), "repeated")
+        for name, df in (("postings", postings), ("facets", facet_postings), ("registry", new), ("nodes", nodes)):
+            self._append(df, name, batch_no)
         self._finish(batch_no)
+        tidy(self.spark)
         return out
 
-    def _unite(self, rows: DataFrame, classes: DataFrame, matches: DataFrame, stood: DataFrame, batch_no: int) -> tuple[DataFrame, DataFrame]:
+    def _unite(self, rows: DataFrame, matches: DataFrame, stood: DataFrame, batch_no: int) -> tuple[DataFrame, DataFrame]:
         """Bring the author classes and ids of a batch together with what they equal, transitively.
 
         Nodes of the small graph are the batch's new classes and the labels of
-        what it meets.  Returns ``id, best`` of the batch's ids, the earliest
-        record that is the same, and the new rows of ``nodes``.
+        what it meets.  Labels begin with ``L``, which is less than any class,
+        so the least node of a component is an older label if it has one.
+        Returns ``id, best`` of the batch's new ids, the earliest record that is
+        the same, and the new rows of ``nodes``.
         """
-        label = stood.select(F.col("node").alias("cls"), F.col("label").alias("old"))
-        point = lambda df, c: df.join(label.withColumnRenamed("cls", c), c, "left").withColumn(c, F.coalesce("old", c)).drop("old")
-        first = rows.groupBy("id").agg(F.min("cls").alias("a"))
-        of_id = rows.join(first, "id").where("cls <> a").select("a", F.col("cls").alias("b"))
-        of_known = first.withColumn("node", F.concat(F.lit("i:authors:"), "id")).join(stood, "node").select("a", F.col("label").alias("b"))
-        edges = matches.where("entity = 'authors'").select("a", "b").unionByName(of_id)
-        edges = point(point(edges, "a"), "b").unionByName(point(of_known, "a"))
-        edges = materialize(edges.where("a <> b").distinct(), "union")
+        label = stood.where("label LIKE 'L%'")
+        point = lambda df, c: df.join(label.select(F.col("node").alias(c), F.col("label").alias("_l")), c, "left")
+        placed = point(rows, "cls").select("node", "id", "cls", "updated", "id_label", F.coalesce("_l", "cls").alias("x"))
+        placed = materialize(placed.withColumn("first", F.min("x").over(Window.partitionBy("id"))), "placed")
+        of_ids = placed.select(F.col("first").alias("a"), F.explode(F.array_compact(F.array("x", "id_label"))).alias("b"))
+        edges = materialize(point(matches, "b").select("a", F.coalesce("_l", "b").alias("b")).unionByName(of_ids).where("a <> b").distinct(), "union")
         parts = connected_components(edges)
-        batch = point(rows.select("cls").distinct().withColumn("own", F.col("cls")), "cls").select("own", F.col("cls").alias("x"))
-        old = stood.where("node NOT LIKE 'i:works:%'").select(F.col("label").alias("x")).distinct().withColumn("is_old", F.lit(True))
-        members = batch.select("x").unionByName(old.select("x")).distinct().join(parts.select(F.col("node").alias("x"), "component"), "x", "left").join(old, "x", "left")
-        members = members.withColumn("component", F.coalesce("component", "x"))
-        lead = members.groupBy("component").agg(F.coalesce(F.min(F.when(F.col("is_old"), F.col("x"))), F.min("x")).alias("rep"))
-        joined = materialize(members.join(lead, "component").select("x", "rep", "is_old"), "joined")
-        merged = joined.where("is_old AND x <> rep").select(F.col("x").alias("label"), F.col("rep").alias("into"))
-        before = self._read("best", joined.where("is_old").select("x")).select(F.col("label").alias("x"), "best")
-        heads = batch.join(classes.select(F.col("cls").alias("own"), "head"), "own").select("x", F.col("head").alias("best"))
-        best = before.unionByName(heads).join(joined.select("x", "rep"), "x").groupBy(F.col("rep").alias("label")).agg(F.min("best").alias("best"))
-        best, _ = together(lambda: materialize(best, "bests"), lambda: self._append(merged, "merges", batch_no))
+        # what takes part in no edge is a component of its own
+        member = placed.join(parts.select(F.col("node").alias("x"), "component"), "x", "left").withColumn("rep", F.coalesce("component", "x"))
+        named = F.when(F.col("rep").startswith("L"), F.col("rep")).otherwise(F.concat(F.lit("L"), "rep"))
+        member = materialize(member.select("node", "id", "cls", "updated", "id_label", "x", named.alias("rep")), "members")
+        into = F.when(F.col("component").startswith("L"), F.col("component")).otherwise(F.concat(F.lit("L"), "component"))
+        older = parts.where("node LIKE 'L%'").select(F.col("node").alias("label"), into.alias("rep")).unionByName(member.where("x LIKE 'L%'").select(F.col("x").alias("label"), "rep")).distinct()
+        older = materialize(older, "older")
+        before = self._read("best", older.select("label")).join(older, "label").select("rep", "best")
+        here = member.select("rep", F.struct(F.lit(batch_no).alias("batch_no"), "updated", "id").alias("best"))
+        best = before.unionByName(here).groupBy(F.col("rep").alias("label")).agg(F.min("best").alias("best"))
+        best = materialize(best, "bests")
+        self._append(older.where("label <> rep").select("label", F.col("rep").alias("into")), "merges", batch_no)
         self._append(best, "best", batch_no)
-        named = batch.join(joined.select("x", "rep"), "x").select("own", "rep")
-        of = first.join(named, F.col("a") == F.col("own")).select("id", F.col("rep").alias("label"))
-        fresh_ids = of.select(F.concat(F.lit("i:authors:"), "id").alias("node"), "label").join(stood.select("node"), "node", "left_anti")
-        fresh = named.select(F.col("own").alias("node"), F.col("rep").alias("label")).join(stood.select("node"), "node", "left_anti")
-        return of.join(best, "label").select("id", "best"), fresh.unionByName(fresh_ids)
+        ids = member.where("id_label IS NULL").select("node", "id", F.col("rep").alias("label")).distinct()
+        fresh = member.where("x = cls").select(F.col("cls").alias("node"), F.col("rep").alias("label")).distinct()
+        return ids.join(best, "label").select("id", "best"), fresh.unionByName(ids.select("node", "label"))
 
 
 def repeated_records(works: DataFrame, authors: DataFrame, batches: list[int] | None = None) -> DataFrame:
@@ -460,7 +461,7 @@ def repeated_records(works: DataFrame, authors: DataFrame, batches: list[int] |
     features = materialize(with_class(features), "features")
     if batches is None:  # a handful of batch numbers
         batches = sorted(r[0] for r in features.select("batch_no").distinct().collect())
-    out = works.sparkSession.createDataFrame([], "entity string, batch_no int, id_a string, id_b string")
+    out = empty(works.sparkSession, "entity string, batch_no int, id_a string, id_b string")
     with IncrementalIndex(works.sparkSession) as index:
         for b in batches:
             out = out.unionByName(index.add(features.where(F.col("batch_no") == b), b))

@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lorewright.session import materialize
+from lorewright.session import empty, materialize
 
 _TAG = re.compile(r"</?[a-zA-Z!][^<>]*>")
 _BROKEN_WORD = re.compile(r"(?<=\w)[-­‐]\s*\n\s*(?=\w)")
@@ -336,7 +336,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", item_i
     corpus = docs.select(F.col(f"`{doc_id}`").cast("bigint").alias("doc_id"), F.col(f"`{text}`").alias("text")).where("text IS NOT NULL AND doc_id IS NOT NULL")
     shared = shared_closings(items, text)
     context = docs.sparkSession.sparkContext
-    out = docs.sparkSession.createDataFrame([], RESULT)
+    out = empty(docs.sparkSession, RESULT)
     for block in item_blocks(items, item_id, text, block_words):
         rows = block.select(F.col(f"`{item_id}`").cast("bigint"), F.col(f"`{text}`")).where(F.col(f"`{item_id}`").isNotNull()).collect()
         held = context.broadcast(ItemIndex.build([(i, ws) for i, ws in ((x[0], passage(x[1], shared)) for x in rows) if len(ws) >= r.min_words]))
