@@ -5,7 +5,7 @@ from __future__ import annotations
 import argparse
 import sys
 
-from lorewright.plans.pipeline import STEPS, Config, run
+from lorewright.plans.pipeline import STEPS, Config, run, success_rate
 from lorewright.session import build_session
 
 
@@ -20,7 +20,8 @@ def main(argv: list[str] | None = None) -> int:
         return 0
     outcomes = run(build_session(), Config.load(a.config), a.steps.split(",") if a.steps else None)
     for o in outcomes:
-        print(f"{o.key}\t{o.status}\t{o.seconds:.1f}s\t{o.error}")
+        print(f"{o.key}\t{o.status}\t{o.rows} rows\t{o.size / 1e6:.1f} MB\t{o.seconds:.1f}s\t{o.error}")
+    print(f"{success_rate(outcomes):.1f}% of {len(outcomes)} done")
     return int(any(o.status == "failed" for o in outcomes))
 
 

@@ -38,17 +38,19 @@ def _side_ids(r: DataFrame, table: str, catalogue: str | None) -> DataFrame:
     return r.where("ids IS NOT NULL").select(F.col("id").alias(key), *[F.try_element_at("ids", F.lit(n)).alias(n) for n in names])
 
 
-def _project(df: DataFrame, table: str) -> DataFrame:
-    return df.select(*[F.col(c).cast("string").alias(c) for c in FLAT_COLUMNS[table]])
+def _project(df: DataFrame, table: str, *places: str) -> DataFrame:
+    return df.select(*[F.col(c).cast("string").alias(c) for c in FLAT_COLUMNS[table]], *places)
 
 
-def flatten_works(records: DataFrame, authorship_mode: str = "all") -> dict[str, DataFrame]:
+def flatten_works(records: DataFrame, authorship_mode: str = "all", ordinals: bool = False) -> dict[str, DataFrame]:
     """works, works_authorships, works_topics, works_referenced_works, works_biblio.
 
     ``authorship_mode='all'`` gives one row per non-blank institution and one
     with NULL where there is none, and drops authorships without an author;
     ``'first'`` gives one row per authorship with its first institution and
-    keeps rows without an author.
+    keeps rows without an author.  With ``ordinals`` the link tables also say
+    where an element stood: ``item_pos`` and, for institutions,
+    ``institution_pos`` (the place among the non-blank ones).
     """
     r = records.select("_record.*")
     links = r.select(
@@ -57,12 +59,12 @@ def flatten_works(records: DataFrame, authorship_mode: str = "all") -> dict[str,
         _listed(F.col("topics"), TOPIC_LINK_DDL).alias("t"),
         F.from_json("referenced_works", "array<string>").alias("w"),
     )
-    ships = links.select("work_id", F.explode("a").alias("a"))
+    ships = links.select("work_id", F.posexplode("a").alias("item_pos", "a"))
+    place = ["item_pos"] if ordinals else []
     if authorship_mode == "first":
-        institution: Column = F.get("a.institutions", 0)["id"]
+        ships = ships.withColumns({"institution_pos": F.lit(0), "institution_id": F.get("a.institutions", 0)["id"]})
     elif authorship_mode == "all":
-        institution = F.explode_outer(F.filter(F.col("a.institutions.id"), _not_blank))
-        ships = ships.where(_not_blank(F.col("a.author.id")))
+        ships = ships.where(_not_blank(F.col("a.author.id"))).select("*", F.posexplode_outer(F.filter(F.col("a.institutions.id"), _not_blank)).alias("institution_pos", "institution_id"))
     else:
         raise ValueError(authorship_mode)
     works = r.select(
@@ -73,15 +75,18 @@ def flatten_works(records: DataFrame, authorship_mode: str = "all") -> dict[str,
     return {
         "works": _project(works, "works"),
         "works_authorships": _project(
-            ships.select("work_id", "a.author_position", F.col("a.author.id").alias("author_id"), institution.alias("institution_id"), "a.raw_affiliation_string"),
+            ships.select("work_id", "a.author_position", F.col("a.author.id").alias("author_id"), "institution_id", "a.raw_affiliation_string", "item_pos", "institution_pos"),
             "works_authorships",
+            *place,
+            *(["institution_pos"] if ordinals else []),
         ),
         "works_topics": _project(
-            links.select("work_id", F.inline("t")).where(_not_blank(F.col("id"))).withColumnRenamed("id", "topic_id"), "works_topics"
+            links.select("work_id", F.posexplode("t").alias("item_pos", "t")).select("work_id", "item_pos", "t.*").where(_not_blank(F.col("id"))).withColumnRenamed("id", "topic_id"), "works_topics", *place
         ),
         "works_referenced_works": _project(
-            links.select("work_id", F.explode("w").alias("referenced_work_id")).where(_not_blank(F.col("referenced_work_id"))),
+            links.select("work_id", F.posexplode("w").alias("item_pos", "referenced_work_id")).where(_not_blank(F.col("referenced_work_id"))),
             "works_referenced_works",
+            *place,
         ),
         "works_biblio": _project(r.where("biblio IS NOT NULL").select(F.col("id").alias("work_id"), "biblio.*"), "works_biblio"),
     }

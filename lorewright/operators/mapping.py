@@ -104,9 +104,11 @@ def work_documents(works: DataFrame, authorships: DataFrame, topics: DataFrame,
     """``id, doi, doc``: left outer join of works with their ordered authorships and topics.
 
     Works without either have empty arrays.  ``order`` names the ordinal
-    columns of the two link tables.
+    columns of the two link tables; those that flattening gives are used where
+    the tables have them, so the elements keep the order of the source.
     """
-    order = order or {}
+    given = lambda df: [c for c in ("item_pos", "institution_pos") if c in df.columns]
+    order = {"authorships": given(authorships), "topics": given(topics), **(order or {})}
     a = _collected(authorships, authorship_object(authorships), order.get("authorships", []), "authorships")
     t = _collected(topics, topic_object(topics), order.get("topics", []), "topics")
     w = works.withColumn("work_id", F.col("id"))

@@ -17,9 +17,11 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 from lorewright.operators import collaboration, mapping, vectors
+from lorewright.operators.flatten import FLATTENERS
 from lorewright.operators.merge import net_new
 from lorewright.schemas import merge_keys
 from lorewright.sources.flat import output_exists, read_flat, write_flat
+from lorewright.sources.snapshots import read_snapshot
 
 log = logging.getLogger(__name__)
 Catalog = Mapping[str, DataFrame]
@@ -39,16 +41,34 @@ class Outcome:
     status: str
     seconds: float
     error: str = ""
+    rows: int = 0
+    size: int = 0
+
+
+def success_rate(outcomes: Iterable[Outcome]) -> float:
+    """Percent of the steps that did not fail; 100 of none."""
+    done = list(outcomes)
+    return 100.0 * sum(o.status != "failed" for o in done) / len(done) if done else 100.0
 
 
 @dataclass(frozen=True)
 class Config:
-    """What a run needs; read from JSON, unknown keys are refused."""
+    """What a run needs; read from JSON, unknown keys are refused.
+
+    ``snapshot_dir`` holds nested JSON lines, which are flattened first;
+    ``input_dir`` holds tables that are flat already.  One of the two is given.
+    """
 
-    input_dir: str
     output_dir: str
+    input_dir: str | None = None
+    snapshot_dir: str | None = None
+    start_date: str | None = None
+    end_date: str = "latest"
+    authorship_mode: str = "all"
+    catalogue: str | None = None
+    export_csv: bool = False
     full_dir: str | None = None
-    tables: tuple[str, ...] = ("authors", "topics", "institutions", "works", "works_authorships", "works_topics", "works_referenced_works")
+    tables: tuple[str, ...] = ("authors", "topics", "institutions", "works", "works_authorships", "works_topics", "works_referenced_works", "works_biblio")
     column_mappings: Mapping[str, Mapping[str, str]] = field(default_factory=dict)
     special_file_paths: Mapping[str, str] = field(default_factory=dict)
     skip_existing: bool = True
@@ -72,7 +92,7 @@ STEPS: tuple[Step, ...] = (
     Step("02_works_vertex", "work vertices", "works_v", lambda c: mapping.vertices(c["works"], "works")),
     Step("03_topics_vertex", "topic vertices", "topics_v", lambda c: mapping.vertices(c["topics"], "topics")),
     Step("04_authors_doc", "author documents", "author_doc", lambda c: mapping.author_documents(c["authors"])),
-    Step("05_works_doc", "work documents", "work_doc", lambda c: mapping.work_documents(c["works"], c["works_authorships"], c["works_topics"])),
+    Step("05_works_doc", "work documents", "work_doc", lambda c: mapping.work_documents(c["works"], c["works_authorships"], c["works_topics"], c.get("works_biblio"))),
     Step("06_work_topic_edge", "work to topic edges", "work_topic_e", lambda c: mapping.topic_edges(c["works_topics"])),
     Step("07_work_author_edge", "work to author edges", "work_author_e", lambda c: mapping.authorship_edges(c["works_authorships"])),
     Step(
@@ -103,43 +123,81 @@ def select_steps(wanted: Iterable[str] | None, steps: tuple[Step, ...] = STEPS)
     return chosen
 
 
+def _written(spark: SparkSession, path: str) -> tuple[int, int]:
+    """Rows, from the files' footers, and bytes of an output."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return spark.read.parquet(path).count(), int(p.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(p).getLength())
+
+
+def _write(name: str, path: str, make: Callable[[], DataFrame], spark: SparkSession, skip_existing: bool) -> Outcome:
+    """Write one output; a failure is reported, not raised."""
+    began = time.time()
+    try:
+        if skip_existing and output_exists(spark, path):
+            return Outcome(name, "skipped", time.time() - began, "", *_written(spark, path))
+        make().write.mode("overwrite").parquet(path)
+        return Outcome(name, "ok", time.time() - began, "", *_written(spark, path))
+    except Exception as e:  # noqa: BLE001
+        log.exception("%s failed", name)
+        return Outcome(name, "failed", time.time() - began, str(e)[:500])
+
+
 def run_steps(catalog: Catalog, output_dir: str, wanted: Iterable[str] | None = None, steps: tuple[Step, ...] = STEPS, skip_existing: bool = True) -> list[Outcome]:
     """Write each step's output; a failing step does not stop the others."""
-    outcomes = []
-    for s in select_steps(wanted, steps):
-        began = time.time()
-        path = f"{output_dir}/{s.output}"
-        try:
-            df = s.run(catalog)
-            if skip_existing and output_exists(df.sparkSession, path):
-                outcomes.append(Outcome(s.key, "skipped", time.time() - began))
-                continue
-            df.write.mode("overwrite").parquet(path)
-            outcomes.append(Outcome(s.key, "ok", time.time() - began))
-        except Exception as e:  # noqa: BLE001  one step's failure is reported, not raised
-            log.exception("step %s failed", s.key)
-            outcomes.append(Outcome(s.key, "failed", time.time() - began, str(e)[:500]))
-    return outcomes
-
-
-def merge_tables(spark: SparkSession, config: Config) -> dict[str, DataFrame]:
-    """The net-new rows of every configured table; without a full table every row is new."""
+    spark = next(iter(catalog.values())).sparkSession
+    return [_write(s.key, f"{output_dir}/{s.output}", lambda s=s: s.run(catalog), spark, skip_existing) for s in select_steps(wanted, steps)]
+
+
+def flatten_snapshot(spark: SparkSession, config: Config) -> tuple[str, list[Outcome]]:
+    """Parquet tables of every entity that the snapshot holds, and what was written."""
+    root, outcomes = f"{config.output_dir}/flat", []
+    for entity, flatten in FLATTENERS.items():
+        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{config.snapshot_dir}/{entity}")
+        if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+            continue
+        options = {"works": {"authorship_mode": config.authorship_mode, "ordinals": True}, "authors": {"catalogue": config.catalogue}, "institutions": {"catalogue": config.catalogue}}
+        tables = flatten(read_snapshot(spark, config.snapshot_dir, entity, config.start_date, config.end_date), **options.get(entity, {}))
+        outcomes += [_write(f"flatten {t}", f"{root}/{t}", lambda df=df: df, spark, config.skip_existing) for t, df in tables.items()]
+    return root, outcomes
+
+
+def _stored(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p))
+
+
+def merge_tables(spark: SparkSession, config: Config, flat_dir: str | None = None) -> dict[str, DataFrame]:
+    """The net-new rows of every configured table that there is; without a full table every row is new.
+
+    Increments are Parquet where this run flattened them, else flat CSV.
+    """
     out = {}
     for t in config.tables:
-        inc = read_flat(spark, f"{config.input_dir}/{t}", recursive=True)
-        where = config.special_file_paths.get(t) or (f"{config.full_dir}/{t}" if config.full_dir else None)
+        if flat_dir and not _stored(spark, f"{flat_dir}/{t}") or not flat_dir and not _stored(spark, f"{config.input_dir}/{t}"):
+            continue
+        inc = spark.read.parquet(f"{flat_dir}/{t}") if flat_dir else read_flat(spark, f"{config.input_dir}/{t}", recursive=True)
+        where = config.special_file_paths.get(t) or (f"{config.full_dir}/{t}" if config.full_dir and _stored(spark, f"{config.full_dir}/{t}") else None)
         full = read_flat(spark, where, recursive=True) if where else None
-        renamed = config.column_mappings.get(t)
-        out[t] = net_new(inc, full, merge_keys(t), renamed)
+        out[t] = net_new(inc, full, merge_keys(t), config.column_mappings.get(t))
     return out
 
 
 def run(spark: SparkSession, config: Config, wanted: Iterable[str] | None = None) -> list[Outcome]:
-    """Merge, write the net-new tables, then map them."""
-    merged = merge_tables(spark, config)
-    for name, df in merged.items():
-        path = f"{config.output_dir}/merged/{name}"
-        if not (config.skip_existing and output_exists(spark, path)):
-            write_flat(df, path, mode="overwrite")
-    catalog = {n: read_flat(spark, f"{config.output_dir}/merged/{n}") for n in merged}
-    return run_steps(catalog, f"{config.output_dir}/mapped", wanted, skip_existing=config.skip_existing)
+    """Flatten if asked, merge, then map.
+
+    Tables are Parquet between the stages, so later reads split, prune and
+    push down; with ``export_csv`` the merged tables are also written as CSV.
+    Each outcome tells rows, bytes and seconds, the merge of a table included.
+    """
+    if (config.input_dir is None) == (config.snapshot_dir is None):
+        raise ValueError("one of input_dir and snapshot_dir is needed")
+    flat_dir, outcomes = flatten_snapshot(spark, config) if config.snapshot_dir else (None, [])
+    merged = merge_tables(spark, config, flat_dir)
+    root = f"{config.output_dir}/merged"
+    outcomes += [_write(f"merge {n}", f"{root}/{n}", lambda df=df: df, spark, config.skip_existing) for n, df in merged.items()]
+    catalog = {n: spark.read.parquet(f"{root}/{n}") for n in merged if output_exists(spark, f"{root}/{n}")}
+    if config.export_csv:
+        for n, df in catalog.items():
+            if not (config.skip_existing and output_exists(spark, f"{config.output_dir}/csv/{n}")):
+                write_flat(df.drop("item_pos", "institution_pos"), f"{config.output_dir}/csv/{n}", mode="overwrite")
+    return outcomes + (run_steps(catalog, f"{config.output_dir}/mapped", wanted, skip_existing=config.skip_existing) if catalog else [])

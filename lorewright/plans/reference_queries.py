@@ -301,7 +301,14 @@ def author_documents(spark: SparkSession, d: str) -> DataFrame:
     return p.select("id", "p.orcid", F.array_join("p.display_name_alternatives", "|").alias("alternatives"), F.size("p.display_name_alternatives").alias("n"))
 
 
-@R.add("alternatives_exploded", None)
+@R.add(
+    "alternatives_exploded",
+    f"""WITH s AS (SELECT {_bare('id')} AS id, trim(coalesce(display_name_alternatives,'')) AS s FROM authors),
+l AS (SELECT id, CASE WHEN s='' THEN []::VARCHAR[] WHEN starts_with(s,'[') AND json_valid(s) THEN CAST(s AS JSON)::VARCHAR[]
+ WHEN contains(s,';') THEN list_filter(list_transform(string_split(s,';'), lambda x: trim(x)), lambda x: x<>'')
+ WHEN contains(s,',') THEN list_filter(list_transform(string_split(s,','), lambda x: trim(x)), lambda x: x<>'') ELSE [s] END AS l FROM s)
+SELECT DISTINCT id, unnest(l) AS alternative FROM l""",
+)
 def alternatives_exploded(spark: SparkSession, d: str) -> DataFrame:
     a = table(spark, d, "authors")
     return a.select(bare_id(F.col("id")).alias("id"), F.explode(parse_alternatives(F.col("display_name_alternatives"))).alias("alternative")).distinct()
@@ -412,10 +419,9 @@ def json_event_props(spark: SparkSession, d: str) -> DataFrame:
 
 @R.add("malformed_lines", f"SELECT count(*) AS lines, count(*) FILTER (WHERE CASE WHEN json_valid(raw_json) THEN {_VALID} ELSE false END) AS records FROM works_raw")
 def malformed_lines(spark: SparkSession, d: str) -> DataFrame:
+    """Lines read, and the records that the reader's own rule for broken lines leaves."""
     raw = table(spark, d, "works_raw").select(F.col("raw_json").alias("line"))
-    parsed = raw.withColumn("_v", F.try_parse_json("line"))
-    ok = F.length(F.trim(F.try_variant_get("_v", "$.id", "string"))) > 0
-    return parsed.agg(F.count("*").alias("lines"), F.count(F.when(ok, 1)).alias("records"))
+    return raw.agg(F.count("*").alias("lines")).join(parse_lines(raw, "works").agg(F.count("*").alias("records")), F.lit(True))
 
 
 # --- abstracts ----------------------------------------------------------------
@@ -439,9 +445,17 @@ def abstract_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     return e.select("item_id", F.md5(reconstruct_abstract(F.col("i"))).alias("abstract")).where("abstract IS NOT NULL")
 
 
-@R.add("title_abstract_text", "SELECT raw_id, trim(coalesce(j->>'$.title','') || ' ' || coalesce(j->>'$.language','')) AS text FROM (SELECT raw_id, raw_json AS j FROM works_raw WHERE CASE WHEN json_valid(raw_json) THEN " + _VALID + " ELSE false END)")
+@R.add(
+    "title_abstract_text",
+    f"""WITH {_RAW}, k AS (SELECT raw_id, unnest(json_keys(j->'$.abstract_inverted_index')) AS w, j FROM raw WHERE json_type(j,'$.abstract_inverted_index')='OBJECT'),
+e AS (SELECT raw_id, w, unnest(CAST(json_extract(j->'$.abstract_inverted_index', '/'||replace(replace(w,'~','~0'),'/','~1')) AS INTEGER[])) AS p FROM k),
+a AS (SELECT raw_id, string_agg(w,' ' ORDER BY p) AS abstract FROM e GROUP BY raw_id)
+SELECT raw_id, md5(trim(coalesce(j->>'$.title','') || ' ' || coalesce(abstract,''))) AS text FROM raw LEFT JOIN a USING (raw_id)""",
+)
 def title_abstract_text(spark: SparkSession, d: str) -> DataFrame:
-    return _records(spark, d).select("raw_id", title_and_abstract(F.col("_record.title"), F.col("_record.language")).alias("text"))
+    """Title and abstract, the abstract rebuilt from its inverted index."""
+    r = _records(spark, d)
+    return r.select("raw_id", F.md5(title_and_abstract(F.col("_record.title"), reconstruct_abstract(F.col("_record.abstract_inverted_index")))).alias("text"))
 
 
 @R.add("work_text", None)
@@ -450,6 +464,23 @@ def work_text(spark: SparkSession, d: str) -> DataFrame:
     return mapping.work_texts(_records(spark, d).select("raw_id", "_record.title", "_record.abstract_inverted_index")).select("raw_id", "text")
 
 
+@R.add(
+    "work_documents_in_order",
+    f"""WITH {_RAW}, a AS (SELECT raw_id, unnest(range(len(l))) AS pos, unnest(l) AS a FROM (SELECT raw_id, CASE json_type(j,'$.authorships') WHEN 'ARRAY' THEN CAST(j->'$.authorships' AS JSON[]) WHEN 'OBJECT' THEN [j->'$.authorships'] ELSE [] END AS l FROM raw)),
+b AS (SELECT raw_id, pos, a->>'$.author.id' AS author, list_filter(list_transform(CASE json_type(a,'$.institutions') WHEN 'ARRAY' THEN CAST(a->'$.institutions' AS JSON[]) ELSE [] END, lambda i: i->>'$.id'), lambda x: trim(coalesce(x,''))<>'') AS l FROM a WHERE trim(coalesce(a->>'$.author.id',''))<>''),
+c AS (SELECT raw_id, pos, author, unnest(CASE WHEN len(l)=0 THEN ['']::VARCHAR[] ELSE l END) AS inst, unnest(range(greatest(len(l),1))) AS ipos FROM b)
+SELECT raw_id, string_agg(author || ':' || inst, '|' ORDER BY pos, ipos) AS authors, any_value(j->>'$.biblio.volume') AS volume FROM raw JOIN c USING (raw_id) GROUP BY raw_id""",
+)
+def work_documents_in_order(spark: SparkSession, d: str) -> DataFrame:
+    """Documents straight from the nested records: authorships in the order of the source, and the volume."""
+    own = _records(spark, d).withColumn("_record", F.col("_record").withField("id", F.col("raw_id").cast("string")))
+    flat = flatten.flatten_works(own, ordinals=True)
+    docs = mapping.work_documents(flat["works"], flat["works_authorships"], flat["works_topics"], flat["works_biblio"])
+    p = docs.select(F.col("id").cast("bigint").alias("raw_id"), F.from_json("doc", "volume string, authorships array<struct<author:struct<id:string>,institution:struct<id:string>>>").alias("p"))
+    one = F.transform("p.authorships", lambda x: F.concat(x["author"]["id"], F.lit(":"), F.coalesce(x["institution"]["id"], F.lit(""))))
+    return p.where(F.size("p.authorships") > 0).select("raw_id", F.array_join(one, "|").alias("authors"), "p.volume")
+
+
 # --- dates --------------------------------------------------------------------
 
 

@@ -37,9 +37,10 @@ def write_flat(df: DataFrame, path: str, columns: Sequence[str] | None = None, s
 
 
 def write_tables(tables: Mapping[str, DataFrame], root: str, mode: str = "errorifexists") -> None:
-    """Fan one parsed scan out into its tables; cache the parsed frame first."""
+    """Fan one parsed scan out into its tables, with the columns that flattening gave them (a catalogue's own id included)."""
     for name, df in tables.items():
-        write_flat(df, f"{root}/{name}", FLAT_COLUMNS[name], mode=mode)
+        known = FLAT_COLUMNS[name]
+        write_flat(df, f"{root}/{name}", df.columns if name.endswith("_ids") else known, mode=mode)
 
 
 def output_exists(spark: SparkSession, path: str) -> bool:

@@ -86,6 +86,15 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).select(F.trim("value").alias("file_name")).where("file_name <> ''")
 
 
+def listed_files(spark: SparkSession, root: str, entity: str, manifest: str = "manifest", glob: str = "*.gz") -> DataFrame:
+    """``file_name`` of a snapshot's files: what its manifest names, or the folder's listing where there is none."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{entity}/{manifest}")
+    if path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+        return read_manifest(spark, f"{root}/{entity}/{manifest}")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true").load(f"{root}/{entity}")
+    return files.select(F.col("path").alias("file_name"))
+
+
 def pending_files(listed: DataFrame, done: DataFrame, column: str = "file_name") -> DataFrame:
     """Listed files that are not yet processed: resume by anti join."""
     return listed.join(done.select(column).distinct(), column, "left_anti")

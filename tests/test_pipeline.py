@@ -41,7 +41,9 @@ def test_whole_run(spark, tmp_path, sf, capsys):
         write_flat(df.limit(5), f"{tmp_path}/full/{t}")
     config = tmp_path / "config.json"
     config.write_text(json.dumps({"input_dir": f"{tmp_path}/in", "full_dir": f"{tmp_path}/full", "output_dir": f"{tmp_path}/out", "tables": list(tables)}))
-    assert [o.status for o in pipeline.run(spark, pipeline.Config.load(config))] == ["ok"] * 11
+    done = pipeline.run(spark, pipeline.Config.load(config))
+    assert [o.status for o in done] == ["ok"] * 17 and [o.key for o in done][:2] == ["merge works", "merge authors"]
+    assert all(o.size > 0 for o in done) and {o.key: o.rows for o in done}["merge authors"] == spark.read.parquet(f"{tmp_path}/out/merged/authors").count()
     assert spark.read.parquet(f"{tmp_path}/out/mapped/works_vector").columns == ["work_id", "doi", "vec"]
     assert spark.read.parquet(f"{tmp_path}/out/mapped/authors_v").count() <= 15
     assert cli.main(["--list"]) == 0 and "08_author_author_edge" in capsys.readouterr().out
@@ -50,6 +52,45 @@ def test_whole_run(spark, tmp_path, sf, capsys):
         pipeline.Config.load(config)
 
 
+def test_run_from_a_snapshot(spark, tmp_path):
+    """Nested lines in, documents out: authors in the order of the source, volume and the catalogue's own id included."""
+    import gzip
+
+    ship = lambda a, p: {"author_position": p, "author": {"id": f"https://k/A{a}"}, "institutions": []}
+    lines = {"works": [{"id": "https://k/W1", "title": "T", "biblio": {"volume": "9"}, "authorships": [ship(9, "first"), ship(1, "middle"), ship(5, "last")]}, "broken"], "authors": [{"id": "https://k/A9", "display_name": "N", "ids": {"kgraph": "K9", "mag": "3"}}]}
+    for entity, rows in lines.items():
+        folder = tmp_path / "snap" / entity / "updated_date=2024-01-02"
+        folder.mkdir(parents=True)
+        with gzip.open(folder / "part.gz", "wt") as f:
+            f.write("\n".join(r if isinstance(r, str) else json.dumps(r) for r in rows))
+    config = pipeline.Config(output_dir=f"{tmp_path}/out", snapshot_dir=f"{tmp_path}/snap", catalogue="kgraph", export_csv=True)
+    done = {o.key: o for o in pipeline.run(spark, config, ["05", "07"])}
+    assert {o.status for o in done.values()} == {"ok"} and done["flatten works_authorships"].rows == 3 and pipeline.success_rate(done.values()) == 100
+    doc = json.loads(spark.read.parquet(f"{tmp_path}/out/mapped/work_doc").first().doc)
+    assert [a["author_position"] for a in doc["authorships"]] == ["first", "middle", "last"] and doc["volume"] == "9"
+    assert spark.read.parquet(f"{tmp_path}/out/flat/authors_ids").first().kgraph == "K9"
+    assert "item_pos" not in spark.read.csv(f"{tmp_path}/out/csv/works_authorships", header=True).columns
+    assert {o.status for o in pipeline.run(spark, config, ["05"])} == {"skipped"}
+    with pytest.raises(ValueError):
+        pipeline.run(spark, pipeline.Config(output_dir="x"))
+
+
+def test_tables_keep_the_catalogue_id(spark, tmp_path):
+    from lorewright.operators.flatten import flatten_authors
+    from lorewright.sources.flat import read_flat, write_tables
+    from lorewright.sources.snapshots import listed_files, parse_lines
+
+    lines = spark.createDataFrame([(json.dumps({"id": "A1", "ids": {"kgraph": "K1", "mag": "2"}}),)], "line string")
+    write_tables(flatten_authors(parse_lines(lines, "authors"), "kgraph"), f"{tmp_path}/t")
+    got = read_flat(spark, f"{tmp_path}/t/authors_ids").first()
+    assert (got.author_id, got.kgraph, got.mag) == ("A1", "K1", "2")
+    (tmp_path / "s" / "works").mkdir(parents=True)
+    (tmp_path / "s" / "works" / "a.gz").write_bytes(b"x")
+    assert [r.file_name.rsplit("/", 1)[1] for r in listed_files(spark, f"{tmp_path}/s", "works").collect()] == ["a.gz"]
+    (tmp_path / "s" / "works" / "manifest").write_text("b.gz\n\nc.gz\n")
+    assert [r.file_name for r in listed_files(spark, f"{tmp_path}/s", "works").collect()] == ["b.gz", "c.gz"]
+
+
 def test_work_vectors_hold_the_abstract(spark, tmp_path):
     rows = [("W1", "d", "Coastal grains", '{"erode": [1], "They": [0]}', 0), ("W2", None, None, '{"erode": [1], "They": [0]}', 0), ("W3", None, "Coastal grains", None, 0)]
     df = spark.createDataFrame(rows, "id string, doi string, title string, abstract_inverted_index string, batch_no int")
