@@ -211,8 +211,10 @@ def test_words_within_slips_share_a_token(size):
 def test_the_index_opens_again(spark, tmp_path):
     """Another object, as in another process, adds a batch to what stands and reads only its buckets."""
     path = f"{tmp_path}/index"
-    first = [(str(i), None, f"Notes on valivogen and tracer number{i} of ponds", "2020", 0) for i in range(40)]
-    later = [("90", None, "Notes on valivogen and tracer number7 of pondz", "2020", 1), ("3", None, "other", "2020", 1)]
+    rng = random.Random(8)
+    first = [(str(i), None, "Notes on " + " ".join("".join(rng.choice("aeghknorst") for _ in range(7)) for _ in range(6)), "2020", 0) for i in range(40)]
+    slipped = first[7][2][:-1] + "z"
+    later = [("90", None, slipped, "2020", 1), ("3", None, "other", "2020", 1)]
     assert incremental.IncrementalIndex(spark, path, buckets=64).add(numbered(spark, first), 0).count() == 0
     again = incremental.IncrementalIndex(spark, path)
     assert (again.buckets, again.batches) == (64, [0])
@@ -225,7 +227,7 @@ def test_the_index_opens_again(spark, tmp_path):
     (tmp_path / "index" / "state" / "batch-1.json").unlink()  # a run lost before its end does not count, and is written anew
     lost = incremental.IncrementalIndex(spark, path)
     assert lost.batches == [0] and lost.add(numbered(spark, later), 1).count() == 2
-    assert third.add(numbered(spark, [("91", None, "Notes on valivogen and tracer number7 of pondz", "2020", 2)]), 2).first().id_a == "7"
+    assert third.add(numbered(spark, [("91", None, slipped, "2020", 2)]), 2).first().id_a == "7"
 
 
 def test_no_index_is_left_behind(spark):
