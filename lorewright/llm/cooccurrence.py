@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from lorewright.session import materialize
 
-#: About how many large baskets of an item one list may hold.
+#: How many large baskets of an item one list may hold, or about as many.
 LONGEST = 20_000
 
 
@@ -50,6 +50,29 @@ def _chunk_products(members: DataFrame, block: int) -> DataFrame:
     return met.groupBy(F.least("item", "other").alias("a"), F.greatest("item", "other").alias("b")).agg(F.count("*").alias("h"))
 
 
+def _with_large(ordinary: DataFrame, big: DataFrame, hot: DataFrame | None) -> DataFrame:
+    """``a, b, n_ab``: joint ordinary baskets plus the common ones of the two items' lists of large baskets.
+
+    The list of an item in more than ``LONGEST`` large baskets (``hot``) is cut
+    by a hash of the basket into a power of two of parts; only pairs with such
+    an item are looked at part by part.
+    """
+    sized = big.withColumn("parts", F.lit(1)) if hot is None else big.join(hot, "item", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+    lists = sized.groupBy("item", F.pmod(F.xxhash64("basket"), F.col("parts")).cast("int").alias("slot")).agg(F.collect_list("basket").alias("in_large"))
+    la, lb = (lists.select(F.col("item").alias(s), F.col("slot").alias(f"s{s}"), F.col("in_large").alias(f"l{s}")) for s in "ab")
+    if hot is None:
+        slotted = ordinary.withColumns({"sa": F.lit(0), "sb": F.lit(0)})
+    else:
+        for s in "ab":
+            ordinary = ordinary.join(hot.select(F.col("item").alias(s), F.col("parts").alias(f"p{s}")), s, "left").withColumn(f"p{s}", F.coalesce(f"p{s}", F.lit(1)))
+        each = ordinary.withColumn("slot", F.explode(F.sequence(F.lit(0), F.greatest("pa", "pb") - 1)))
+        slotted = each.withColumns({"sa": F.col("slot") % F.col("pa"), "sb": F.col("slot") % F.col("pb")}).drop("pa", "pb", "slot")
+    shared = F.when(F.col("la").isNotNull() & F.col("lb").isNotNull(), F.size(F.array_intersect("la", "lb"))).otherwise(0)
+    met = slotted.join(la, ["a", "sa"], "left").join(lb, ["b", "sb"], "left").select("a", "b", "o", shared.alias("h"))
+    met = met if hot is None else met.groupBy("a", "b", "o").agg(F.sum("h").alias("h"))
+    return met.select("a", "b", (F.col("o") + F.col("h")).alias("n_ab"))
+
+
 def cooccurrence(rows: DataFrame, basket: str, item: str, min_support: int = 1, min_lift: float = 0.0, block: int = 256) -> DataFrame:
     """``item_a, item_b, n_ab, n_a, n_b, lift`` with item_a < item_b.
 
@@ -65,15 +88,8 @@ def cooccurrence(rows: DataFrame, basket: str, item: str, min_support: int = 1,
     big = materialize(kept.join(large, "basket"), "large")
     ordinary = _ordinary_pairs(kept.join(large, "basket", "left_anti"))
     times = materialize(big.groupBy("item").agg(F.count("*").alias("times")), "times")
-    # lists of large baskets are cut into slots by a hash of the basket, so that none is longer than about LONGEST
-    slots = max(1, -(-(times.agg(F.max("times")).first()[0] or 0) // LONGEST))
-    lists = big.groupBy("item", F.pmod(F.xxhash64("basket"), F.lit(slots)).cast("int").alias("slot")).agg(F.collect_list("basket").alias("in_large"))
-    la, lb = lists.select(F.col("item").alias("a"), "slot", F.col("in_large").alias("la")), lists.select(F.col("item").alias("b"), "slot", F.col("in_large").alias("lb"))
-    slotted = ordinary.withColumn("slot", F.explode(F.sequence(F.lit(0), F.lit(slots - 1)))) if slots > 1 else ordinary.withColumn("slot", F.lit(0))
-    shared = F.when(F.col("la").isNotNull() & F.col("lb").isNotNull(), F.size(F.array_intersect("la", "lb"))).otherwise(0)
-    met = slotted.join(la, ["a", "slot"], "left").join(lb, ["b", "slot"], "left").select("a", "b", "o", shared.alias("h"))
-    met = met.groupBy("a", "b", "o").agg(F.sum("h").alias("h")) if slots > 1 else met
-    met = met.select("a", "b", (F.col("o") + F.col("h")).alias("n_ab"))
+    hot = times.where(F.col("times") > LONGEST).select("item", F.pow(F.lit(2.0), F.ceil(F.log2(F.col("times") / LONGEST))).cast("int").alias("parts"))
+    met = _with_large(ordinary, big, None if hot.isEmpty() else hot)
     dense = times.where(F.col("times") >= min_support).select("item")
     only_large = _chunk_products(big.join(dense, "item", "left_semi"), block).where(F.col("h") >= min_support)
     rest = only_large.join(ordinary.select("a", "b"), ["a", "b"], "left_anti").select("a", "b", F.col("h").alias("n_ab"))

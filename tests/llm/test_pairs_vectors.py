@@ -38,6 +38,15 @@ def test_cooccurrence(spark, support, lift, block):
     assert got == pairs_by_hand(rows, support, lift)
 
 
+def test_long_lists_of_large_baskets_are_cut(spark, monkeypatch):
+    monkeypatch.setattr(cooccurrence, "LONGEST", 3)
+    rng = random.Random(9)
+    rows = [(f"big{k}", f"a{i:02}") for k in range(14) for i in range(20) if i < 2 or rng.random() < 0.4] + [(f"w{i}", f"a{rng.randrange(20):02}") for i in range(60) for _ in range(3)]
+    df = spark.createDataFrame(rows, "w string, a string")
+    got = {(r.item_a, r.item_b): (r.n_ab, r.n_a, r.n_b) for r in cooccurrence.cooccurrence(df, "w", "a", 2, 0.0, 4).collect()}
+    assert got == pairs_by_hand(rows, 2, 0.0)
+
+
 def test_cooccurrence_of_nothing(spark):
     df = spark.createDataFrame([], "w string, a string")
     assert cooccurrence.cooccurrence(df, "w", "a").count() == 0
