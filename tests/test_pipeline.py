@@ -103,6 +103,28 @@ def test_work_vectors_hold_the_abstract(spark, tmp_path):
     assert bare.columns == ["work_id", "doi", "vec"] and {r.work_id: r.vec for r in bare.collect()}["W1"] == want["W3"]
 
 
+def test_model_encoder(spark):
+    """Loaded on the device that works, in batches; a text that fails does not take its batch with it."""
+    import numpy as np
+
+    def load(device):
+        if device == "gpu":
+            raise RuntimeError(device)
+
+        def model(texts):
+            if "bad" in texts:
+                raise ValueError
+            return np.array([[len(t), len(texts)] for t in texts])
+
+        return model
+
+    df = spark.createDataFrame([(1, "a"), (2, "bad"), (3, None), (4, "ccc"), (5, "dd")], "i int, t string").coalesce(1)
+    got = {r.i: r.vec for r in vectors.encode_text(df, F.col("t"), vectors.model_encoder(load, 3, 2, ("gpu", "cpu"))).collect()}
+    assert got == {1: [1.0, 1.0], 2: None, 3: [0.0, 1.0], 4: [3.0, 2.0], 5: [2.0, 2.0]}
+    zero = vectors.encode_text(df.where("i = 3"), F.col("t")).first().vec
+    assert len(zero) == 384 and not any(zero)
+
+
 def test_work_text_holds_the_abstract(spark, tmp_path):
     line = json.dumps({"id": "W1", "title": "Coastal grains", "language": "en", "abstract_inverted_index": {"erode": [1], "They": [0]}})
     spark.createDataFrame([(1, "2024-01-01", "f", line)], "raw_id bigint, updated_date string, file_name string, raw_json string").write.parquet(f"{tmp_path}/works_raw.parquet")
@@ -157,5 +179,25 @@ def test_query_against_sql(spark, sf, name):
     from tools_oracle import compare, connect
 
     assert duckdb
-    said = compare(spark, connect(sf), name, sf)
-    assert said.startswith(("ok", "rows")), said
+    if name in entry.oracle_sql():
+        said = compare(spark, connect(sf), name, sf)
+        assert said.startswith("ok"), said
+    else:  # held to account by the test named here
+        assert name in WITHOUT_SQL, name
+        assert WITHOUT_SQL[name](entry.queries()[name](spark, sf).collect(), connect(sf))
+
+
+def unit(rows, key):
+    norms = [sum(x * x for x in r.vec) for r in rows]
+    return len({r[key] for r in rows}) == len(rows) > 0 and all(len(r.vec) == 384 for r in rows) and all(abs(n - 1) < 1e-4 or n == 0 for n in norms)
+
+
+WITHOUT_SQL = {
+    # tests/test_problems.py: test_object_counts_against_brute_force, test_lists_of_every_heavy_table
+    "p1_object_counts": lambda rows, con: all(r.occurrences >= r.objects > 0 for r in rows),
+    "p6_lists": lambda rows, con: sum(sum(r.weights) for r in rows) == sum(con.execute(f"SELECT count(*) FROM {t}").fetchone()[0] for t in ("works_authorships", "works_referenced_works"))
+    and all(len(r["values"]) == len(set(r["values"])) == len(r.weights) for r in rows),
+    "text_vector": lambda rows, con: unit(rows, "work_id") and len(rows) == con.execute("SELECT count(DISTINCT id) FROM works").fetchone()[0],
+    "topic_vector": lambda rows, con: unit(rows, "id") and len(rows) == con.execute("SELECT count(DISTINCT id) FROM topics").fetchone()[0],
+    "work_text": lambda rows, con: {r.raw_id for r in rows} == {x[0] for x in con.execute(entry.oracle_sql()["title_abstract_text"]).fetchall()},
+}
