@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, FloatType, StructField, StructType
 from pyspark.sql.window import Window
 
 from lorewright.functions.text import let
@@ -40,29 +42,26 @@ def hashed_bag_of_words(dimensions: int = DIMENSIONS) -> Encoder:
     """The default encoder: words hash to a signed bucket; no weights are needed.
 
     It is shape-compatible with a sentence encoder, not equivalent in meaning.
-    A text without words gives the zero vector.  Words are split and hashed in
-    the JVM; each text's hashes are added up in one pass.
+    A text without words gives the zero vector.
     """
 
-    @F.pandas_udf("array<float>")
-    def add_up(hashes: pd.Series) -> pd.Series:
-        out = []
-        for row in hashes:
-            h = np.asarray(row, dtype=np.int64)
-            v = np.bincount(h % dimensions, weights=np.where((h >> 32) % 2 == 0, 1.0, -1.0), minlength=dimensions)
-            n = np.sqrt(v @ v)
-            out.append((v / n if n else v).astype(np.float32))
-        return pd.Series(out, dtype="object")
-
     def encode(text: Column) -> Column:
         words = F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), lambda w: w != "")
-        return add_up(F.transform(words, lambda w: F.xxhash64(w)))
+        hashed = F.transform(words, lambda w: F.xxhash64(w))
+        slots = F.transform(hashed, lambda h: F.struct(F.pmod(h, F.lit(dimensions)).cast("int").alias("b"), F.when(F.pmod(F.shiftright(h, 32), F.lit(2)) == 0, 1.0).otherwise(-1.0).alias("s")))
+
+        def bucket(of: Column, b: Column) -> Column:
+            return F.aggregate(of, F.lit(0.0), lambda total, x: total + F.when(x["b"] == b, x["s"]).otherwise(0.0))
+
+        raw = let(slots, lambda of: F.transform(F.sequence(F.lit(0), F.lit(dimensions - 1)), lambda b: bucket(of, b)))
+        return let(raw, lambda r: F.transform(l2_normalize(r), lambda x: x.cast("float")))
 
     return encode
 
 
-def model_encoder(load: Callable[[str], Callable[[list[str]], np.ndarray]], batch: int = 64, dimensions: int = DIMENSIONS, devices: Sequence[str] = ("cpu",)) -> Encoder:
-    """An encoder that runs a model on the executors.
+@dataclass(frozen=True)
+class ModelEncoder:
+    """An encoder that runs a model on the executors, as a step of its own.
 
     ``load(device)`` gives a function from texts to rows of numbers; it is
     called once per task, for the first of ``devices`` that works.  Texts go in
@@ -70,36 +69,47 @@ def model_encoder(load: Callable[[str], Callable[[list[str]], np.ndarray]], batc
     that fail alone get NULL.  NULL texts count as empty.
     """
 
-    @F.pandas_udf("array<float>")
-    def run(series: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        model = None
-        for device in devices:
+    load: Callable[[str], Callable[[list[str]], np.ndarray]]
+    batch: int = 64
+    dimensions: int = DIMENSIONS
+    devices: Sequence[str] = ("cpu",)
+
+    def _ready(self) -> Callable[[list[str]], np.ndarray]:
+        error: Exception = ValueError("no device")
+        for device in self.devices:
             try:
-                model = load(device)
-                break
+                return self.load(device)
             except Exception as e:  # noqa: BLE001
                 error = e
-        if model is None:
-            raise error
+        raise error
 
-        def encode(texts: list[str]) -> list[np.ndarray | None]:
-            try:
-                rows = np.asarray(model(texts), dtype=np.float32)
-                if rows.shape != (len(texts), dimensions):
-                    raise ValueError(f"{rows.shape} is not {(len(texts), dimensions)}")
-                return list(rows)
-            except Exception:  # noqa: BLE001
-                return [None] if len(texts) == 1 else [v for t in texts for v in encode([t])]
+    def _encode(self, model: Callable[[list[str]], np.ndarray], texts: list[str]) -> list[np.ndarray | None]:
+        try:
+            rows = np.asarray(model(texts), dtype=np.float32)
+            if rows.shape != (len(texts), self.dimensions):
+                raise ValueError(f"{rows.shape} is not {(len(texts), self.dimensions)}")
+            return list(rows)
+        except Exception:  # noqa: BLE001
+            return [None] if len(texts) == 1 else [v for t in texts for v in self._encode(model, [t])]
+
+    def append(self, df: DataFrame, text: Column) -> DataFrame:
+        """``df`` with ``vec``."""
 
-        for s in series:
-            texts = ["" if t is None else t for t in s]
-            yield pd.Series([v for i in range(0, len(texts), batch) for v in encode(texts[i : i + batch])], dtype="object")
+        def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            model = self._ready()
+            for f in frames:
+                texts = ["" if t is None else t for t in f["_text"]]
+                f["vec"] = [v for i in range(0, len(texts), self.batch) for v in self._encode(model, texts[i : i + self.batch])]
+                yield f.drop(columns="_text")
 
-    return run
+        schema = StructType([*df.schema.fields, StructField("vec", ArrayType(FloatType()))])
+        return df.withColumn("_text", text).mapInPandas(run, schema)
 
 
-def encode_text(df: DataFrame, text: Column, encoder: Encoder | None = None) -> DataFrame:
+def encode_text(df: DataFrame, text: Column, encoder: Encoder | ModelEncoder | None = None) -> DataFrame:
     """Append ``vec``; any encoder of the same shape can be plugged in."""
+    if isinstance(encoder, ModelEncoder):
+        return encoder.append(df, text)
     return df.withColumn("vec", (encoder or hashed_bag_of_words())(text))
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from lorewright import cli
-from lorewright.operators import vectors
+from lorewright.operators import mapping, vectors
 from lorewright.plans import pipeline
 from lorewright.session import materialize, shared_dir
 from lorewright.sources.flat import write_flat
@@ -103,7 +103,7 @@ def test_work_vectors_hold_the_abstract(spark, tmp_path):
     assert bare.columns == ["work_id", "doi", "vec"] and {r.work_id: r.vec for r in bare.collect()}["W1"] == want["W3"]
 
 
-def test_model_encoder(spark):
+def test_model_encoder(spark, tmp_path):
     """Loaded on the device that works, in batches; a text that fails does not take its batch with it."""
     import numpy as np
 
@@ -119,8 +119,12 @@ def test_model_encoder(spark):
         return model
 
     df = spark.createDataFrame([(1, "a"), (2, "bad"), (3, None), (4, "ccc"), (5, "dd")], "i int, t string").coalesce(1)
-    got = {r.i: r.vec for r in vectors.encode_text(df, F.col("t"), vectors.model_encoder(load, 3, 2, ("gpu", "cpu"))).collect()}
+    got = {r.i: r.vec for r in vectors.encode_text(df, F.col("t"), vectors.ModelEncoder(load, 3, 2, ("gpu", "cpu"))).collect()}
     assert got == {1: [1.0, 1.0], 2: None, 3: [0.0, 1.0], 4: [3.0, 2.0], 5: [2.0, 2.0]}
+    rows = [("W1", "Coastal grains", '{"erode": [1], "They": [0]}')]
+    spark.createDataFrame(rows, "id string, title string, abstract_inverted_index string").write.parquet(f"{tmp_path}/w")
+    works = mapping.work_texts(spark.read.parquet(f"{tmp_path}/w"))
+    assert vectors.encode_text(works, works["text"], vectors.ModelEncoder(load, 3, 2)).first().vec == [25.0, 1.0]
     zero = vectors.encode_text(df.where("i = 3"), F.col("t")).first().vec
     assert len(zero) == 384 and not any(zero)
 
