@@ -13,7 +13,8 @@ Size bound: a filter is sized to its keys and has as many hashes as suit its
 bits per key, up to ``max_bits`` bits (16 MB) whatever the number of parents.
 It is full-sized up to 11 million parents; with 100 million it still proves
 about half of the orphans.  Beyond, more pairs go through the exact join; the
-result stays the same.
+result stays the same.  All bits of a key lie in one word, so a test mentions
+the filter once: every mention is a copy of it in the driver and in each task.
 
 Defined cases: blank and NULL references are no references; a reference that
 holds no digits stands for itself; NULL dates have month NULL; repeated rows
@@ -49,9 +50,11 @@ def _two(*key: Column) -> tuple[Column, Column]:
     return F.shiftrightunsigned(F.xxhash64(*key), 33), F.shiftrightunsigned(F.xxhash64(*key, F.lit(17)), 33)
 
 
-def _positions(two: tuple[Column, Column], bits: int, hashes: int) -> list[Column]:
-    """Double hashing; ``bits`` is a power of two."""
-    return [(two[0] + two[1] * i).bitwiseAND(F.lit(bits - 1)) for i in range(hashes)]
+def _place(two: tuple[Column, Column], bits: int, hashes: int) -> tuple[Column, Column]:
+    """The word of a key, of ``bits / 64`` (a power of two), and its bits in that word, at most five."""
+    one = F.lit(1).cast("bigint")
+    mask = [F.call_function("shiftleft", one, F.shiftright(two[1], 6 * i).bitwiseAND(F.lit(63)).cast("int")) for i in range(hashes)]
+    return two[0].bitwiseAND(F.lit(bits // 64 - 1)), reduce(Column.bitwiseOR, mask)
 
 
 def bloom_filter(parents: DataFrame, two: tuple[Column, Column], max_bits: int = MAX_BITS, bits_per_key: int = 12) -> Bloom:
@@ -65,9 +68,9 @@ def bloom_filter(parents: DataFrame, two: tuple[Column, Column], max_bits: int =
     bits = 64
     while bits < min(max_bits, n * bits_per_key):
         bits *= 2
-    hashes = min(8, max(1, round(0.69 * bits / max(n, 1))))
-    pos = parents.select(F.explode(F.array(*_positions(two, bits, hashes))).alias("p"))
-    some = pos.groupBy(F.shiftrightunsigned("p", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(p & 63 as int))")).alias("bits"))
+    hashes = min(5, max(1, round(0.69 * bits / max(n, 1))))
+    word, mask = _place(two, bits, hashes)
+    some = parents.select(word.alias("word"), mask.alias("bits")).groupBy("word").agg(F.bit_or("bits").alias("bits"))
     every = parents.sparkSession.range(bits // 64).select(F.col("id").alias("word"), F.lit(0).cast("bigint").alias("bits"))
     words = some.unionByName(every).groupBy("word").agg(F.bit_or("bits").alias("bits"))
     # written out, as every mention of a subquery is planned on its own
@@ -77,9 +80,8 @@ def bloom_filter(parents: DataFrame, two: tuple[Column, Column], max_bits: int =
 
 def might_contain(bloom: Bloom, two: tuple[Column, Column]) -> Column:
     """False proves that the key was not put into the filter; evaluated in the JVM."""
-    words = bloom.words.scalar()
-    tests = [F.getbit(F.get(words, F.shiftrightunsigned(p, 6).cast("int")), p.bitwiseAND(F.lit(63)).cast("int")) == 1 for p in _positions(two, bloom.bits, bloom.hashes)]
-    return reduce(lambda a, b: a & b, tests)
+    word, mask = _place(two, bloom.bits, bloom.hashes)
+    return F.bitwise_not(F.get(bloom.words.scalar(), word.cast("int"))).bitwiseAND(mask) == 0
 
 
 def parent_history(parents: DataFrame, deleted: DataFrame, entity: str) -> DataFrame:
@@ -110,19 +112,17 @@ def orphan_references(children: DataFrame, reference: str, history: DataFrame, m
     the verification, after map-side combination.
     """
     parents = bloom_filter(history.where("first_batch IS NOT NULL"), _two(F.col("ref_id")), max_bits)
-    # written out, as ids and hashes would be worked out anew for every bit of every test
-    h1, h2 = _two(F.col("ref_id"))
-    rows = materialize(references(children, reference).withColumns({"_h1": h1, "_h2": h2}), "references")
-    maybe = might_contain(parents, (F.col("_h1"), F.col("_h2")))
+    # tested once and written out with the answer, as each later mention would send the filter anew
+    rows = materialize(references(children, reference).withColumn("_maybe", might_contain(parents, _two(F.col("ref_id")))), "references")
     gone = F.coalesce(F.col("deleted_batch") <= F.col("batch_no"), F.lit(False))
     late = F.coalesce(F.col("first_batch") > F.col("batch_no"), F.lit(False))
     why = F.when(F.col("first_batch").isNull(), "missing").when(gone, "deleted").when(late, "late")
-    pairs = rows.where(maybe).select("ref_id", "batch_no").distinct().join(history, "ref_id", "left")
+    pairs = rows.where("_maybe").select("ref_id", "batch_no").distinct().join(history, "ref_id", "left")
     verified = materialize(pairs.select("ref_id", "batch_no", why.alias("why")).where("why IS NOT NULL"), "verified")
-    pair = lambda h: F.shiftrightunsigned(F.xxhash64(h, F.coalesce("batch_no", F.lit(-1))), 33)
-    known = bloom_filter(verified, (pair(h1), pair(h2)), max_bits)
-    suspect = rows.withColumn("_definite", ~maybe).where(F.col("_definite") | might_contain(known, (pair(F.col("_h1")), pair(F.col("_h2")))))
-    found = suspect.join(verified, ["ref_id", "batch_no"], "left").withColumn("reason", F.when(F.col("_definite"), "missing").otherwise(F.col("why")))
+    pair = _two(F.col("ref_id"), F.coalesce("batch_no", F.lit(-1)))
+    known = bloom_filter(verified, pair, max_bits)
+    suspect = rows.where(~F.col("_maybe") | might_contain(known, pair))
+    found = suspect.join(verified, ["ref_id", "batch_no"], "left").withColumn("reason", F.when(~F.col("_maybe"), "missing").otherwise(F.col("why")))
     return found.where("reason IS NOT NULL").groupBy("work_id", "ref_id", "upd_month", "batch_no", "reason").agg(F.count("*").alias("n"))
 
 

@@ -244,6 +244,18 @@ def test_bloom_filter_has_no_false_negatives(spark):
         assert bloom.bits <= most and inside.where("NOT m").count() == 0 and outside.where("m").count() < wrong
 
 
+def test_bloom_filter_is_mentioned_once(spark):
+    """Each mention is a copy of up to 16 MB in the driver; 24 of them did not fit."""
+    mentions = lambda df: df._jdf.queryExecution().optimizedPlan().toString().count("scalar-subquery")
+    keys = spark.range(50).select(F.col("id").cast("string").alias("k"))
+    bloom = orphans.bloom_filter(keys, orphans._two(F.col("k")))
+    assert mentions(keys.where(orphans.might_contain(bloom, orphans._two(F.col("k"))))) == 1
+    c = spark.createDataFrame([("1", "5", "2024-01-02", 0, "clash"), ("1", "7", None, 1, "clash")], CHILD)
+    p = spark.createDataFrame([("7", 0)], "id string, batch_no int")
+    d = spark.createDataFrame([("works", "7", 1)], "entity string, id string, batch_no int")
+    assert mentions(orphans.orphan_references(c, "ref", orphans.parent_history(p, d, "works"))) == 1
+
+
 # --- heavy keys ---------------------------------------------------------------------
 
 
