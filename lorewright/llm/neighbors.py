@@ -14,6 +14,11 @@ just at the floor three in ten million are lost to it, of closer ones fewer.
 Size bound: the bitmap has 16 bits a cell up to ``max_bits`` (16 MB); with
 more cells it drops fewer looks, the result stays the same.
 
+On disk: vectors are kept as they came, once per class, and scaled where they
+are used; looks are joined in ``LOOK_PARTS`` parts of the cells, pairs are scored
+in ``SCORE_PARTS`` squared parts of the vectors, and files of one part are let go
+of before the next.
+
 Equal vectors (after scaling) form one class and are hashed once, so copies
 never crowd a cell.  A crowded cell of different vectors is cut into chunks
 that meet in chunk pairs; nothing is dropped.
@@ -28,6 +33,7 @@ against brute force.
 from __future__ import annotations
 
 import heapq
+import itertools
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import reduce
@@ -38,12 +44,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lorewright.session import materialize
+from lorewright.session import discard, materialize, tidy
 
 
 #: Bits of the sign sketch.
 SKETCH = 256
 MAX_BITS = 1 << 27
+#: Parts of the classes, of the cells, and of each side of the scored pairs.
+CLASS_PARTS, LOOK_PARTS, SCORE_PARTS = 2, 4, 3
 
 
 @dataclass(frozen=True)
@@ -119,7 +127,7 @@ def _hash_batches(batches: Iterable[pa.RecordBatch], h: Hashing, filled: np.ndar
     planes, shift, signs, mix = h.projections()
     sets = perturbations(h.functions, h.probes) if filled is not None else [()]
     for batch in _slices(batches):
-        x = _matrix(batch.column(1)).astype(np.float32)
+        x = _scaled(_matrix(batch.column(1)))
         bits = np.packbits(x @ signs > 0, axis=1).view(np.int64)
         scaled = (x @ planes + shift) / h.width
         cells = np.empty((len(x), h.tables, len(sets)), dtype=np.int64)
@@ -163,36 +171,46 @@ def _filled(stored: DataFrame, bits: int) -> np.ndarray:
     return out
 
 
-_UNIT = pa.schema([("key", pa.string()), ("unit", pa.list_(pa.float32()))])
+_UNIT = pa.schema([("key", pa.string()), ("vec", pa.list_(pa.float32())), ("unit", pa.list_(pa.float32()))])
+
+
+def _scaled(x: np.ndarray) -> np.ndarray:
+    """Unit vectors, rounded; not finite where a vector has none."""
+    x = x.astype(np.float64)
+    with np.errstate(all="ignore"):
+        unit = x / np.abs(x).max(axis=1, keepdims=True)
+        unit /= np.sqrt((unit * unit).sum(axis=1, keepdims=True))
+    return np.round(unit, 7).astype(np.float32) + np.float32(0.0)
 
 
 def _unit_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in _slices(batches):
-        x = _matrix(batch.column(1)).astype(np.float64)
-        with np.errstate(all="ignore"):
-            big = np.abs(x).max(axis=1, keepdims=True)
-            unit = x / big
-            unit /= np.sqrt((unit * unit).sum(axis=1, keepdims=True))
+        x = _matrix(batch.column(1))
+        unit = _scaled(x)
         keep = np.isfinite(unit).all(axis=1)
-        unit = np.round(unit[keep], 7).astype(np.float32) + np.float32(0.0)
-        offsets = pa.array(np.arange(len(unit) + 1, dtype=np.int32) * x.shape[1])
-        yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(keep)), pa.ListArray.from_arrays(offsets, pa.array(unit.reshape(-1)))], schema=_UNIT)
+        lists = [pa.ListArray.from_arrays(pa.array(np.arange(keep.sum() + 1, dtype=np.int32) * x.shape[1]), pa.array(v[keep].reshape(-1))) for v in (x, unit)]
+        yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(keep)), *lists], schema=_UNIT)
 
 
-def unit_vectors(df: DataFrame, key: str, vector: str, dimensions: int) -> DataFrame:
-    """``key, unit``: one unit vector per non-null key, of the vectors that take part."""
+def _with_units(df: DataFrame, key: str, vector: str, dimensions: int) -> DataFrame:
+    """``key, vec, unit``: one vector as it came, and scaled, per non-null key, of the vectors that take part."""
     v = F.col(f"`{vector}`").cast("array<float>")
     rows = df.select(F.col(f"`{key}`").cast("string").alias("key"), v.alias("v")).where("key IS NOT NULL")
     rows = rows.where(F.size("v") == dimensions)
     whole = rows.where(~F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))) & F.exists("v", lambda x: x != 0))
     one = whole.groupBy("key").agg(F.min("v").alias("v"))
-    return one.mapInArrow(_unit_batches, "key string, unit array<float>")
+    return one.mapInArrow(_unit_batches, "key string, vec array<float>, unit array<float>")
+
+
+def unit_vectors(df: DataFrame, key: str, vector: str, dimensions: int) -> DataFrame:
+    """``key, unit``: one unit vector per non-null key, of the vectors that take part."""
+    return _with_units(df, key, vector, dimensions).select("key", "unit")
 
 
 def _exact(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("cosine", pa.float64())])
     for batch in _slices(batches):
-        x, y = _matrix(batch.column(2)).astype(np.float64), _matrix(batch.column(3)).astype(np.float64)
+        x, y = _scaled(_matrix(batch.column(2))).astype(np.float64), _scaled(_matrix(batch.column(3))).astype(np.float64)
         cos = np.einsum("ij,ij->i", x, y) / np.sqrt(np.einsum("ij,ij->i", x, x) * np.einsum("ij,ij->i", y, y))
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(cos)], schema=schema)
 
@@ -213,6 +231,18 @@ def candidate_pairs(classes: DataFrame, h: Hashing, min_cosine: float, crowd: in
     probed = materialize(classes.mapInArrow(lambda b: _hash_batches(b, h, held.value), _HASHED_DDL), "probed")
     held.destroy()
     looked = probed.select(F.col("id").alias("q"), F.col("sketch").alias("qs"), F.explode("cells").alias("cell"))
+    parts = []
+    for i in range(LOOK_PARTS):
+        mine = F.pmod(F.xxhash64("cell"), F.lit(LOOK_PARTS)) == i
+        parts.append(materialize(_met(stored.where(mine), looked.where(mine), min_cosine, crowd, z), "met"))
+        tidy(classes.sparkSession)
+    discard(homes)
+    discard(probed)
+    return reduce(DataFrame.unionByName, parts).distinct()
+
+
+def _met(stored: DataFrame, looked: DataFrame, min_cosine: float, crowd: int, z: float) -> DataFrame:
+    """``candidate_pairs`` of the given cells."""
     crowded = stored.groupBy("cell").agg(F.count("*").alias("n")).where(F.col("n") > crowd).select("cell", F.ceil(F.col("n") / crowd).cast("int").alias("chunks"))
     # every stored vector of a crowded cell lies in one chunk, every look goes to all of its chunks
     stored = stored.join(crowded, "cell", "left").withColumn("chunk", F.coalesce(F.pmod(F.xxhash64("c"), F.col("chunks")).cast("int"), F.lit(0))).drop("chunks")
@@ -225,11 +255,19 @@ def candidate_pairs(classes: DataFrame, h: Hashing, min_cosine: float, crowd: in
 
 
 def _classes(df: DataFrame, key: str, vector: str, dimensions: int) -> tuple[DataFrame, DataFrame]:
-    """``key, unit, class`` of the vectors that take part, and ``id, unit, first`` of the classes of equal ones."""
-    units = unit_vectors(df, key, vector, dimensions)
-    units = materialize(units.withColumn("class", F.xxhash64("unit")), "units")
-    classes = materialize(units.groupBy("class").agg(F.min("unit").alias("unit"), F.min("key").alias("first")).withColumnRenamed("class", "id"), "classes")
-    return units, classes
+    """``key, class`` of the vectors that take part, and ``id, vec, first`` of the classes of equal ones."""
+    spark = df.sparkSession
+    units = _with_units(df, key, vector, dimensions)
+    units = materialize(units.select("key", "vec", F.xxhash64("unit").alias("class")), "units")
+    tidy(spark)
+    parts = []
+    for i in range(CLASS_PARTS):
+        mine = units.where(F.pmod("class", F.lit(CLASS_PARTS)) == i)
+        parts.append(materialize(mine.groupBy("class").agg(F.min("vec").alias("vec"), F.min("key").alias("first")).withColumnRenamed("class", "id"), "classes"))
+        tidy(spark)
+    members = materialize(units.select("key", "class"), "members")
+    discard(units)
+    return members, reduce(DataFrame.unionByName, parts)
 
 
 def _ranked(units: DataFrame, classes: DataFrame, links: DataFrame, k: int) -> DataFrame:
@@ -258,11 +296,16 @@ def nearest_neighbors(df: DataFrame, key: str, vector: str, k: int = 5, min_cosi
     """
     h = hashing or Hashing()
     units, classes = _classes(df, key, vector, h.dimensions)
-    pairs = candidate_pairs(classes.select("id", "unit"), h, min_cosine)
-    left = classes.select(F.col("id").alias("a"), F.col("unit").alias("ua"))
-    right = classes.select(F.col("id").alias("b"), F.col("unit").alias("ub"))
-    scored = pairs.join(left, "a").join(right, "b").select("a", "b", "ua", "ub").mapInArrow(_exact, "a bigint, b bigint, cosine double")
-    close = materialize(scored.where(F.col("cosine") >= min_cosine), "close")
+    pairs = materialize(candidate_pairs(classes.select("id", "vec"), h, min_cosine), "pairs")
+    part = lambda c: F.pmod(c, F.lit(SCORE_PARTS))
+    parts = []
+    for i, j in itertools.product(range(SCORE_PARTS), repeat=2):
+        left = classes.where(part("id") == i).select(F.col("id").alias("a"), F.col("vec").alias("va"))
+        right = classes.where(part("id") == j).select(F.col("id").alias("b"), F.col("vec").alias("vb"))
+        both = pairs.where((part("a") == i) & (part("b") == j)).join(left, "a").join(right, "b").select("a", "b", "va", "vb")
+        parts.append(materialize(both.mapInArrow(_exact, "a bigint, b bigint, cosine double").where(F.col("cosine") >= min_cosine), "close"))
+        tidy(df.sparkSession)
+    close = reduce(DataFrame.unionByName, parts)
     links = close.select("a", "b", "cosine").unionByName(close.select(F.col("b").alias("a"), F.col("a").alias("b"), "cosine"))
     return _ranked(units, classes, links, k)
 
@@ -271,7 +314,7 @@ def _best_batches(batches: Iterable[pa.RecordBatch], block: tuple[np.ndarray, np
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("cosine", pa.float64())])
     ids, y = block
     for batch in _slices(batches, 256):
-        own, x = batch.column(0).to_numpy(), _matrix(batch.column(1))
+        own, x = batch.column(0).to_numpy(), _scaled(_matrix(batch.column(1)))
         score = x @ y.T
         score[own[:, None] == ids[None, :]] = -2.0
         n = min(k + 1, len(ids))
@@ -299,10 +342,10 @@ def exact_neighbors(df: DataFrame, key: str, vector: str, k: int = 5, dimensions
     blocks = max(1, -(-classes.count() // block))
     links = classes.select(F.col("id").alias("a"), F.col("id").alias("b"), F.lit(1.0).alias("cosine")).limit(0)
     for i in range(blocks):
-        part = classes.where(F.pmod("id", F.lit(blocks)) == i).select("id", "first", "unit").toArrow().sort_by("first").combine_chunks()
+        part = classes.where(F.pmod("id", F.lit(blocks)) == i).select("id", "first", "vec").toArrow().sort_by("first").combine_chunks()
         if part.num_rows:
-            held = spark.sparkContext.broadcast((part["id"].to_numpy(), _matrix(part["unit"].combine_chunks())))
-            best = classes.select("id", "unit").mapInArrow(lambda b, held=held: _best_batches(b, held.value, k), "a bigint, b bigint, cosine double")
+            held = spark.sparkContext.broadcast((part["id"].to_numpy(), _scaled(_matrix(part["vec"].combine_chunks()))))
+            best = classes.select("id", "vec").mapInArrow(lambda b, held=held: _best_batches(b, held.value, k), "a bigint, b bigint, cosine double")
             links = links.unionByName(materialize(best, "best"))
             held.destroy()
     return _ranked(units, classes, links, k)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import itertools
 import random
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -139,6 +140,20 @@ def test_crowded_cells_lose_nothing(spark):
     assert pairs[0] == pairs[1] and len(pairs[0]) > 1000
 
 
+def test_scratch_files_of_neighbors_stay_small(spark, tmp_path):
+    """What is left in the shared folder is about one copy of the vectors, not every step's."""
+    from lorewright.session import shared_dir
+
+    size = lambda p: sum(f.stat().st_size for f in p.rglob("*.parquet"))
+    rng = np.random.default_rng(7)
+    v = np.round(rng.standard_normal((3000, 384)) * 0.05, 3)
+    spark.createDataFrame([(str(i), [float(x) for x in r]) for i, r in enumerate(v)], "w string, vec array<float>").write.option("compression", "zstd").parquet(str(tmp_path / "v"))
+    scratch = Path(shared_dir(spark).removeprefix("file:"))
+    before = size(scratch)
+    neighbors.nearest_neighbors(spark.read.parquet(str(tmp_path / "v")), "w", "vec", 5, 0.8)
+    assert size(scratch) - before < 1.5 * size(tmp_path / "v")
+
+
 def test_perturbations_are_valid_and_ordered():
     sets = neighbors.perturbations(4, 30)
     assert sets[0] == () and sets[1] == (0,) and len(set(sets)) == len(sets) == 30
