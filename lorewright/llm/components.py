@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,13 +17,13 @@ def _settled(e: DataFrame) -> bool:
     return per.where((F.col("out") > 1) | ((F.col("out") > 0) & (F.col("into") > 0))).isEmpty()
 
 
-def connected_components(edges: DataFrame, max_rounds: int = 30) -> DataFrame:
+def connected_components(edges: DataFrame, max_rounds: int = 30, join: Callable[[DataFrame, DataFrame, str], DataFrame] = DataFrame.join) -> DataFrame:
     """``node, component``: every node of ``edges`` (``a, b``) with the least node it can reach.
 
     Large-star and small-star rounds turn each component into one star; each
     round is written to the shared folder, so lineage stays short.  A hub's
     neighbours are never gathered: the minimum is an aggregate and the new
-    links come from a join.  Raises when ``max_rounds`` do not suffice.
+    links come from a ``join``.  Raises when ``max_rounds`` do not suffice.
     """
     e = materialize(edges.where("a IS NOT NULL AND b IS NOT NULL AND a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
     for _ in range(max_rounds):
@@ -29,10 +31,10 @@ def connected_components(edges: DataFrame, max_rounds: int = 30) -> DataFrame:
             break
         both = e.select("u", "v").unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = join(both.where("v > u"), least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         # small star: the smaller neighbours of u, and u itself, point to the least of them
         down = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(down, "u").select(F.explode(F.array("u", "v")).alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+        small = join(large, down, "u").select(F.explode(F.array("u", "v")).alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         e = materialize(small, "edges")
     else:
         raise RuntimeError("components did not settle")

@@ -1,4 +1,4 @@
-"""Joins whose keys may be crowded on both sides."""
+"""Joins whose sides are both large, or whose keys may be crowded on both sides."""
 
 from __future__ import annotations
 
@@ -8,6 +8,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def merge_join(left: DataFrame, right: DataFrame, keys: str | Sequence[str]) -> DataFrame:
+    """Inner join that is never a broadcast.
+
+    Spark takes the compressed bytes of a Parquet file for the size of a table;
+    sorted columns that repeat take 2 to 3 bytes a row there and far more in
+    memory, so a "small" side can fill the driver that has to build it.
+    """
+    return left.join(right.hint("merge"), keys if isinstance(keys, str) else list(keys))
+
+
 def split_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_by: str, right_by: str, crowd: int = 2000) -> DataFrame:
     """Inner join on ``keys``; the pairs of a crowded key are spread over chunk pairs.
 
@@ -19,7 +29,7 @@ def split_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_by:
     """
     size = lambda df, name: df.groupBy(*keys).agg(F.count("*").alias(name))
     parts = lambda n: F.ceil(F.coalesce(n, F.lit(1)) / crowd).cast("int")
-    both = size(left, "_l").join(size(right, "_r"), list(keys)).where((F.col("_l") > crowd) | (F.col("_r") > crowd))
+    both = merge_join(size(left, "_l"), size(right, "_r"), keys).where((F.col("_l") > crowd) | (F.col("_r") > crowd))
     crowded = both.select(*keys, parts(F.col("_l")).alias("_nl"), parts(F.col("_r")).alias("_nr"))
 
     def place(df: DataFrame, by: str, own: str, other: str, mine: str, theirs: str) -> DataFrame:
@@ -29,7 +39,7 @@ def split_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_by:
         return sized.withColumn(mine, chunk).withColumn(theirs, meets).drop("_nl", "_nr")
 
     if crowded.isEmpty():
-        return left.join(right, list(keys))
+        return merge_join(left, right, keys)
     a = place(left, left_by, "_nl", "_nr", "_cl", "_cr")
     b = place(right, right_by, "_nr", "_nl", "_cr", "_cl")
-    return a.join(b, [*keys, "_cl", "_cr"]).drop("_cl", "_cr")
+    return merge_join(a, b, [*keys, "_cl", "_cr"]).drop("_cl", "_cr")

@@ -43,7 +43,7 @@ from pyspark.sql.window import Window
 
 from lorewright.functions.ids import bare_id, bare_orcid
 from lorewright.llm.components import connected_components
-from lorewright.llm.hot import split_join
+from lorewright.llm.hot import merge_join, split_join
 from lorewright.session import materialize
 
 #: Short forms of given names and what they commonly stand for (fixed values).
@@ -319,7 +319,7 @@ def _vectors(distinct: DataFrame) -> DataFrame:
     total = distinct.agg(F.count("*").alias("n"))
     df = g.groupBy("gram").agg(F.count("*").alias("df"))
     # the root damps the rare trigrams that a slip makes
-    weighted = g.join(df, "gram").withColumn("w", F.sqrt(F.log(F.lit(1.0) + total.scalar() / F.col("df"))))
+    weighted = merge_join(g, df, "gram").withColumn("w", F.sqrt(F.log(F.lit(1.0) + total.scalar() / F.col("df"))))
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("facet")))
     return weighted.withColumn("weight", F.col("w") / norm).select("facet", "gram", "df", "weight")
 
@@ -335,15 +335,16 @@ def similar_facets(placed: DataFrame, threshold: float) -> DataFrame:
     w = Window.partitionBy("facet").orderBy("df", "gram").rowsBetween(Window.unboundedPreceding, -1)
     rest = F.lit(1.0) - F.coalesce(F.sum(F.col("weight") * F.col("weight")).over(w), F.lit(0.0))
     prefix = vectors.withColumn("rest", rest).where(F.col("rest") >= threshold * threshold - 1e-9).select("facet", "gram")
-    at = placed.join(prefix, "facet")
+    at = merge_join(placed, prefix, "facet")
     at = materialize(at.select("context", "gram", "facet"), "prefixes")
     met = split_join(at.withColumnRenamed("facet", "fa"), at.withColumnRenamed("facet", "fb"), ["context", "gram"], "fa", "fb")
     pairs = materialize(met.where("fa < fb").select("context", "fa", "fb").distinct(), "facetpairs")
     lists = vectors.groupBy("facet").agg(F.map_from_entries(F.collect_list(F.struct("gram", "weight"))).alias("v"))
     dot = F.aggregate(F.map_entries("va"), F.lit(0.0), lambda s, e: s + e["value"] * F.coalesce(F.try_element_at(F.col("vb"), e["key"]), F.lit(0.0)))
-    both = pairs.select("fa", "fb").distinct().join(lists.select(F.col("facet").alias("fa"), F.col("v").alias("va")), "fa").join(lists.select(F.col("facet").alias("fb"), F.col("v").alias("vb")), "fb")
+    both = merge_join(pairs.select("fa", "fb").distinct(), lists.select(F.col("facet").alias("fa"), F.col("v").alias("va")), "fa")
+    both = merge_join(both, lists.select(F.col("facet").alias("fb"), F.col("v").alias("vb")), "fb")
     close = both.where(dot >= threshold).select("fa", "fb")
-    return pairs.join(close, ["fa", "fb"]).select("context", "fa", "fb")
+    return merge_join(pairs, close, ["fa", "fb"]).select("context", "fa", "fb")
 
 
 def established_names(named: DataFrame, share: float = 0.002, least: int = 5) -> frozenset[str]:
@@ -364,15 +365,15 @@ def similar_names(named: DataFrame, threshold: float = 0.28, established: frozen
         for b in batches:
             yield b[[same_name(decode(x), decode(y), established) for x, y in zip(b["na"], b["nb"])]]
 
-    holds = materialize(named.join(_facets(named.select("name").distinct()), "name").select("context", "facet", "name"), "facets")
+    holds = materialize(merge_join(named, _facets(named.select("name").distinct()), "name").select("context", "facet", "name"), "facets")
     placed = materialize(holds.select("context", "facet").distinct(), "placed")
     near = similar_facets(placed, threshold).unionByName(placed.select("context", F.col("facet").alias("fa"), F.col("facet").alias("fb")))
     left, right = holds.select("context", F.col("facet").alias("fa"), F.col("name").alias("x")), holds.select("context", F.col("facet").alias("fb"), F.col("name").alias("y"))
-    near = materialize(near.join(left, ["context", "fa"]), "near")  # a common family name of a large institution has many names on both sides
+    near = materialize(merge_join(near, left, ["context", "fa"]), "near")  # a common family name of a large institution has many names on both sides
     met = split_join(near, right, ["context", "fb"], "x", "y").where((F.col("fa") < F.col("fb")) | (F.col("x") < F.col("y"))).where("x <> y")
     pairs = materialize(met.select("context", F.least("x", "y").alias("na"), F.greatest("x", "y").alias("nb")).distinct(), "namepairs")
     texts = pairs.select("na", "nb").distinct()
-    return pairs.join(texts.mapInPandas(readable, texts.schema), ["na", "nb"]).select("context", "na", "nb")
+    return merge_join(pairs, texts.mapInPandas(readable, texts.schema), ["na", "nb"]).select("context", "na", "nb")
 
 
 def author_links(rows: DataFrame, threshold: float = 0.28) -> DataFrame:
@@ -380,11 +381,11 @@ def author_links(rows: DataFrame, threshold: float = 0.28) -> DataFrame:
     named = materialize(author_names(rows), "names")
     at = named.select("id", "name", F.explode("contexts").alias("context"))
     heads = materialize(at.groupBy("context", "name").agg(F.min("id").alias("head")), "heads")
-    star = at.join(heads, ["context", "name"]).where("id <> head").select(F.col("head").alias("a"), F.col("id").alias("b"))
+    star = merge_join(at, heads, ["context", "name"]).where("id <> head").select(F.col("head").alias("a"), F.col("id").alias("b"))
     read = similar_names(heads.select("context", "name"), threshold, established_names(named.select("name")))  # over distinct names, not ids
     first = heads.select("context", F.col("name").alias("na"), F.col("head").alias("ha"))
     second = heads.select("context", F.col("name").alias("nb"), F.col("head").alias("hb"))
-    across = read.join(first, ["context", "na"]).join(second, ["context", "nb"]).where("ha <> hb")
+    across = merge_join(merge_join(read, first, ["context", "na"]), second, ["context", "nb"]).where("ha <> hb")
     return star.unionByName(across.select(F.least("ha", "hb").alias("a"), F.greatest("ha", "hb").alias("b"))).distinct()
 
 
@@ -395,10 +396,10 @@ def author_clusters(rows: DataFrame, threshold: float = 0.28) -> DataFrame:
 
 def clusters_of(links: DataFrame) -> DataFrame:
     """``id, cluster``: the closure of the links, whatever the size of a group; its least id names it."""
-    return connected_components(links).select(F.col("node").alias("id"), F.col("component").alias("cluster"))
+    return connected_components(links, join=merge_join).select(F.col("node").alias("id"), F.col("component").alias("cluster"))
 
 
 def cluster_pairs(clusters: DataFrame) -> DataFrame:
     """All pairs of a cluster, smaller id first."""
     c = clusters.select("cluster", "id")
-    return c.select("cluster", F.col("id").alias("author_a")).join(c.select("cluster", F.col("id").alias("author_b")), "cluster").where("author_a < author_b").select("author_a", "author_b")
+    return merge_join(c.select("cluster", F.col("id").alias("author_a")), c.select("cluster", F.col("id").alias("author_b")), "cluster").where("author_a < author_b").select("author_a", "author_b")

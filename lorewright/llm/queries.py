@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from lorewright.functions.ids import bare_id
 from lorewright.llm import cooccurrence as co
 from lorewright.llm import incremental, leakage, names, neighbors, packing, truncation
+from lorewright.llm.hot import merge_join
 from lorewright.plans.registry import Registry, table
 from lorewright.session import materialize
 
@@ -112,7 +113,7 @@ def p7_clusters(spark: SparkSession, d: str) -> DataFrame:
     links = materialize(names.author_links(table(spark, d, "authors")), "links")
     c = materialize(names.clusters_of(links), "clusters")
     ends = links.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count("*").alias("links"))
-    return c.join(c.groupBy("cluster").agg(F.count("*").alias("members")), "cluster").join(ends, "id").select("id", "cluster", "members", "links")
+    return merge_join(merge_join(c, c.groupBy("cluster").agg(F.count("*").alias("members")), "cluster"), ends, "id").select("id", "cluster", "members", "links")
 
 
 # --- 8: filling containers ----------------------------------------------------------

@@ -82,6 +82,24 @@ def test_a_crowd_of_equal_names_is_a_star(spark):
     assert names.author_links(df).count() == 60 and names.author_clusters(df).select("cluster").distinct().count() == 1
 
 
+@pytest.mark.parametrize("query", ["p7_found", "p7_clusters"])
+def test_authors_never_reach_the_driver_as_a_broadcast(spark, sf, query):
+    """The size of a Parquet file says little about its rows; by it the driver was sent tables that grow with the data."""
+    from lorewright.llm.queries import LLM
+
+    done = spark._jsparkSession.sharedState().statusStore()
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    before = {x.executionId() for x in list_of(done.executionsList())}
+    rows = LLM.queries[query](spark, sf).collect()
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    plans = [x.physicalPlanDescription() for x in list_of(done.executionsList()) if x.executionId() not in before]
+    assert rows and len(plans) > 10 and not any("Broadcast" in p for p in plans)
+
+
+def list_of(seq):
+    return [seq.apply(i) for i in range(seq.size())]
+
+
 @pytest.mark.parametrize("size", [3, 24, 2000, 10_000])
 @pytest.mark.parametrize("shape", ["chain", "star"])
 def test_groups_of_every_size_hold_together(spark, size, shape):
